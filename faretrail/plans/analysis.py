@@ -49,7 +49,7 @@ def trip_locations(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
     """
     j1 = join(fact, pickup, "pickup_location_id", "inner", strategy, max_broadcast_rows)
     j2 = join(j1, dropoff, "dropff_location_id", "inner", strategy, max_broadcast_rows)
-    return j2.select(*[F.col(c) for c in ANALYSIS_COLUMNS])
+    return j2.select(*[F.col(c).alias(c) for c in ANALYSIS_COLUMNS])
 
 
 def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
@@ -61,7 +61,7 @@ def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFram
     d2 = dropoff.withColumnRenamed("dropff_location_id", "dropff_location_id2")
     j1 = join_on(fact, p2, ["pickup_location_id"], ["pickup_location_id2"], strategy=strategy)
     j2 = join_on(j1, d2, ["dropff_location_id"], ["dropff_location_id2"], strategy=strategy)
-    return j2.select(*ANALYSIS_COLUMNS)
+    return j2.select(*[F.col(c).alias(c) for c in ANALYSIS_COLUMNS])
 
 
 def rate_code_counts(fact: DataFrame, rate_codes: DataFrame) -> DataFrame:

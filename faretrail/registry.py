@@ -14,10 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
+from faretrail.functions.dates import date_text as _date_text
 from faretrail.functions.keys import dense_key, monotonic_key
 from faretrail.operators import aggregates, star
-from faretrail.plans import analysis
+from faretrail.operators import preview as preview_ops
+from faretrail.plans import analysis, warehouse
+from faretrail.session import scratch_path, unique_name
+from faretrail.sinks import files as sink_files
+from faretrail.sinks.tables import truncate_load
+from faretrail.sources import files as src_files
 from faretrail.sources import lens, literals
+from faretrail.streaming.incremental import IncrementalStarLoader
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +80,28 @@ def _keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.key_trips(lens.raw_trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
 
 
+def _warehouse_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed trips from typed input (what the warehouse holds after a load)."""
+    return star.key_trips(lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
+
+
+def _typed_from_landing(df: DataFrame) -> DataFrame:
+    return type_trips(df).select(*LENS_COLUMNS)
+
+
+LENS_COLUMNS = lens.NATURAL_KEY + [
+    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
+    "trip_distance", "pickup_longitude", "pickup_latitude", "RatecodeID",
+    "dropoff_longitude", "dropoff_latitude", "payment_type", "fare_amount", "extra",
+    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"]
+ANALYSIS_SQL = ("trip_id, VendorID AS vendorid, trip_distance, tpep_pickup_datetime, "
+                "tpep_dropoff_datetime, trip_id AS pickup_location_id, pickup_longitude, "
+                "pickup_latitude, trip_id AS dropff_location_id, dropoff_longitude, dropoff_latitude")
+DAY_PARTS_SQL = ("CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, "
+                 "CAST(month(tpep_pickup_datetime) AS INTEGER) AS month, "
+                 "CAST(day(tpep_pickup_datetime) AS INTEGER) AS date")
+
+
 # ---------------------------------------------------------------- analysis
 
 @register("vendor_trip_counts", f"""
@@ -143,6 +172,240 @@ def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact_trips(_keyed_trips(spark, sf_dir))
 
 
+
+@register("dim_pickup_location", f"""
+WITH {KEYED_CTE} SELECT trip_id AS pickup_location_id, pickup_longitude, pickup_latitude FROM keyed
+""")
+def dim_pickup_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.pickup_location_dim(_keyed_trips(spark, sf_dir))
+
+
+@register("dim_dropoff_location", f"""
+WITH {KEYED_CTE} SELECT trip_id AS dropff_location_id, dropoff_longitude, dropoff_latitude FROM keyed
+""")
+def dim_dropoff_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.dropoff_location_dim(_keyed_trips(spark, sf_dir))
+
+
+@register("union_timestamps", f"""
+WITH {LENS_CTE} SELECT tpep_pickup_datetime AS datekey FROM lens
+UNION ALL SELECT tpep_dropoff_datetime FROM lens
+""")
+def union_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.union_timestamps(type_trips(lens.raw_trip_lens(spark, sf_dir)))
+
+
+@register("dim_date", f"WITH {DATEKEYS_CTE} {DATE_DIM_SQL}")
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.date_dim(type_trips(lens.raw_trip_lens(spark, sf_dir)))
+
+
+@register("dim_date_prededup", f"WITH {DATEKEYS_CTE} {DATE_DIM_SQL}")
+def dim_date_prededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.date_dim_prededup(type_trips(lens.raw_trip_lens(spark, sf_dir)), 44)
+
+
+@register("dedup_rows", f"WITH {DATEKEYS_CTE} {DATE_DIM_SQL}")
+def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.date_dim_dedup_rows(type_trips(lens.raw_trip_lens(spark, sf_dir)))
+
+
+@register("date_text", f"""
+WITH {LENS_CTE} SELECT {', '.join(lens.NATURAL_KEY)},
+  strftime(tpep_pickup_datetime, '%Y-%m-%d') AS pickup_date FROM lens
+""")
+def date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = type_trips(lens.raw_trip_lens(spark, sf_dir))
+    return trips.select(*lens.NATURAL_KEY, _date_text("tpep_pickup_datetime").alias("pickup_date"))
+
+
+# ---------------------------------------------------------------- joins
+
+_TRIP_VENDOR_SQL = f"""
+WITH {KEYED_CTE} SELECT k.trip_id AS trip_id, k.VendorID AS VendorID, v.VendorName AS VendorName
+FROM keyed k JOIN ({vendor_dim_sql()}) v ON k.VendorID = v.VendorID
+"""
+
+
+def _trip_vendor(strategy: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fact = star.fact_trips(_warehouse_trips(spark, sf_dir))
+        return analysis.trip_vendor(fact, literals.vendor_dim(spark), strategy)
+    return run
+
+
+register("trip_vendor_broadcast_dim", _TRIP_VENDOR_SQL)(_trip_vendor("broadcast_right"))
+register("trip_vendor_broadcast_fact", _TRIP_VENDOR_SQL)(_trip_vendor("broadcast_left"))
+register("trip_vendor_sortmerge", _TRIP_VENDOR_SQL)(_trip_vendor("merge"))
+
+
+@register("trip_locations", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
+def trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _warehouse_trips(spark, sf_dir)
+    return analysis.trip_locations(star.fact_trips(trips), star.pickup_location_dim(trips),
+                                   star.dropoff_location_dim(trips))
+
+
+@register("trip_locations_renamed", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
+def trip_locations_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _warehouse_trips(spark, sf_dir)
+    return analysis.trip_locations_renamed(star.fact_trips(trips), star.pickup_location_dim(trips),
+                                           star.dropoff_location_dim(trips))
+
+
+@register("rate_code_counts", f"""
+WITH {LENS_CTE}, counts AS (SELECT RatecodeID, count(*) AS count FROM lens GROUP BY RatecodeID)
+SELECT c.RatecodeID AS RatecodeID, r.RatecodeName AS RatecodeName, c.count AS count
+FROM counts c JOIN ({rate_dim_sql()}) r ON c.RatecodeID = CAST(r.RatecodeID AS INTEGER)
+""")
+def rate_code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.rate_code_counts(lens.trip_lens(spark, sf_dir), literals.rate_code_dim(spark))
+
+
+@register("preview_trips", f"WITH {KEYED_CTE} SELECT {FACT_SQL} FROM keyed ORDER BY trip_id LIMIT 20")
+def preview_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview_ops.preview(star.fact_trips(_keyed_trips(spark, sf_dir)), 20, "trip_id")
+
+
+@register("partition_stats")
+def partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview_ops.partition_stats(star.fact_trips(_keyed_trips(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- sources
+
+_LENS_ALL = f"WITH {LENS_CTE} SELECT * FROM lens"
+
+
+@register("scan_csv", _LENS_ALL)
+def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-csv")
+    sink_files.land_csv(lens.raw_trip_lens(spark, sf_dir), landing)
+    raw = src_files.read_trips_csv(spark, landing, extra_types=lens.NATURAL_KEY_TYPES)
+    return _typed_from_landing(raw)
+
+
+@register("csv_to_parquet", _LENS_ALL)
+def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-csv")
+    converted = scratch_path(spark, "landing-parquet")
+    sink_files.land_csv(lens.raw_trip_lens(spark, sf_dir), landing)
+    sink_files.csv_to_parquet(spark, landing, converted)
+    raw = src_files.read_trips_parquet(spark, converted)
+    for name, typ in lens.NATURAL_KEY_TYPES.items():
+        raw = raw.withColumn(name, F.col(name).try_cast(typ))
+    return _typed_from_landing(raw)
+
+
+@register("scan_csv_glob", f"""
+WITH {LENS_CTE} SELECT * FROM lens WHERE year(tpep_pickup_datetime) IN (1996, 1997)
+""")
+def scan_csv_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-csv-years")
+    raw = lens.raw_trip_lens(spark, sf_dir)
+    by_year = raw.withColumn("pickup_year", F.year(F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")))
+    sink_files.write_partitioned(sink_files.landing_order(by_year), landing, ("pickup_year",), fmt="csv")
+    picked = src_files.read_trips_csv(spark, f"{landing}/pickup_year=199[67]/*.csv",
+                                      extra_types=lens.NATURAL_KEY_TYPES)
+    return _typed_from_landing(picked)
+
+
+@register("scan_parquet", _LENS_ALL)
+def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-parquet")
+    sink_files.write_parquet(lens.raw_trip_lens(spark, sf_dir), landing)
+    return _typed_from_landing(src_files.read_trips_parquet(spark, f"{landing}/*.parquet"))
+
+
+@register("scan_recursive", _LENS_ALL)
+def scan_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-nested")
+    raw = sink_files.with_day_partitions(lens.raw_trip_lens(spark, sf_dir))
+    sink_files.write_partitioned(raw, landing, ("year", "month"))
+    return _typed_from_landing(src_files.read_trips_parquet(spark, landing, recursive=True))
+
+
+@register("sink_partitioned", f"WITH {LENS_CTE} SELECT *, {DAY_PARTS_SQL} FROM lens")
+def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "trips-by-day")
+    sink_files.write_partitioned(sink_files.with_day_partitions(lens.trip_lens(spark, sf_dir)), out)
+    return spark.read.parquet(out)
+
+
+@register("scan_partitioned", f"""
+WITH {LENS_CTE} SELECT *, {DAY_PARTS_SQL} FROM lens
+WHERE month(tpep_pickup_datetime) = 5 AND day(tpep_pickup_datetime) >= 28
+""")
+def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-hive")
+    raw = sink_files.with_day_partitions(lens.raw_trip_lens(spark, sf_dir))
+    sink_files.write_partitioned(raw, landing)
+    name = src_files.register_partitioned_table(spark, unique_name("trips_hive"), landing)
+    found = src_files.read_partitioned(spark, name, catalog_predicate="month = '5'",
+                                       push_down_predicate="date >= 28", is_table=True)
+    return type_trips(found).select(*LENS_COLUMNS, "year", "month", "date")
+
+
+@register("incremental_load", f"""
+WITH {LENS_CTE}, keyed AS (
+  SELECT CAST(row_number() OVER (ORDER BY
+    CASE WHEN year(tpep_pickup_datetime) > 1997 THEN 1 ELSE 0 END, {NK_ORDER}) AS BIGINT) AS trip_id, *
+  FROM lens)
+SELECT {FACT_SQL} FROM keyed
+""")
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing-stream")
+    loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
+                                   order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
+    trips = lens.trip_lens(spark, sf_dir)
+    later = F.coalesce(F.year("tpep_pickup_datetime") > 1997, F.lit(False))
+    sink_files.land_csv(lens.as_landing_text(trips.where(~later)), landing)
+    loader.run_available()
+    loader.run_available()  # nothing new: reads no file, loads nothing
+    sink_files.land_csv(lens.as_landing_text(trips.where(later)), landing)
+    loader.run_available()
+    return loader.table("fact")
+
+
+# ---------------------------------------------------------------- loads
+
+@register("sink_truncate_load", f"WITH {KEYED_CTE} SELECT {FACT_SQL} FROM keyed")
+def sink_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = star.fact_trips(_warehouse_trips(spark, sf_dir))
+    name = unique_name("FactTable")
+    location = scratch_path(spark, "warehouse") + "/" + name
+    truncate_load(fact, name, location)
+    truncate_load(fact, name, location)  # second load replaces, never appends
+    return spark.table(name)
+
+
+@register("analysis_table_load", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
+def analysis_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _warehouse_trips(spark, sf_dir)
+    result = analysis.trip_locations(star.fact_trips(trips), star.pickup_location_dim(trips),
+                                     star.dropoff_location_dim(trips))
+    name = unique_name("analysis_table")
+    truncate_load(result, name, scratch_path(spark, "warehouse") + "/" + name)
+    return spark.table(name)
+
+
+@register("star_build_counts", f"""
+WITH {DATEKEYS_CTE}
+SELECT 'FactTable' AS table_name, count(*) AS row_count FROM lens
+UNION ALL SELECT 'PaymentTypesDim', CAST({len(literals.PAYMENT_TYPES)} AS BIGINT)
+UNION ALL SELECT 'PickupLocationsDim', count(*) FROM lens
+UNION ALL SELECT 'DropOffLocationsDim', count(*) FROM lens
+UNION ALL SELECT 'DateDim', count(*) FROM datekeys
+UNION ALL SELECT 'RateCodesDim', CAST({len(literals.RATE_CODES)} AS BIGINT)
+UNION ALL SELECT 'VendorsDim', CAST({len(literals.VENDORS)} AS BIGINT)
+""")
+def star_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = warehouse.build_star(spark, lens.raw_trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
+    suffix = "_" + unique_name("run")
+    loaded = warehouse.load_star(built, suffix, scratch_path(spark, "warehouse"))
+    return warehouse.table_counts(spark, loaded)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

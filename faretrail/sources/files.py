@@ -6,23 +6,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faretrail.schemas import raw_schema
+from faretrail.schemas import spark_type
 
 
 def read_trips_csv(spark: SparkSession, path: str | list[str],
                    extra_types: dict[str, str] | None = None,
                    file_glob: str | None = None) -> DataFrame:
-    """Header CSV with the explicit all-text landing schema (no inference pass).
+    """Header CSV, columns named by the header and read as text (no inference
+    pass over the data); ``extra_types`` casts pass-through columns by name.
 
     ``path`` may itself be a glob (``.../trips-1996-*.csv``); ``file_glob``
-    narrows the files of a directory by name without touching partition
-    discovery.
+    narrows the files of a directory by name.
     """
-    reader = (spark.read.schema(raw_schema(extra_types)).option("header", True)
-              .option("mode", "PERMISSIVE"))
+    reader = spark.read.option("header", True).option("inferSchema", False)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    return reader.csv(path)
+    df = reader.csv(path)
+    for name, typ in (extra_types or {}).items():
+        df = df.withColumn(name, F.col(name).try_cast(spark_type(typ)))
+    return df
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -44,6 +46,16 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str],
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def register_partitioned_table(spark: SparkSession, name: str, path: str,
+                               fmt: str = "parquet") -> str:
+    """Register a ``col=value/...`` folder as a catalog table and record the
+    partitions present on storage (rerun after new folders land)."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source=fmt)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
 def read_partitioned(spark: SparkSession, source: str,
                      catalog_predicate: str | None = None,
                      push_down_predicate: str | None = None,
