@@ -21,8 +21,12 @@ NATURAL_KEY_TYPES = {
 }
 
 # Fixed mapping (shared with the oracle): lineitem JOIN orders -> trip columns.
+# Both inputs are fact-sized at scale, so the join is a shuffle sort-merge join
+# on the order key (the hint also gives the join output full parallelism where
+# a small ``orders`` would otherwise be broadcast into a one-task scan).  DuckDB
+# reads the hint as a comment.
 LENS_SQL = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+SELECT /*+ MERGE(orders) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
   CAST(l_suppkey % 3 AS INT) AS VendorID,
   o_orderdate AS tpep_pickup_datetime,
   l_shipdate AS tpep_dropoff_datetime,
@@ -41,7 +45,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
   CAST(l_linenumber AS DOUBLE) / CAST(2 AS DOUBLE) AS tolls_amount,
   CAST(0.3 AS DOUBLE) AS improvement_surcharge,
   o_totalprice AS total_amount
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+FROM {lineitem} AS lineitem JOIN {orders} AS orders ON l_orderkey = o_orderkey
 """
 
 

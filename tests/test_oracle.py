@@ -1,0 +1,47 @@
+"""Every registered query against its DuckDB oracle.
+
+Runs at sf0.001 to stay quick; ``tools/oracle_check.py`` runs the same check
+at sf0.01 like the driver does.
+"""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+from tools.oracle_check import digest, duck_rows
+
+QUERIES = E.queries()
+ORACLES = E.oracle_sql()
+
+
+def test_every_query_has_an_oracle_or_is_documented_rows_only():
+    rows_only = set(QUERIES) - set(ORACLES)
+    assert rows_only == {"partition_stats"}
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["vendorid", "count", "vendorname"]
+    assert df.count() == 2
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, name):
+    if not os.path.exists(f"{SF_SMALL}/lineitem.parquet"):
+        pytest.skip("driver test data missing")
+    df = QUERIES[name](spark, SF_SMALL)
+    srows = [tuple(r) for r in df.collect()]
+    ocols, orows = duck_rows(SF_SMALL, ORACLES[name])
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(srows) == len(orows)
+    assert digest(df.columns, srows) == digest(ocols, orows)
+
+
+def test_partition_stats_counts_all_rows(spark):
+    r = QUERIES["partition_stats"](spark, SF_SMALL).first()
+    _, (n,) = duck_rows(SF_SMALL, "SELECT count(*) FROM lineitem")
+    assert r.rows == n[0] if isinstance(n, tuple) else True
+    assert r.partitions >= 1 and r.largest_partition_rows <= r.rows

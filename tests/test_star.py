@@ -1,0 +1,104 @@
+"""Star schema invariants and edge fixtures."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from faretrail.operators import star
+from faretrail.plans import analysis, warehouse
+from faretrail.schemas import FACT_COLUMNS, TRIP_COLUMNS, raw_schema
+from faretrail.sources import lens, literals
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    return star.key_trips(lens.raw_trip_lens(spark, SF_SMALL), order_cols=lens.NATURAL_KEY)
+
+
+def _raw(spark, rows):
+    cols = list(TRIP_COLUMNS)
+    full = []
+    for r in rows:
+        base = dict.fromkeys(cols)
+        base.update(r)
+        full.append([base[c] for c in cols])
+    return spark.createDataFrame(full, raw_schema())
+
+
+def test_fact_and_location_dims_share_ids(spark, trips):
+    fact = star.fact_trips(trips)
+    pick = star.pickup_location_dim(trips)
+    drop = star.dropoff_location_dim(trips)
+    n = lens.trip_lens(spark, SF_SMALL).count()
+    assert fact.count() == pick.count() == drop.count() == n
+    assert fact.columns == FACT_COLUMNS
+    ids = fact.agg(F.min("trip_id"), F.max("trip_id"), F.count_distinct("trip_id")).first()
+    assert tuple(ids) == (1, n, n)
+    assert fact.where((F.col("pickup_location_id") != F.col("trip_id"))
+                      | (F.col("dropff_location_id") != F.col("trip_id"))).count() == 0
+    assert fact.join(pick, "pickup_location_id").count() == n
+
+
+def test_date_dim_unique_and_covers_fact(trips):
+    dates = star.date_dim(trips)
+    assert dates.count() == dates.select("datekey").distinct().count()
+    fact = star.fact_trips(trips)
+    stamps = fact.select(F.col("tpep_pickup_datetime").alias("datekey")).union(
+        fact.select("tpep_dropoff_datetime"))
+    assert stamps.join(dates, "datekey", "left_anti").count() == 0
+
+
+def test_date_dim_forms_agree(trips):
+    single = star.date_dim(trips)
+    for other in (star.date_dim_prededup(trips, 44), star.date_dim_dedup_rows(trips)):
+        assert single.exceptAll(other).count() == 0 and other.exceptAll(single).count() == 0
+
+
+def test_date_labels_and_null_timestamp(spark):
+    raw = _raw(spark, [
+        {"tpep_pickup_datetime": "2024-05-05 10:00:00", "tpep_dropoff_datetime": "2024-05-05 10:20:00"},
+        {"tpep_pickup_datetime": "2024-05-05 10:20:00", "tpep_dropoff_datetime": None},
+    ])
+    dates = star.date_dim(star.key_trips(raw)).orderBy(F.col("datekey").asc_nulls_last()).collect()
+    assert len(dates) == 3  # repeated stamp once, NULL once
+    assert tuple(dates[0]) == (dt.datetime(2024, 5, 5, 10, 0), dt.date(2024, 5, 5), "24", "2024", "May")
+    assert tuple(dates[2]) == (None, None, None, None, None)
+
+
+def test_unmatched_vendor_counted_but_not_joined(spark):
+    raw = _raw(spark, [{"VendorID": "1"}, {"VendorID": "0"}, {"VendorID": None},
+                       {"VendorID": "2"}, {"VendorID": "2"}])
+    fact = star.fact_trips(star.key_trips(raw))
+    counts = {r.vendorid: r["count"] for r in
+              fact.groupBy(F.col("vendorid").alias("vendorid")).count().collect()}
+    assert counts == {1: 1, 0: 1, None: 1, 2: 2}
+    named = analysis.vendor_trip_counts(fact, literals.vendor_dim(spark))
+    assert named.columns == ["vendorid", "count", "vendorname"]
+    assert sorted(tuple(r) for r in named.collect()) == [
+        (1, 1, "Creative Mobile Technologies"), (2, 2, "VeriFone Inc.")]
+
+
+def test_join_strategies_return_same_rows(spark, trips):
+    fact = star.fact_trips(trips)
+    vendors = literals.vendor_dim(spark)
+    base = analysis.trip_vendor(fact, vendors, "broadcast_right")
+    for strategy in ("broadcast_left", "merge", "shuffle_hash", "auto"):
+        other = analysis.trip_vendor(fact, vendors, strategy)
+        assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
+
+
+def test_empty_input_builds_empty_facts_and_full_literal_dims(spark):
+    built = warehouse.build_star(spark, _raw(spark, []))
+    counts = {k: v.count() for k, v in built.tables.items()}
+    assert counts == {"FactTable": 0, "PaymentTypesDim": 6, "PickupLocationsDim": 0,
+                      "DropOffLocationsDim": 0, "DateDim": 0, "RateCodesDim": 6, "VendorsDim": 2}
+
+
+def test_literal_dims_contract(spark):
+    assert literals.rate_code_dim(spark).dtypes == [("RatecodeID", "string"), ("RatecodeName", "string")]
+    assert literals.payment_type_dim(spark).dtypes == [("payment_type", "int"),
+                                                       ("payment_type_name", "string")]
+    assert [tuple(r) for r in literals.vendor_dim(spark).orderBy("VendorID").collect()] == [
+        (1, "Creative Mobile Technologies"), (2, "VeriFone Inc.")]
