@@ -10,19 +10,22 @@ pulling rows into one partition:
    (``spark_partition_id`` / ``monotonically_increasing_id``);
 3. the result is written once to the shared folder, which fixes the sampled
    range bounds and positions for every later reader and cuts the lineage;
-4. per-partition row counts (one small row per partition) are turned into
-   offsets with a running sum and broadcast back -- that table's size is
-   bounded by the partition count, not by the data.
+4. per-partition row counts (one row per sort partition) become offsets by a
+   running sum, written once next to the staging.  That table's size is
+   bounded by the partition count, not by the data, so it is broadcast.
 
 The ids are computed on read from the staged columns, so every table derived
 from one staging (fact, location dimensions) sees the same ids.
 
 ``monotonic_key`` is the cheap sparse variant: unique and increasing, but the
-values depend on how the input was split.
+values depend on how the input was split -- stage it before deriving several
+tables from it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +41,20 @@ def _order(cols: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
+@dataclass
+class RankedStage:
+    """A staged global ranking: rows with (partition, position), plus offsets."""
+    rows: DataFrame
+    offsets: DataFrame
+
+    def row_count(self) -> int:
+        """Rows staged (sum over the small offsets table; no data scan)."""
+        r = self.offsets.agg(F.sum("_rows")).first()[0]
+        return int(r or 0)
+
+
 def stage_ranked(df: DataFrame, order_cols: list[str | Column],
-                 label: str = "ranked") -> DataFrame:
+                 label: str = "ranked") -> RankedStage:
     """Sort globally, tag partition and position, write once, read back."""
     spark = df.sparkSession
     tagged = (df.orderBy(*_order(order_cols))
@@ -47,18 +62,22 @@ def stage_ranked(df: DataFrame, order_cols: list[str | Column],
               .withColumn(POS, F.monotonically_increasing_id()))
     path = scratch_path(spark, label)
     tagged.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per sort partition: a single-partition running sum is cheap here.
+    running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select(PART, "_rows", (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
+    offsets.coalesce(1).write.mode("errorifexists").parquet(path + "-offsets")
+    return RankedStage(rows, spark.read.parquet(path + "-offsets"))
 
 
-def attach_dense_id(staged: DataFrame, id_col: str = "trip_id",
+def attach_dense_id(stage: RankedStage, id_col: str = "trip_id",
                     start: int | Column = 1) -> DataFrame:
     """Turn (partition, position) of a staged ranking into a dense 1-based id."""
-    counts = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"))
-    running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select(PART, (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
     local = F.col(POS) - F.shiftleft(F.col(PART).cast("long"), 33)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (staged.join(F.broadcast(offsets), PART)
+    offsets = stage.offsets.select(PART, OFFSET)
+    return (stage.rows.join(F.broadcast(offsets), PART)
             .withColumn(id_col, (F.col(OFFSET) + local + start_col.cast("long")).cast("long"))
             .drop(PART, POS, OFFSET))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from faretrail.functions.coerce import type_trips
 from faretrail.functions.dates import date_labels
 from faretrail.functions.keys import dense_key, monotonic_key
+from faretrail.session import scratch_path
 from faretrail.schemas import (DROPOFF_DIM_COLUMNS, DROPOFF_ID, FACT_COLUMNS,
                                PICKUP_DIM_COLUMNS, PICKUP_ID, TRIP_COLUMNS, TRIP_ID)
 
@@ -34,7 +35,10 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
     """
     typed = type_trips(raw)
     if key == "monotonic":
-        keyed = monotonic_key(typed)
+        # staged once, so every derived table sees the same split-dependent ids
+        path = scratch_path(raw.sparkSession, "trips-monotonic")
+        monotonic_key(typed).write.parquet(path)
+        keyed = raw.sparkSession.read.parquet(path)
     elif key == "dense":
         keyed = dense_key(typed, order_cols or list(TRIP_COLUMNS), start=start, label="trips")
     else:
@@ -56,9 +60,13 @@ def dropoff_location_dim(trips: DataFrame) -> DataFrame:
 
 def union_timestamps(trips: DataFrame) -> DataFrame:
     """Pickup and drop-off timestamps stacked into one ``datekey`` column
-    (UNION ALL by position; names from the first branch)."""
-    return (trips.select(F.col("tpep_pickup_datetime").alias("datekey"))
-            .union(trips.select("tpep_dropoff_datetime")))
+    (the rows of ``UNION ALL``, NULLs kept).
+
+    Built as one pass that emits two rows per trip, so the input is read (or
+    its join computed) once instead of once per branch.
+    """
+    return trips.select(F.explode(F.array("tpep_pickup_datetime", "tpep_dropoff_datetime"))
+                        .alias("datekey"))
 
 
 def date_dim(trips: DataFrame) -> DataFrame:

@@ -7,8 +7,10 @@ stops, so a scheduled run reads only files that landed since the last run
 
 Each micro-batch is typed, keyed and **appended** -- a truncate-load per batch
 would keep only the newest batch.  Trip ids continue after the largest id
-already loaded, and the date dimension only gains keys it does not hold yet
-(null-safe anti-join on ``datekey``).  Every table is a folder partitioned by
+already loaded, read from a one-row-per-batch high-water-mark table (never a
+scan of the fact), and the date dimension only gains keys it does not hold yet
+(null-safe anti-join on ``datekey`` against prior keys pruned to the batch's
+key range).  Every table is a folder partitioned by
 ``load_epoch``; a batch writes (overwrites) only its own epoch folder, so a
 batch replayed after a failure replaces its earlier partial output instead of
 duplicating it.
@@ -19,11 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faretrail.functions.coerce import type_trips
+from faretrail.functions.keys import attach_dense_id, stage_ranked
 from faretrail.operators import star
-from faretrail.schemas import raw_schema
+from faretrail.schemas import TRIP_COLUMNS, raw_schema
 
 EPOCH = "load_epoch"
 TABLES = ("fact", "pickup", "dropoff", "date")
+HIGH_WATER = "_last_trip_id"
 
 
 class IncrementalStarLoader:
@@ -70,17 +75,29 @@ class IncrementalStarLoader:
     def _load_batch(self, batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        prior_fact = self.table("fact", before_epoch=epoch)
+        marks = self.table(HIGH_WATER, before_epoch=epoch)
         last_id = 0
-        if prior_fact is not None:
-            last_id = prior_fact.agg(F.max("trip_id")).first()[0] or 0
-        trips = star.key_trips(batch, order_cols=self.order_cols, start=last_id + 1)
+        if marks is not None:
+            last_id = marks.agg(F.max("last_trip_id")).first()[0] or 0
+        stage = stage_ranked(type_trips(batch), self.order_cols or list(TRIP_COLUMNS), "trips-batch")
+        trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1))
         self._write(star.fact_trips(trips), "fact", epoch)
         self._write(star.pickup_location_dim(trips), "pickup", epoch)
         self._write(star.dropoff_location_dim(trips), "dropoff", epoch)
         dates = star.date_dim(trips)
         prior_dates = self.table("date", before_epoch=epoch)
         if prior_dates is not None:
-            known = prior_dates.select(F.col("datekey").alias("_known"))
+            lo, hi = trips.agg(
+                F.least(F.min("tpep_pickup_datetime"), F.min("tpep_dropoff_datetime")),
+                F.greatest(F.max("tpep_pickup_datetime"), F.max("tpep_dropoff_datetime"))).first()
+            # only prior keys inside this batch's range can collide (row groups
+            # outside it are skipped by the Parquet min/max statistics)
+            in_range = F.col("datekey").isNull()
+            if lo is not None:
+                in_range = in_range | F.col("datekey").between(lo, hi)
+            known = prior_dates.where(in_range).select(F.col("datekey").alias("_known"))
             dates = dates.join(known, dates["datekey"].eqNullSafe(known["_known"]), "left_anti")
         self._write(dates, "date", epoch)
+        n = stage.row_count()
+        mark = self.spark.range(1).select(F.lit(last_id + n).cast("long").alias("last_trip_id"))
+        self._write(mark, HIGH_WATER, epoch)
