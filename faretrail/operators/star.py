@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
 from faretrail.functions.dates import date_labels
-from faretrail.functions.keys import dense_key, monotonic_key
+from faretrail.functions.keys import LANDING_POS, dense_key, monotonic_key, with_landing_position
 from faretrail.session import scratch_path
 from faretrail.schemas import (DROPOFF_DIM_COLUMNS, DROPOFF_ID, FACT_COLUMNS,
                                PICKUP_DIM_COLUMNS, PICKUP_ID, TRIP_COLUMNS, TRIP_ID)
@@ -30,9 +30,17 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
               key: str = "dense", start: int = 1) -> DataFrame:
     """Typed trips with ``trip_id``, ``pickup_location_id``, ``dropff_location_id``.
 
-    ``key='dense'``: deterministic 1-based rank over ``order_cols`` (default:
-    every contract column); ``key='monotonic'``: the sparse split-dependent id.
+    ``key='dense'``: deterministic 1-based rank over ``order_cols``.  Without a
+    natural key (``order_cols=None``) the order is every contract column plus
+    the row's position in the landing scan -- pass the file read itself as
+    ``raw`` so that position is stable under task retries; it separates exact
+    duplicate rows, so even a group of identical copies holding a large share
+    of the data is split across sort partitions.
+    ``key='monotonic'``: the sparse split-dependent id.
     """
+    if key == "dense" and order_cols is None:
+        raw = with_landing_position(raw)
+        order_cols = list(TRIP_COLUMNS) + [LANDING_POS]
     typed = type_trips(raw)
     if key == "monotonic":
         # staged once, so every derived table sees the same split-dependent ids
@@ -40,7 +48,7 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
         monotonic_key(typed).write.parquet(path)
         keyed = raw.sparkSession.read.parquet(path)
     elif key == "dense":
-        keyed = dense_key(typed, order_cols or list(TRIP_COLUMNS), start=start, label="trips")
+        keyed = dense_key(typed, order_cols, start=start, label="trips").drop(LANDING_POS)
     else:
         raise ValueError(f"unknown key kind {key!r}")
     return with_location_ids(keyed)

@@ -14,13 +14,15 @@ def vendor_trip_counts(fact: DataFrame, vendors: DataFrame) -> DataFrame:
     """Trips per vendor, named.
 
     Counts first (partial aggregation map-side, a shuffle of one row per task
-    and vendor), then joins the handful of count rows to the vendor dimension,
-    which is a literal ``VALUES`` table of known size -> broadcast.  NULL and
-    unknown vendors are counted but have no dimension row, so the inner join
-    drops them.  The key is emitted once.
+    and vendor), then joins the count rows to the vendor dimension.  No hint:
+    the literal ``VALUES`` dimension carries exact statistics, so Catalyst
+    broadcasts it on a proven size, while a large user-supplied dimension gets a
+    shuffle join (and AQE still broadcasts the aggregated side when it turns out
+    small).  NULL and unknown vendors are counted but have no dimension row, so
+    the inner join drops them.  The key is emitted once.
     """
     counts = grouped_count(fact, "vendorid", "vendorid", "count")
-    named = counts.join(F.broadcast(vendors), counts["vendorid"] == vendors["VendorID"], "inner")
+    named = counts.join(vendors, counts["vendorid"] == vendors["VendorID"], "inner")
     return named.select(counts["vendorid"].alias("vendorid"), F.col("count"),
                         vendors["VendorName"].alias("vendorname"))
 
@@ -66,9 +68,10 @@ def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFram
 
 def rate_code_counts(fact: DataFrame, rate_codes: DataFrame) -> DataFrame:
     """Trips per rate code, named.  The dimension stores its key as text and
-    the fact as int; the text key is cast explicitly on the (tiny, literal)
-    dimension side, never per fact row."""
+    the fact as int; the text key is cast explicitly on the dimension side
+    (after the fact is aggregated), never per fact row.  Join strategy from
+    statistics, as in :func:`vendor_trip_counts`."""
     counts = grouped_count(fact, "RatecodeID", "RatecodeID", "count")
     dim = rate_codes.select(F.col("RatecodeID").try_cast("int").alias("rc_key"), "RatecodeName")
-    named = counts.join(F.broadcast(dim), counts["RatecodeID"] == dim["rc_key"], "inner")
+    named = counts.join(dim, counts["RatecodeID"] == dim["rc_key"], "inner")
     return named.select("RatecodeID", "RatecodeName", "count")

@@ -14,6 +14,10 @@ key range).  Every table is a folder partitioned by
 ``load_epoch``; a batch writes (overwrites) only its own epoch folder, so a
 batch replayed after a failure replaces its earlier partial output instead of
 duplicating it.
+
+The fact and both location dimensions are stored as one keyed Parquet table
+and read as column-pruned projections of it: a columnar read of three columns
+costs the same either way, and each batch writes the trips once, not three times.
 """
 
 from __future__ import annotations
@@ -22,13 +26,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
-from faretrail.functions.keys import attach_dense_id, stage_ranked
+from faretrail.functions.keys import (LANDING_POS, attach_dense_id, stage_ranked,
+                                      with_landing_position)
 from faretrail.operators import star
-from faretrail.schemas import TRIP_COLUMNS, raw_schema
+from faretrail.schemas import (DROPOFF_DIM_COLUMNS, FACT_COLUMNS, PICKUP_DIM_COLUMNS,
+                               TRIP_COLUMNS, raw_schema)
 
 EPOCH = "load_epoch"
-TABLES = ("fact", "pickup", "dropoff", "date")
 HIGH_WATER = "_last_trip_id"
+KEYED_COLUMNS = FACT_COLUMNS + [c for c in PICKUP_DIM_COLUMNS + DROPOFF_DIM_COLUMNS
+                                if c not in FACT_COLUMNS]
+# table name -> (stored table, columns)
+VIEWS = {
+    "fact": ("trips", FACT_COLUMNS),
+    "pickup": ("trips", PICKUP_DIM_COLUMNS),
+    "dropoff": ("trips", DROPOFF_DIM_COLUMNS),
+}
 
 
 class IncrementalStarLoader:
@@ -47,14 +60,16 @@ class IncrementalStarLoader:
         return f"{self.warehouse_dir}/{name}"
 
     def table(self, name: str, before_epoch: int | None = None) -> DataFrame | None:
-        """Loaded rows of one table (optionally only epochs before ``before_epoch``)."""
+        """Loaded rows of one table (optionally only epochs before ``before_epoch``):
+        ``fact``, ``pickup``, ``dropoff``, ``date``."""
+        stored, cols = VIEWS.get(name, (name, None))
         try:
-            df = self.spark.read.parquet(self.path(name))
+            df = self.spark.read.parquet(self.path(stored))
         except Exception:  # noqa: BLE001 - folder not created yet
             return None
         if before_epoch is not None:
             df = df.where(F.col(EPOCH) < before_epoch)
-        return df.drop(EPOCH)
+        return df.select(*cols) if cols else df.drop(EPOCH)
 
     def run_available(self) -> None:
         """Load every file that landed since the previous run, then stop."""
@@ -79,11 +94,13 @@ class IncrementalStarLoader:
         last_id = 0
         if marks is not None:
             last_id = marks.agg(F.max("last_trip_id")).first()[0] or 0
-        stage = stage_ranked(type_trips(batch), self.order_cols or list(TRIP_COLUMNS), "trips-batch")
-        trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1))
-        self._write(star.fact_trips(trips), "fact", epoch)
-        self._write(star.pickup_location_dim(trips), "pickup", epoch)
-        self._write(star.dropoff_location_dim(trips), "dropoff", epoch)
+        order = self.order_cols
+        if order is None:  # no natural key: contract columns + position in the batch's scan
+            batch = with_landing_position(batch)
+            order = list(TRIP_COLUMNS) + [LANDING_POS]
+        stage = stage_ranked(type_trips(batch), order, "trips-batch")
+        trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1).drop(LANDING_POS))
+        self._write(trips.select(*KEYED_COLUMNS), "trips", epoch)
         dates = star.date_dim(trips)
         prior_dates = self.table("date", before_epoch=epoch)
         if prior_dates is not None:

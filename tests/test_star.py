@@ -102,3 +102,19 @@ def test_literal_dims_contract(spark):
                                                        ("payment_type_name", "string")]
     assert [tuple(r) for r in literals.vendor_dim(spark).orderBy("VendorID").collect()] == [
         (1, "Creative Mobile Technologies"), (2, "VeriFone Inc.")]
+
+
+def test_duplicate_landing_rows_get_distinct_dense_ids(spark, tmp_path):
+    # no natural key: a third of the rows are identical copies
+    from faretrail.sinks.files import land_csv
+    from faretrail.sources.files import read_trips_csv
+    copies = _raw(spark, [{"VendorID": "1", "tpep_pickup_datetime": "2024-01-01 00:00:00"}] * 300)
+    others = _raw(spark, [{"VendorID": str(i % 3), "fare_amount": str(i)} for i in range(600)])
+    path = str(tmp_path / "landing")
+    land_csv(copies.union(others), path)
+    trips = star.key_trips(read_trips_csv(spark, path))
+    fact = star.fact_trips(trips)
+    assert fact.columns == FACT_COLUMNS
+    r = fact.agg(F.count(F.lit(1)), F.count_distinct("trip_id"), F.min("trip_id"),
+                 F.max("trip_id")).first()
+    assert tuple(r) == (900, 900, 1, 900)
