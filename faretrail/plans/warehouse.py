@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.operators import star
+from faretrail.plans.analysis import vendor_trip_counts
 from faretrail.sinks.tables import truncate_load
 from faretrail.sources import literals
 
@@ -72,3 +73,16 @@ def table_counts(spark: SparkSession, loaded: dict[str, str]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def analyse_loaded(spark: SparkSession, loaded: dict[str, str]) -> DataFrame:
+    """The analysis step over exactly the tables a build just loaded."""
+    return vendor_trip_counts(spark.table(loaded["FactTable"]), spark.table(loaded["VendorsDim"]))
+
+
+def build_load_analyse(spark: SparkSession, raw: DataFrame, suffix: str,
+                       location_root: str | None = None,
+                       order_cols: list[str] | None = None) -> DataFrame:
+    """Load step then analysis step, handing the suffix from one to the other."""
+    loaded = load_star(build_star(spark, raw, order_cols=order_cols), suffix, location_root)
+    return analyse_loaded(spark, loaded)

@@ -406,6 +406,14 @@ def star_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.table_counts(spark, loaded)
 
 
+@register("loaded_vendor_trip_counts", _ORACLES["vendor_trip_counts"])
+def loaded_vendor_trip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build + truncate-load the star, then count trips per vendor from the loaded tables."""
+    return warehouse.build_load_analyse(
+        spark, lens.raw_trip_lens(spark, sf_dir), "_" + unique_name("run"),
+        scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
