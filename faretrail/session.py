@@ -16,7 +16,11 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "faretrail") -> SparkSession:
-    """Session for tests and local benchmarks (cluster jobs bring their own)."""
+    """Session for tests and local benchmarks (cluster jobs bring their own).
+
+    ``spark.checkpoint.dir`` is left to the environment; :func:`shared_dir`
+    falls back to a temp folder only for a local session without one.
+    """
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -29,7 +33,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="faretrail-wh-"))
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="faretrail-ckpt-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,16 +47,25 @@ def shared_dir(spark: SparkSession) -> str:
     session without one is a configuration error, because a machine-local
     folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (remote session)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/object store) so staged tables survive executor loss")
     root = tempfile.mkdtemp(prefix="faretrail-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir().rstrip("/")
     return root
 
 
