@@ -89,13 +89,21 @@ def date_dim(trips: DataFrame) -> DataFrame:
     return keys.select("datekey", *date_labels("datekey"))
 
 
-def date_dim_prededup(trips: DataFrame, partitions: int = 44) -> DataFrame:
-    """Date dimension in the pre-deduplicated form: each branch narrowed to
-    ``partitions`` and deduplicated, then the union deduplicated again.
-    Same rows as :func:`date_dim`, two more aggregations in the plan."""
-    pick = trips.select(F.col("tpep_pickup_datetime").alias("datekey")).coalesce(partitions).distinct()
-    drop = trips.select("tpep_dropoff_datetime").coalesce(partitions).distinct()
-    keys = pick.union(drop).distinct()
+def date_dim_prededup(trips: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Date dimension in the pre-deduplicated form: each timestamp branch
+    deduplicated on its own, then the union deduplicated again.  Same rows as
+    :func:`date_dim`, two more aggregations in the plan.
+
+    ``partitions`` narrows each deduplicated branch to that many partitions.
+    The narrowing comes *after* the branch's dedup: a ``coalesce`` in front
+    of it would be narrow and cap the scan of the whole fact at ``partitions``
+    tasks.  Default: AQE sizes the partitions.
+    """
+    def branch(col: str) -> DataFrame:
+        keys = trips.select(F.col(col).alias("datekey")).distinct()
+        return keys.coalesce(partitions) if partitions else keys
+
+    keys = branch("tpep_pickup_datetime").union(branch("tpep_dropoff_datetime")).distinct()
     return keys.select("datekey", *date_labels("datekey"))
 
 
