@@ -65,16 +65,15 @@ def trip_lens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_landing_text(df: DataFrame) -> DataFrame:
-    """All-string landing form of typed trips: contract columns as text,
-    timestamps as ``yyyy-MM-dd HH:mm:ss``; other columns keep their type."""
+    """All-string landing form of typed trips: contract columns as text
+    (zone-less timestamps as ``yyyy-MM-dd HH:mm:ss``, independent of the
+    session time zone); other columns keep their type."""
     out = []
     for f in df.schema.fields:
-        if f.name not in TRIP_COLUMNS:
-            out.append(F.col(f.name))
-        elif TRIP_COLUMNS[f.name] == "timestamp":
-            out.append(F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name))
-        else:
+        if f.name in TRIP_COLUMNS:
             out.append(F.col(f.name).cast("string").alias(f.name))
+        else:
+            out.append(F.col(f.name))
     return df.select(*out)
 
 

@@ -56,3 +56,24 @@ def test_no_python_udf_in_typing_plan(spark):
     plan = type_trips(df)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_zone_less_timestamps_survive_a_dst_gap(spark):
+    """02:30 on 2024-03-10 does not exist in New York; nothing may shift it."""
+    import datetime as dt
+
+    from faretrail.functions.dates import date_labels, date_text
+    from faretrail.sources.lens import as_landing_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS tpep_pickup_datetime")
+        text = as_landing_text(df).first()[0]
+        assert text == "2024-03-10 02:30:00"
+        back = df.select(lenient_timestamp(F.lit(text)).alias("t")).first().t
+        assert back == dt.datetime(2024, 3, 10, 2, 30)
+        labels = df.select(*date_labels("tpep_pickup_datetime"),
+                           date_text("tpep_pickup_datetime").alias("d")).first()
+        assert tuple(labels) == (dt.date(2024, 3, 10), "24", "2024", "March", "2024-03-10")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
