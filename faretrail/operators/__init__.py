@@ -2,7 +2,7 @@
 
 from faretrail.operators.aggregates import grouped_count, grouped_count_sql, row_count
 from faretrail.operators.joins import STRATEGIES, fits, join, join_on
-from faretrail.operators.preview import partition_stats
+from faretrail.operators.preview import partition_stats, print_preview
 from faretrail.operators.preview import preview as preview_rows
 from faretrail.operators.star import (date_dim, date_dim_dedup_rows, date_dim_prededup,
                                       dropoff_location_dim, fact_trips, key_trips,
@@ -11,7 +11,7 @@ from faretrail.operators.star import (date_dim, date_dim_dedup_rows, date_dim_pr
 
 __all__ = [
     "grouped_count", "grouped_count_sql", "row_count", "STRATEGIES", "fits", "join",
-    "join_on", "partition_stats", "preview_rows", "date_dim", "date_dim_dedup_rows",
+    "join_on", "partition_stats", "preview_rows", "print_preview", "date_dim", "date_dim_dedup_rows",
     "date_dim_prededup", "dropoff_location_dim", "fact_trips", "key_trips",
     "pickup_location_dim", "union_timestamps", "with_location_ids",
 ]

@@ -12,6 +12,13 @@ def preview(df: DataFrame, n: int = 20, order_by: str = "trip_id") -> DataFrame:
     return df.orderBy(F.col(order_by).asc_nulls_last()).limit(n)
 
 
+def print_preview(df: DataFrame, n: int = 2, order_by: str | None = None) -> None:
+    """Console check of a frame: its schema, then ``n`` untruncated rows
+    (only ``n`` rows reach the driver)."""
+    df.printSchema()
+    (preview(df, n, order_by) if order_by else df.limit(n)).show(n, truncate=False)
+
+
 def partition_stats(df: DataFrame) -> DataFrame:
     """Number of non-empty partitions, total rows, and the largest partition."""
     per_part = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))

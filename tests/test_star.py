@@ -118,3 +118,13 @@ def test_duplicate_landing_rows_get_distinct_dense_ids(spark, tmp_path):
     r = fact.agg(F.count(F.lit(1)), F.count_distinct("trip_id"), F.min("trip_id"),
                  F.max("trip_id")).first()
     assert tuple(r) == (900, 900, 1, 900)
+
+
+def test_print_preview_shows_schema_and_rows(spark, trips, capsys):
+    from faretrail.operators import print_preview
+    print_preview(star.fact_trips(trips), 2, "trip_id")
+    out = capsys.readouterr().out
+    assert "|-- trip_id: long" in out and "dropff_location_id" in out
+    table_lines = [ln for ln in out.splitlines() if ln.startswith("|")]
+    assert len(table_lines) == 3  # header + 2 rows
+    assert table_lines[1].split("|")[1].strip() == "1"
