@@ -29,6 +29,7 @@ HEADLINE = [
     "dim_date",
     "dim_date_prededup",
     "trip_vendor_broadcast_dim",
+    "trip_vendor_broadcast_fact",
     "trip_vendor_sortmerge",
     "trip_locations",
     "rate_code_counts",
@@ -36,6 +37,7 @@ HEADLINE = [
     "scan_parquet",
     "sink_truncate_load",
     "star_build_counts",
+    "loaded_vendor_trip_counts",  # load step then analysis step, one suffix
     "incremental_load",
 ]
 

@@ -45,6 +45,13 @@ VIEWS = {
 
 
 class IncrementalStarLoader:
+    """Append-only star load from header CSV files landing in ``landing_dir``.
+
+    A streaming source needs its schema up front, and a CSV schema applies by
+    column position: land files with :func:`faretrail.sinks.files.land_csv`
+    (contract columns first, then ``extra_types`` columns in that order).
+    """
+
     def __init__(self, spark: SparkSession, landing_dir: str, warehouse_dir: str,
                  order_cols: list[str] | None = None,
                  extra_types: dict[str, str] | None = None,
