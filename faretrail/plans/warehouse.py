@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.operators import star
-from faretrail.plans.analysis import vendor_trip_counts
+from faretrail.plans.analysis import trip_locations, vendor_trip_counts
 from faretrail.sinks.tables import truncate_load
 from faretrail.sources import literals
 
@@ -80,6 +80,14 @@ def analyse_loaded(spark: SparkSession, loaded: dict[str, str]) -> DataFrame:
     return vendor_trip_counts(spark.table(loaded["FactTable"]), spark.table(loaded["VendorsDim"]))
 
 
+def analyse_locations_loaded(spark: SparkSession, loaded: dict[str, str],
+                             strategy: str = "auto") -> DataFrame:
+    """The location analysis (fact joined to both location dimensions) read
+    from the loaded warehouse tables."""
+    return trip_locations(spark.table(loaded["FactTable"]), spark.table(loaded["PickupLocationsDim"]),
+                          spark.table(loaded["DropOffLocationsDim"]), strategy)
+
+
 def build_load_analyse(spark: SparkSession, raw: DataFrame, suffix: str,
                        location_root: str | None = None,
                        order_cols: list[str] | None = None) -> DataFrame:

@@ -415,6 +415,15 @@ def loaded_vendor_trip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY)
 
 
+@register("loaded_trip_locations", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
+def loaded_trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build + truncate-load the star, then read the fact and both location
+    dimensions back from the warehouse tables and join them."""
+    built = warehouse.build_star(spark, lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
+    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"))
+    return warehouse.analyse_locations_loaded(spark, loaded)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
