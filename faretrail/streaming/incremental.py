@@ -66,12 +66,13 @@ class IncrementalStarLoader:
     def path(self, name: str) -> str:
         return f"{self.warehouse_dir}/{name}"
 
-    def table(self, name: str, before_epoch: int | None = None) -> DataFrame | None:
+    def table(self, name: str, before_epoch: int | None = None,
+              spark: SparkSession | None = None) -> DataFrame | None:
         """Loaded rows of one table (optionally only epochs before ``before_epoch``):
         ``fact``, ``pickup``, ``dropoff``, ``date``."""
         stored, cols = VIEWS.get(name, (name, None))
         try:
-            df = self.spark.read.parquet(self.path(stored))
+            df = (spark or self.spark).read.parquet(self.path(stored))
         except Exception:  # noqa: BLE001 - folder not created yet
             return None
         if before_epoch is not None:
@@ -97,7 +98,8 @@ class IncrementalStarLoader:
     def _load_batch(self, batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        marks = self.table(HIGH_WATER, before_epoch=epoch)
+        spark = batch.sparkSession  # the micro-batch's own session
+        marks = self.table(HIGH_WATER, before_epoch=epoch, spark=spark)
         last_id = 0
         if marks is not None:
             last_id = marks.agg(F.max("last_trip_id")).first()[0] or 0
@@ -109,7 +111,7 @@ class IncrementalStarLoader:
         trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1).drop(LANDING_POS))
         self._write(trips.select(*KEYED_COLUMNS), "trips", epoch)
         dates = star.date_dim(trips)
-        prior_dates = self.table("date", before_epoch=epoch)
+        prior_dates = self.table("date", before_epoch=epoch, spark=spark)
         if prior_dates is not None:
             lo, hi = trips.agg(
                 F.least(F.min("tpep_pickup_datetime"), F.min("tpep_dropoff_datetime")),
@@ -123,5 +125,5 @@ class IncrementalStarLoader:
             dates = dates.join(known, dates["datekey"].eqNullSafe(known["_known"]), "left_anti")
         self._write(dates, "date", epoch)
         n = stage.row_count()
-        mark = self.spark.range(1).select(F.lit(last_id + n).cast("long").alias("last_trip_id"))
+        mark = spark.range(1).select(F.lit(last_id + n).cast("long").alias("last_trip_id"))
         self._write(mark, HIGH_WATER, epoch)
