@@ -55,13 +55,19 @@ class IncrementalStarLoader:
     def __init__(self, spark: SparkSession, landing_dir: str, warehouse_dir: str,
                  order_cols: list[str] | None = None,
                  extra_types: dict[str, str] | None = None,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None,
+                 clean_source: str | None = None, archive_dir: str | None = None):
+        """``clean_source='archive'`` (with ``archive_dir``) or ``'delete'``
+        moves consumed files out of the landing folder, so its listing per
+        trigger stays proportional to what is new, not to all history."""
         self.spark = spark
         self.landing_dir = landing_dir
         self.warehouse_dir = warehouse_dir.rstrip("/")
         self.order_cols = order_cols
         self.extra_types = extra_types
         self.max_files = max_files_per_trigger
+        self.clean_source = clean_source
+        self.archive_dir = archive_dir
 
     def path(self, name: str) -> str:
         return f"{self.warehouse_dir}/{name}"
@@ -85,6 +91,10 @@ class IncrementalStarLoader:
                   .option("header", True))
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
+        if self.clean_source:
+            reader = reader.option("cleanSource", self.clean_source)
+            if self.archive_dir:
+                reader = reader.option("sourceArchiveDir", self.archive_dir)
         query = (reader.csv(self.landing_dir).writeStream
                  .foreachBatch(self._load_batch)
                  .option("checkpointLocation", self.path("_stream_state"))

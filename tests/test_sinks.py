@@ -80,3 +80,23 @@ def test_incremental_batch_replay_is_idempotent(spark):
     loader._load_batch(batch, 0)
     loader._load_batch(batch, 0)  # replay of the same epoch after a failure
     assert loader.table("fact").count() == trips.count()
+
+
+def test_incremental_archives_consumed_files(spark):
+    import os
+    trips = lens.trip_lens(spark, SF_SMALL)
+    root = scratch_path(spark, "archiving").replace("file:", "")
+    landing, archive = f"{root}/landing", f"{root}/archive"
+    loader = IncrementalStarLoader(spark, landing, f"{root}/wh", order_cols=lens.NATURAL_KEY,
+                                   extra_types=lens.NATURAL_KEY_TYPES,
+                                   clean_source="archive", archive_dir=archive)
+    early = F.year("tpep_pickup_datetime") <= 1997
+    sink_files.land_csv(lens.as_landing_text(trips.where(early)), landing)
+    loader.run_available()
+    first = {f for f in os.listdir(landing) if f.endswith(".csv")}
+    sink_files.land_csv(lens.as_landing_text(trips.where(~early)), landing)
+    loader.run_available()  # consumed files are moved once the next batch is planned
+    assert loader.table("fact").count() == trips.count()
+    left = {f for f in os.listdir(landing) if f.endswith(".csv")}
+    archived = {f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")}
+    assert first and first <= archived and not (first & left)
