@@ -56,6 +56,14 @@ ANALYSIS_COLUMNS = [
     "dropoff_latitude",
 ]
 
+# Same fields in the order the path-list variant of the analysis selects them.
+ANALYSIS_FIELD_PATHS = [
+    "trip_id", "vendorid", "trip_distance", "tpep_pickup_datetime",
+    "pickup_location_id", "pickup_longitude", "pickup_latitude",
+    "tpep_dropoff_datetime", "dropff_location_id", "dropoff_longitude",
+    "dropoff_latitude",
+]
+
 _SPARK_TYPES = {
     "int": T.IntegerType(),
     "long": T.LongType(),
