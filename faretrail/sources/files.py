@@ -33,16 +33,14 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_trips_parquet(spark: SparkSession, path: str | list[str],
-                       recursive: bool = False,
-                       max_partition_bytes: str | None = None) -> DataFrame:
+                       recursive: bool = False) -> DataFrame:
     """Parquet directory or glob.  ``recursive`` walks nested folders without
-    partition discovery; small files are bin-packed into splits by Spark
-    (``maxPartitionBytes`` per read when given)."""
+    partition discovery.  Small files are bin-packed into splits by Spark
+    itself, sized by the session's ``spark.sql.files.maxPartitionBytes`` and
+    ``spark.sql.files.openCostInBytes`` (set them at submit time)."""
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    if max_partition_bytes:
-        reader = reader.option("maxPartitionBytes", max_partition_bytes)
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
