@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faretrail.schemas import resolve_column
+
 
 def grouped_count(df: DataFrame, key: str, key_alias: str | None = None,
                   count_alias: str = "count") -> DataFrame:
     """Rows per key value; NULL is a group of its own.  The key is resolved
     case-insensitively (``vendorid`` finds ``VendorID``) and output under
     ``key_alias``."""
-    return df.groupBy(F.col(key).alias(key_alias or key)).agg(
+    return df.groupBy(F.col(resolve_column(df.columns, key)).alias(key_alias or key)).agg(
         F.count(F.lit(1)).alias(count_alias))
 
 

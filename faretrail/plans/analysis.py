@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faretrail.operators.aggregates import grouped_count
 from faretrail.operators.joins import DEFAULT_BROADCAST_ROWS, join, join_on
-from faretrail.schemas import ANALYSIS_COLUMNS, ANALYSIS_FIELD_PATHS
+from faretrail.schemas import ANALYSIS_COLUMNS, ANALYSIS_FIELD_PATHS, resolve_column
 
 
 def vendor_trip_counts(fact: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def trip_locations(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
     """
     j1 = join(fact, pickup, "pickup_location_id", "inner", strategy, max_broadcast_rows)
     j2 = join(j1, dropoff, "dropff_location_id", "inner", strategy, max_broadcast_rows)
-    return j2.select(*[F.col(c).alias(c) for c in ANALYSIS_COLUMNS])
+    return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_COLUMNS])
 
 
 def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
@@ -63,7 +63,7 @@ def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFram
     d2 = dropoff.withColumnRenamed("dropff_location_id", "dropff_location_id2")
     j1 = join_on(fact, p2, ["pickup_location_id"], ["pickup_location_id2"], strategy=strategy)
     j2 = join_on(j1, d2, ["dropff_location_id"], ["dropff_location_id2"], strategy=strategy)
-    return j2.select(*[F.col(c).alias(c) for c in ANALYSIS_FIELD_PATHS])
+    return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_FIELD_PATHS])
 
 
 def rate_code_counts(fact: DataFrame, rate_codes: DataFrame) -> DataFrame:

@@ -74,6 +74,17 @@ _SPARK_TYPES = {
 }
 
 
+def resolve_column(columns: list[str], name: str) -> str:
+    """The frame's own spelling of ``name`` (matched case-insensitively), so a
+    reference like ``vendorid`` works whatever ``spark.sql.caseSensitive`` is."""
+    if name in columns:
+        return name
+    for c in columns:
+        if c.lower() == name.lower():
+            return c
+    return name
+
+
 def spark_type(name: str) -> T.DataType:
     return _SPARK_TYPES[name]
 
