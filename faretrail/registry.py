@@ -417,10 +417,12 @@ def loaded_vendor_trip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("loaded_trip_locations", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
 def loaded_trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build + truncate-load the star, then read the fact and both location
-    dimensions back from the warehouse tables and join them."""
+    """Build + truncate-load the star (trip-keyed tables bucketed on their ids),
+    then read the fact and both location dimensions back and join them."""
     built = warehouse.build_star(spark, lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
-    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"),
+                                 buckets=buckets)
     return warehouse.analyse_locations_loaded(spark, loaded)
 
 

@@ -25,26 +25,47 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def ensure_table(df: DataFrame, table: str, location: str | None = None) -> None:
+def ensure_table(df: DataFrame, table: str, location: str | None = None,
+                 bucket_by: str | None = None, buckets: int | None = None) -> None:
+    """Create ``table`` with ``df``'s schema unless it exists; optionally
+    bucketed (and sorted) on one column."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return
+    if bucket_by:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        where = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet "
+                  f"CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {buckets} BUCKETS{where}")
+        return
     kwargs = {"path": location} if location else {}
     spark.catalog.createTable(table, source="parquet", schema=df.schema, **kwargs)
 
 
 def truncate_load(df: DataFrame, table: str, location: str | None = None,
-                  stage_first: bool = False) -> str:
-    """Replace every row of ``table`` with ``df`` (columns matched by name)."""
+                  stage_first: bool = False, bucket_by: str | None = None,
+                  buckets: int | None = None) -> str:
+    """Replace every row of ``table`` with ``df`` (columns matched by name).
+
+    With ``bucket_by``, the table is bucketed on that column: the rows are
+    hash-partitioned into exactly ``buckets`` tasks first (the same hash the
+    bucketing uses), so each bucket is written as one file, and later joins on
+    the column read the buckets in place instead of shuffling the table.
+    """
     spark = df.sparkSession
-    ensure_table(df, table, location)
+    if bucket_by and not buckets:
+        raise ValueError("bucket_by needs a bucket count")
+    ensure_table(df, table, location, bucket_by, buckets)
     src = stage(df, "truncate-load") if stage_first else df
     by_name = {c.lower(): c for c in src.columns}
     target_cols = spark.table(table).columns
     missing = [c for c in target_cols if c.lower() not in by_name]
     if missing:
         raise ValueError(f"frame lacks columns {missing} of {table}")
-    src.select(*[by_name[c.lower()] for c in target_cols]).write.insertInto(table, overwrite=True)
+    out = src.select(*[by_name[c.lower()] for c in target_cols])
+    if bucket_by:
+        out = out.repartition(buckets, by_name[bucket_by.lower()])
+    out.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     return table
 

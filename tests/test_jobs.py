@@ -55,3 +55,19 @@ def test_parquet_conversion_job(spark):
     back = spark.read.parquet(dst)
     assert back.count() == lens.trip_lens(spark, SF_SMALL).count()
     assert dict(back.dtypes)["fare_amount"] == "string"  # conversion keeps text
+
+
+def test_bucketed_load_then_location_analysis_table(spark):
+    landing = scratch_path(spark, "csv")
+    sink_files.land_csv(lens.raw_trip_lens(spark, SF_SMALL), landing)
+    suffix = "_" + unique_name("bk")
+    jobs.load_csv(spark, landing, suffix, scratch_path(spark, "wh"),
+                  order_cols=lens.NATURAL_KEY, buckets=4)
+    name = unique_name("analysis_table")
+    out = jobs.analyse_locations(spark, suffix, name, scratch_path(spark, "wh") + "/" + name)
+    n = lens.trip_lens(spark, SF_SMALL).count()
+    assert out.count() == n
+    assert out.columns[:2] == ["trip_id", "vendorid"]
+    # second run replaces the rows (truncate-and-load)
+    jobs.analyse_locations(spark, suffix, name)
+    assert spark.table(name).count() == n

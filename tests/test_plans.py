@@ -84,3 +84,22 @@ def test_dense_key_plan_stays_distributed(spark):
     # data passes through a single-partition exchange
     assert "BroadcastHashJoin" in text
     assert "SinglePartition" not in text.split("BroadcastExchange")[0]
+
+
+def test_bucketed_load_joins_fact_and_pickup_in_place(spark):
+    from faretrail.plans import warehouse
+    from faretrail.session import scratch_path, unique_name
+    built = warehouse.build_star(spark, lens.trip_lens(spark, SF_SMALL), order_cols=lens.NATURAL_KEY)
+    loaded = warehouse.load_star(built, "_" + unique_name("b"), scratch_path(spark, "wh"), buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffle-join planning
+    try:
+        df = warehouse.analyse_locations_loaded(spark, loaded)
+        text = plan(df, "simple")
+        n = df.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Bucketed: true") == 3
+    # only the fact-pickup result is shuffled (for the drop-off join)
+    assert text.count("Exchange hashpartitioning") == 1
+    assert n == lens.trip_lens(spark, SF_SMALL).count()
