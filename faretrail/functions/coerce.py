@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from faretrail.schemas import TRIP_COLUMNS, spark_type
 
-# A plain decimal literal (no exponent); these truncate to int under legacy casts.
-_DECIMAL_TEXT = r"^\s*[+-]?\d*\.\d*\s*$"
+# A plain decimal literal (no exponent): sign, whole digits, fraction digits.
+# Legacy casts truncate these to their whole part.
+_DECIMAL_TEXT = r"^\s*([+-]?)(\d*)\.(\d*)\s*$"
 
 
 def _col(c: str | Column) -> Column:
@@ -24,11 +25,21 @@ def _col(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    """Text -> int; NULL on malformed or out-of-range input, decimals truncated."""
+    """Text -> int; NULL on malformed or out-of-range input, decimals truncated.
+
+    The whole part of a decimal is cut from the text itself (never through a
+    double, which would round '1.9999999999999999' up to 2).
+    """
     c = _col(c)
+    sign = F.regexp_extract(c, _DECIMAL_TEXT, 1)
+    whole = F.regexp_extract(c, _DECIMAL_TEXT, 2)
+    frac = F.regexp_extract(c, _DECIMAL_TEXT, 3)
+    has_digits = (F.length(whole) > 0) | (F.length(frac) > 0)
+    truncated = F.when(F.length(whole) == 0, F.lit(0)).otherwise(
+        F.concat(sign, whole).try_cast("int"))
     return F.coalesce(
         c.try_cast("int"),
-        F.when(c.rlike(_DECIMAL_TEXT), c.try_cast("double").try_cast("int")),
+        F.when(c.rlike(_DECIMAL_TEXT) & has_digits, truncated),
     )
 
 

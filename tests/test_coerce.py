@@ -76,3 +76,41 @@ def test_zone_less_timestamps_survive_a_dst_gap(spark):
         assert tuple(labels) == (dt.date(2024, 3, 10), "24", "2024", "March", "2024-03-10")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _legacy_int(s):
+    """Exact model of the legacy text -> int cast for plain decimal literals."""
+    import re
+    from decimal import Decimal
+    if s is None:
+        return None
+    m = re.fullmatch(r"\s*([+-]?)(\d*)(?:\.(\d*))?\s*", s)
+    if not m or not (m.group(2) or m.group(3)):
+        return None
+    v = int(Decimal(m.group(1) + (m.group(2) or "0")))
+    return v if -2**31 <= v < 2**31 else None
+
+
+def test_lenient_int_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    digits = st.text(alphabet="0123456789", max_size=12)
+    texts = st.builds(lambda sp, sg, w, dot, f, sp2: f"{sp}{sg}{w}{dot}{f}{sp2}",
+                      st.sampled_from(["", " "]), st.sampled_from(["", "+", "-"]), digits,
+                      st.sampled_from(["", "."]), digits, st.sampled_from(["", "  "]))
+    extra = ["1.9999999999999999", "2147483647.99", "2147483648.0", "-2147483648.7", "-.5", "+.", "."]
+
+    seen = []
+
+    @settings(max_examples=300, suppress_health_check=list(HealthCheck), deadline=None)
+    @given(texts)
+    def collect(t):
+        seen.append(t)
+
+    collect()
+    cases = list(dict.fromkeys(seen + extra))
+    df = spark.createDataFrame([(t,) for t in cases], "s string")
+    got = {r.s: r.i for r in df.select("s", lenient_int("s").alias("i")).collect()}
+    bad = {t: (got[t], _legacy_int(t)) for t in cases if got[t] != _legacy_int(t)}
+    assert not bad
