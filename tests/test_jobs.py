@@ -71,3 +71,19 @@ def test_bucketed_load_then_location_analysis_table(spark):
     # second run replaces the rows (truncate-and-load)
     jobs.analyse_locations(spark, suffix, name)
     assert spark.table(name).count() == n
+
+
+def test_command_line_load_then_analyse(spark, capsys):
+    landing = scratch_path(spark, "csv")
+    sink_files.land_csv(lens.raw_trip_lens(spark, SF_SMALL), landing)
+    suffix = "_" + unique_name("cli")
+    jobs.main(["load-csv", landing, "--suffix", suffix, "--location-root",
+               scratch_path(spark, "wh"), "--buckets", "4"])
+    assert spark.table(f"FactTable{suffix}").count() == lens.trip_lens(spark, SF_SMALL).count()
+    jobs.main(["analyse", "--suffix", suffix])
+    out = capsys.readouterr().out
+    assert "Creative Mobile Technologies" in out and "VeriFone Inc." in out
+    table = unique_name("analysis_table")
+    jobs.main(["analyse-locations", "--suffix", suffix, "--table", table,
+               "--location", scratch_path(spark, "wh") + "/" + table])
+    assert spark.table(table).count() == lens.trip_lens(spark, SF_SMALL).count()
