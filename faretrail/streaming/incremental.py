@@ -22,6 +22,7 @@ costs the same either way, and each batch writes the trips once, not three times
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,8 +80,12 @@ class IncrementalStarLoader:
         stored, cols = VIEWS.get(name, (name, None))
         try:
             df = (spark or self.spark).read.parquet(self.path(stored))
-        except Exception:  # noqa: BLE001 - folder not created yet
-            return None
+        except AnalysisException as e:
+            # only "nothing loaded yet" means empty; any other failure must
+            # stop the batch (restarting ids at 1 would duplicate keys)
+            if "PATH_NOT_FOUND" in str(e.getCondition() or "") or "Path does not exist" in str(e):
+                return None
+            raise
         if before_epoch is not None:
             df = df.where(F.col(EPOCH) < before_epoch)
         return df.select(*cols) if cols else df.drop(EPOCH)
