@@ -16,7 +16,12 @@ from pyspark.sql import types as T
 
 
 def hash_predicates(hash_expr: str, partitions: int) -> list[str]:
-    """One WHERE clause per bucket; together they cover every row exactly once."""
+    """One WHERE clause per bucket; together they cover every row exactly once.
+
+    ``hash_expr`` is a numeric SQL expression evaluated by the database: a
+    numeric column as is, or the database's own hash of a text column.
+    Negative values land in buckets like positive ones; NULLs go to bucket 0.
+    """
     if partitions < 1:
         raise ValueError("partitions must be >= 1")
     bucket = f"MOD(MOD({hash_expr}, {partitions}) + {partitions}, {partitions})"
