@@ -34,6 +34,7 @@ from faretrail.session import scratch_path
 PART = "_key_part"
 POS = "_key_pos"
 OFFSET = "_key_offset"
+FIRST = "_key_first_pos"
 LANDING_POS = "_landing_pos"
 
 
@@ -63,23 +64,28 @@ def stage_ranked(df: DataFrame, order_cols: list[str | Column],
     path = scratch_path(spark, label)
     tagged.write.mode("errorifexists").parquet(path)
     rows = spark.read.parquet(path)
-    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias(FIRST))
     # One row per sort partition: a single-partition running sum is cheap here.
     running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select(PART, "_rows", (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
+    offsets = counts.select(PART, "_rows", FIRST,
+                            (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
     offsets.coalesce(1).write.mode("errorifexists").parquet(path + "-offsets")
     return RankedStage(rows, spark.read.parquet(path + "-offsets"))
 
 
 def attach_dense_id(stage: RankedStage, id_col: str = "trip_id",
                     start: int | Column = 1) -> DataFrame:
-    """Turn (partition, position) of a staged ranking into a dense 1-based id."""
-    local = F.col(POS) - F.shiftleft(F.col(PART).cast("long"), 33)
+    """Turn (partition, position) of a staged ranking into a dense 1-based id.
+
+    Positions inside one partition are consecutive record numbers, so a row's
+    rank inside its partition is its position minus the partition's first.
+    """
+    local = F.col(POS) - F.col(FIRST)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    offsets = stage.offsets.select(PART, OFFSET)
+    offsets = stage.offsets.select(PART, OFFSET, FIRST)
     return (stage.rows.join(F.broadcast(offsets), PART)
             .withColumn(id_col, (F.col(OFFSET) + local + start_col.cast("long")).cast("long"))
-            .drop(PART, POS, OFFSET))
+            .drop(PART, POS, OFFSET, FIRST))
 
 
 def dense_key(df: DataFrame, order_cols: list[str | Column], id_col: str = "trip_id",
