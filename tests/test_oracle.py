@@ -28,11 +28,26 @@ def test_entry_smoke(spark):
     assert df.count() == 2
 
 
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                "FlatMapGroupsInPandas", "PythonMapInArrow")
+
+
+def _plan_text(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, name):
     if not os.path.exists(f"{SF_SMALL}/lineitem.parquet"):
         pytest.skip("driver test data missing")
     df = QUERIES[name](spark, SF_SMALL)
+    text = _plan_text(df)
+    assert not [n for n in PYTHON_NODES if n in text]  # no Python in the plan
     srows = [tuple(r) for r in df.collect()]
     ocols, otypes, orows = duck_query(SF_SMALL, ORACLES[name])
     assert sorted(df.columns) == sorted(ocols)
