@@ -48,6 +48,8 @@ def join(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
         return left.join(right.hint("merge"), on, how)
     if strategy == "broadcast_left":
         if fits(left, max_broadcast_rows):
+            warnings.warn("broadcasting the left (usually larger) side; broadcast_right "
+                          "ships the dimension instead")
             return F.broadcast(left).join(right, on, how)
         warnings.warn("left side exceeds the broadcast bound; using sort-merge join")
         return left.join(right.hint("merge"), on, how)
