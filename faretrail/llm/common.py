@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import faretrail
 from faretrail.session import scratch_path
 
 #: Internal columns carry this prefix, so they never meet a column of the caller.
@@ -83,3 +87,36 @@ def words_of(text: str) -> list[bytes]:
 
 def series_of(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]
+
+
+def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+            most: int, *more: str) -> DataFrame:
+    """(text, label, *more) of at most ``most`` labelled documents, written.
+
+    Those with the smallest hash of the id are taken from the labels alone, so only their
+    ids (a bounded number) are sent to the scan of the texts.  Rows of one id count once.
+    """
+    chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+              .groupBy(F.col(id_col).cast("long").alias(ID)).agg(F.max(F.col(label_col).cast("int")).alias("label"))
+              .orderBy(F.xxhash64(ID), ID).limit(most))
+    found = (docs.select(F.col(id_col).cast("long").alias(ID), F.struct(F.col(text_col).cast("string").alias("text"), *more).alias("row"))
+             .join(F.broadcast(chosen), ID))
+    rows = found.groupBy(ID, "label").agg(F.min("row").alias("row")).select("label", "row.*")
+    return written(rows.repartition(24, F.xxhash64("text")), "labelled")
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as --py-files does; once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_faretrail_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(faretrail.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="faretrail-zip-"), "faretrail_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("faretrail", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._faretrail_shipped = True

@@ -16,11 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import chunks, series_of, words_of
+from faretrail.llm.common import chunks, sampled, series_of, words_of
 
 BUCKETS = 1 << 12
 RANK = 8
-#: Labelled rows that the model is fitted on at most (those with the smallest text hash).
+#: Labelled documents that the model is fitted on at most (those with the smallest hash of the id).
 MAX_TRAIN = 8_000
 _SPACE = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>{}[]\\^~=+_@/"
@@ -134,13 +134,13 @@ def fit(row, bucket, value, stats, y: np.ndarray, rank: int = RANK, epochs: int
     return m
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
-          n_chars_col: str | None = None, max_train: int = MAX_TRAIN) -> Machine | float:
-    """A machine from labelled rows (null labels are left out), fitted on a bounded sample:
-    the ``max_train`` rows with the smallest hash of the text.  With labels of one kind only,
-    that kind's share is returned in its place."""
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "quality", n_chars_col: str | None = None, max_train: int = MAX_TRAIN) -> Machine | float:
+    """A machine from the texts of labelled ids (null labels are left out), fitted on at most
+    ``max_train`` of them.  With labels of one kind only, that kind's share is returned in
+    its place."""
     n_chars = F.col(n_chars_col).cast("double") if n_chars_col else F.lit(None).cast("double")
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), n_chars.alias("n"), F.col(label_col).cast("int").alias("y")).where("y is not null")
+    rows = sampled(docs.withColumn("_ft_n", n_chars), labels, id_col, text_col, label_col, max_train, "_ft_n")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -151,7 +151,7 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
                 yield pd.DataFrame({"y": b["y"].to_numpy()[lo:hi], "bucket": np.split(bucket.astype(np.int16), cut),
                                     "value": np.split(value.astype(np.float32), cut), "stats": list(stats)})
 
-    sample = (rows.orderBy(F.xxhash64("text"), "y").limit(max_train).repartition(12, F.xxhash64("text"))
+    sample = (rows.select("text", F.col("_ft_n").alias("n"), F.col("label").alias("y"))
               .mapInPandas(run, "y int, bucket array<short>, value array<float>, stats array<double>").toPandas())
     if sample["y"].nunique() < 2:
         return float(sample["y"].mean()) if len(sample) else 0.5

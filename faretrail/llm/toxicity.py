@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import series_of
+from faretrail.llm.common import sampled, series_of
 
 #: Terms with a weight of their own, before any are learned.
 TERMS = ("idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "pathetic", "worthless",
@@ -163,18 +163,16 @@ def hash_of(word: str) -> int:
     return zlib.crc32(word.encode())
 
 
-def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
-          max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS, min_support: int = 8,
-          min_precision: float = 0.9) -> Lexicon:
-    """A lexicon from labelled rows (label 1: toxic; null labels are left out).
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS,
+          min_support: int = 8, min_precision: float = 0.9) -> Lexicon:
+    """A lexicon from the texts of labelled ids (label 1: toxic; null labels are left out).
 
-    At most ``max_train`` rows are used, those with the smallest hash of the text.  A term
-    must occur in ``min_support`` toxic documents, hardly in others, and before different
-    words, as copies of one text would not give.  Without labels: the fixed terms alone.
+    At most ``max_train`` of them are used.  A term must occur in ``min_support`` toxic
+    documents, hardly in others, and before different words, as copies of one text would not
+    give.  Without labels: the fixed terms alone.
     """
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("toxic")).where("toxic is not null")
-    sample = rows.orderBy(F.xxhash64("text"), "toxic").limit(max_train)
-    sample = sample.repartition(24, F.xxhash64("text"))
+    sample = sampled(docs, labels, id_col, text_col, label_col, max_train).withColumnRenamed("label", "toxic")
     counts = (sample.mapInPandas(_term_counts, "term string, toxic long, other long, after long")
               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_count(F.bit_or("after")).alias("after"))
               .where((F.col("toxic") >= min_support) & (F.col("after") >= min_support // 2 + 2)
