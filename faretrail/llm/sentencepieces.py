@@ -294,7 +294,7 @@ def decoded(ids: Column, model: str | None = None) -> Column:
     @F.pandas_udf("string")
     def run(column: pd.Series) -> pd.Series:
         v = vocabulary(model)
-        return pd.Series([None if x is None else decode(v, x) for x in column])
+        return pd.Series([None if x is None else decode(v, x) for x in column], dtype=object)
 
     return run(ids)
 

@@ -179,7 +179,7 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 for t, cut in zip(b[TEXT], cuts, strict=True)]
         ids = b[ID].astype("Int64").where(b[ID] != -(2**63))
         return {"doc_id": ids, "n_words": [len(c) for c in cuts], "n_removed": [int(c.sum()) for c in cuts],
-                "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]}
+                "kept_sha256": pd.Series([hashlib.sha256(k).hexdigest() for k in kept], dtype=object)}
 
     rows = keyed(docs, id_col, text_col)
     return _applied(rows, repeats(rows, span, seed), span,
@@ -209,7 +209,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     @F.pandas_udf("string")
     def cut(parts: pd.DataFrame) -> pd.Series:
         return pd.Series([t if r is None or not isinstance(t, str) else cut_text(t, covered(len(words_of(t)), r, span))
-                          for t, r in zip(parts[TEXT], parts["_ft_r"], strict=True)])
+                          for t, r in zip(parts[TEXT], parts["_ft_r"], strict=True)], dtype=object)
 
     found = found.withColumnRenamed("r", "_ft_r")
     joined = with_key(docs, id_col, text_col).join(found, [ID, TH], "left")

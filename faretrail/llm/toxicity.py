@@ -153,10 +153,10 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for t, m in own.items():
                     after[t] |= m
         terms = list(by[1])  # those of other documents alone are never chosen ...
-        yield pd.DataFrame({"term": terms, "toxic": [by[1][t] for t in terms], "other": [by[0][t] for t in terms],
+        yield pd.DataFrame({"term": pd.Series(terms, dtype=object), "toxic": [by[1][t] for t in terms], "other": [by[0][t] for t in terms],
                             "after": np.array([after[t] for t in terms], dtype=np.uint64).view(np.int64)})
         rest = [t for t in by[0] if t not in by[1]]  # ... but count against what other batches have
-        yield pd.DataFrame({"term": rest, "toxic": 0, "other": [by[0][t] for t in rest], "after": 0})
+        yield pd.DataFrame({"term": pd.Series(rest, dtype=object), "toxic": 0, "other": [by[0][t] for t in rest], "after": 0})
 
 
 def hash_of(word: str) -> int:
