@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faretrail.llm.common import ID, TEXT, TH, chunks, keyed, original_id, with_key, words_of, written
@@ -66,21 +66,45 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, size: int) ->
     return keyed(docs, id_col, text_col).mapInPandas(run, f"{ID} long, {TH} long, fp long")
 
 
-def variants(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(key, fp): every segment with every one of its bits left out."""
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >= 1 << 63 else m
+
+
+def wildcards(max_bits: int) -> list[tuple[int, int, int]]:
+    """(segment, bit left out, first bit of the segment) as masks, for every variant."""
     parts = max_bits // 2 + 1
     width = -(-64 // parts)
-    masks = []
+    out = []
     for s in range(parts):
         bits = range(s * width, min(64, (s + 1) * width))
-        full = sum(1 << b for b in bits)
-        masks += [full & ~(1 << b) for b in bits]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    keys = F.array(*(F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-                     for i, m in enumerate(signed)))
+        out += [(sum(1 << b for b in bits), 1 << b, 1 << bits[0]) for b in bits]
+    return out
+
+
+def variants(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(part, key, fp): every segment with every one of its bits left out."""
+    keys = F.array(*(F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(full & ~bit))).alias("key"))
+                     for i, (full, bit, _) in enumerate(wildcards(max_bits))))
     return fps.select("fp", F.explode(keys).alias("k")).select("k.part", "k.key", "fp")
 
 
+def _linked(max_bits: int) -> tuple[Column, ...]:
+    """Verified pairs of a bucket ``m``, each given by one variant of a segment: the one
+    without the bit that differs, or without the first bit if none does."""
+    full, bit, first = (F.element_at(F.array(*(F.lit(_signed(x)).cast("long") for x in xs)), F.col("part") + 1)
+                        for xs in zip(*wildcards(max_bits), strict=True))
+
+    def of(a: Column, i: Column) -> Column:
+        def linked(b: Column) -> Column:
+            own = a.bitwiseXOR(b).bitwiseAND(F.col("full"))
+            return (F.bit_count(a.bitwiseXOR(b)) <= max_bits) & ((own == F.col("bit")) | ((own == 0) & (F.col("bit") == F.col("first"))))
+
+        others = F.filter(F.slice(F.col("m"), i + 2, F.size("m")), linked)
+        return F.transform(others, lambda b: F.struct(a.alias("a"), b.alias("b")))
+
+    return full.alias("full"), bit.alias("bit"), first.alias("first"), F.flatten(F.transform("m", of))
+
+
 def balls(fps: DataFrame, max_bits: int) -> DataFrame:
     """(key, fp): all fingerprints within max_bits // 2 bits of fp (and one more bit left out
     if max_bits is odd).  Two share one exactly if at most max_bits bits differ."""
@@ -105,12 +129,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, small: int = SMALL_BUCKET) -
     """
     index = variants(fps, max_bits)
     sizes = written(index.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    shared = written(index.join(sizes, ["part", "key"]).select("part", "key", "fp", "n"), "variants")
+    # the sizes grow with the corpus, so they are merged, never sent to every task
+    shared = written(index.join(sizes.hint("merge"), ["part", "key"]).select("part", "key", "fp", "n"), "variants")
     few = (shared.where(F.col("n") <= small).groupBy("part", "key")
            .agg(F.sort_array(F.collect_list("fp")).alias("m")))
-    pairs = (few.select("m", F.posexplode("m").alias("i", "a"))
-             .select("a", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("b"))
-             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
+    full, bit, first, linked = _linked(max_bits)
+    pairs = few.select("m", full, bit, first).select(F.explode(linked).alias("e")).select("e.a", "e.b")
     around = balls(shared.where(F.col("n") > small).select("fp").distinct(), max_bits)
     hubs = written(around.groupBy("part", "key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1"), "hubs")
     stars = around.join(hubs, ["part", "key"]).where("fp <> a").select("a", F.col("fp").alias("b"))
