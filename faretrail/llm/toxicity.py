@@ -67,7 +67,7 @@ _FOLD = _Fold()
 def fold(text: str) -> str:
     """" words of letters with one space before, between and after each "."""
     text = _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), text).translate(_FOLD)
-    return " " + " ".join(text.split()) + " "
+    return " ".join(["", *text.split(), ""])
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ class Lexicon:
 
 
 def base_lexicon() -> Lexicon:
-    return Lexicon(tuple((f" {w} ", BASE_WEIGHT) for w in TERMS))
+    return Lexicon(tuple(sorted((f" {w} ", BASE_WEIGHT) for w in TERMS)))
 
 
 @functools.lru_cache(maxsize=4)

@@ -1,0 +1,148 @@
+"""Quality, toxicity and outlier rules: rows of every kind, held-out accuracy, plain Python."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from faretrail.llm import outliers, quality, toxicity
+from faretrail.llm.queries import in_fold
+
+DATA = "/root/testdata/sf0.1"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+
+
+def test_fold_and_match():
+    lex = toxicity.base_lexicon()
+    assert toxicity.fold("1d10t Mоrоn, $tupid! ıdiot$$$") == " idiot moron stupid idiot "
+    assert toxicity.weigh(lex, toxicity.fold("Take out the trash can")) == (0.0, 5)
+    assert toxicity.weigh(lex, toxicity.fold("such trash, you clown"))[0] == 2 * toxicity.BASE_WEIGHT
+    assert toxicity.weigh(lex, toxicity.fold("clownfish and trashy idiotic")) == (0.0, 4)
+    assert toxicity.weigh(lex, toxicity.fold("")) == (0.0, 0)
+    for c, like in toxicity.LOOK_ALIKES.items():
+        assert toxicity.fold(c).strip() == like, c
+
+
+def test_toxicity_held_out(labelled):
+    docs, labels = labelled
+    held = in_fold("doc_id", 3, 1)
+    lex = toxicity.learn(docs, labels.where(~held))
+    rows = docs.join(labels.where(held), "doc_id").select("toxic", "lang", toxicity.scored(F.col("text"), lex).alias("s")).toPandas()
+    said = rows.s >= 0.7
+    assert (said == (rows.toxic == 1)).mean() > 0.95
+    assert said[rows.toxic == 0].mean() < 0.005
+    english = rows.lang == "en"
+    assert said[(rows.toxic == 1) & english].mean() > 0.9
+
+
+def test_toxicity_without_labels(spark, odd_docs, no_docs):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    lex = toxicity.learn(odd_docs, none)
+    assert lex == toxicity.base_lexicon()
+    scores = [x.s for x in odd_docs.select(toxicity.scored(F.col("text"), lex).alias("s")).collect()]
+    assert len(scores) == odd_docs.count() and all(0 <= s < 0.7 for s in scores)
+    assert no_docs.select(toxicity.scored(F.col("text"), lex)).count() == 0
+    bad = spark.createDataFrame([("you m0r0n",)], "text string").select(toxicity.scored(F.col("text"), lex).alias("s")).first().s
+    assert bad >= 0.7
+
+
+def test_sum_of_squares_identity():
+    r = np.random.default_rng(1)
+    n = 5
+    m = quality.Machine(0.3, r.normal(size=quality.BUCKETS), r.normal(size=(quality.BUCKETS, 3)), r.normal(size=quality._N_STATS),
+                        r.normal(size=(quality._N_STATS, 3)), np.zeros(quality._N_STATS), np.ones(quality._N_STATS))
+    row, bucket = np.repeat(np.arange(n), 4), r.integers(0, quality.BUCKETS, 4 * n)
+    value, stats = r.normal(size=4 * n), r.normal(size=(n, quality._N_STATS)).clip(-4, 4)
+    got = m.sums(row, bucket, value, stats)[2]
+    for i in range(n):
+        x = np.r_[value[row == i], stats[i]]
+        w = np.r_[m.word_w[bucket[row == i]], m.stat_w]
+        v = np.r_[m.word_v[bucket[row == i]], m.stat_v]
+        pairs = sum(v[a] @ v[b] * x[a] * x[b] for a in range(len(x)) for b in range(a))
+        assert got[i] == pytest.approx(0.3 + w @ x + pairs)
+
+
+def test_quality_held_out(labelled):
+    docs, labels = labelled
+    held = in_fold("doc_id", 5, 0)
+    machine = quality.learn(docs, labels.where(~held), n_chars_col="n_chars")
+    rows = docs.join(labels.where(held), "doc_id").select("quality", quality.scored(F.col("text"), machine, F.col("n_chars")).alias("s")).toPandas()
+    assert ((rows.s >= 0.3) == (rows.quality == 1)).mean() > 0.97
+
+
+def test_quality_odd_rows(spark, wide_docs, no_docs):
+    labels = spark.createDataFrame([(1, 0), (2, 0), (5, 1), (6, 1), (4, None), (8, 1), (99, 1)], "doc_id long, quality int")
+    machine = quality.learn(wide_docs, labels, n_chars_col="n_chars")
+    rows = wide_docs.select("doc_id", quality.scored(F.col("text"), machine, F.col("n_chars")).alias("s")).collect()
+    assert len(rows) == wide_docs.count() and all(0 <= x.s <= 1 for x in rows)
+    assert quality.learn(wide_docs, labels.where("quality = 1")) == 1.0
+    assert quality.learn(no_docs, labels) == 0.5
+    assert no_docs.select(quality.scored(F.col("text"), machine)).count() == 0
+
+
+def plain_statistics(text):
+    text = text or ""
+    w = WORD.findall(text)
+    grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    twice = Counter(grams)
+    covered = {j for i, g in enumerate(grams) if twice[g] > 1 for j in (i, i + 1, i + 2)}
+    own = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(own) - len(set(own)), len(covered)
+
+
+def test_base_statistics(spark, odd_docs):
+    r = random.Random(3)
+    texts = ["a b c a b c", "x x x x x", "l\nl\n\nl \n", "a#b $c| <d> &*%", " \t\x0b\x0c\r\n", "a\x1cb c 🙂 d"]
+    texts += [r.choice([" ", "\n"]).join(r.choices("abcde", k=r.randint(0, 60))) for _ in range(150)]
+    docs = spark.createDataFrame([(100 + i, t, "en", "s", 0) for i, t in enumerate(texts)], odd_docs.schema).unionByName(odd_docs)
+    got = {x.doc_id: x for x in outliers.judged(docs).collect()}
+    for x in docs.collect():
+        g = got[x.doc_id]
+        want = plain_statistics(x.text)
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == want, x.text
+        assert g.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (g.kept and g.base_failed)
+
+
+def test_outliers_against_plain_concentration(spark):
+    """The same steps in numpy on one group: nearly the same distances, the same verdicts."""
+    r = random.Random(5)
+    texts = []
+    for i in range(400):
+        words = ["".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(r.randint(60, 400))]
+        if i % 20 == 0:
+            words = [w + "###" for w in words]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {x.doc_id: x for x in outliers.judged(docs).collect()}
+    x = []
+    for t in texts:
+        n, c, s, d, p = plain_statistics(t)
+        x.append((math.log1p(n), math.log(c / n), math.sqrt(s / c), math.sqrt(d / n), math.sqrt(p / n)))
+    x = np.array(x)
+    floor = np.diag(np.array(outliers.FLOOR) ** 2)
+    centre = np.median(x, axis=0)
+    q = np.quantile(x, [0.25, 0.75], axis=0, method="inverted_cdf")
+    cov = np.diag(((q[1] - q[0]) / 1.349) ** 2)
+    for _ in range(outliers.STEPS):
+        dist = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov + floor), x - centre)
+        near = x[dist <= np.quantile(dist, outliers.SHARE, method="inverted_cdf")]
+        centre, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+    dist = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov + floor), x - centre)
+    for i in range(len(texts)):
+        assert got[i].distance == pytest.approx(dist[i], rel=0.1, abs=0.1)
+        assert got[i].kept == (i % 20 != 0)
+
+
+def test_outliers_odd_tables(spark, wide_docs, no_docs):
+    assert outliers.judged(wide_docs).count() == wide_docs.count()
+    assert outliers.judged(no_docs).count() == 0
