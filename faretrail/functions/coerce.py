@@ -17,7 +17,9 @@ from faretrail.schemas import TRIP_COLUMNS, spark_type
 
 # A plain decimal literal (no exponent): sign, whole digits, fraction digits.
 # Legacy casts truncate these to their whole part.
-_DECIMAL_TEXT = r"^\s*([+-]?)(\d*)\.(\d*)\s*$"
+_DECIMAL_TEXT = r"^[\x00-\x20\x7f]*([+-]?)(\d*)\.(\d*)[\x00-\x20\x7f]*$"
+# A time of day followed by a zone: Z, a name or an offset.
+_ZONED_TEXT = r":\d{2}(\.\d+)?\s*([Zz]|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2}|[A-Za-z]+/[A-Za-z_]+)\s*$"
 
 
 def _col(c: str | Column) -> Column:
@@ -33,13 +35,11 @@ def lenient_int(c: str | Column) -> Column:
     c = _col(c)
     sign = F.regexp_extract(c, _DECIMAL_TEXT, 1)
     whole = F.regexp_extract(c, _DECIMAL_TEXT, 2)
-    frac = F.regexp_extract(c, _DECIMAL_TEXT, 3)
-    has_digits = (F.length(whole) > 0) | (F.length(frac) > 0)
     truncated = F.when(F.length(whole) == 0, F.lit(0)).otherwise(
         F.concat(sign, whole).try_cast("int"))
     return F.coalesce(
         c.try_cast("int"),
-        F.when(c.rlike(_DECIMAL_TEXT) & has_digits, truncated),
+        F.when(c.rlike(_DECIMAL_TEXT), truncated),
     )
 
 
@@ -48,8 +48,13 @@ def lenient_double(c: str | Column) -> Column:
 
 
 def lenient_timestamp(c: str | Column) -> Column:
-    """Text -> timestamp without zone (the source text carries none)."""
-    return _col(c).try_cast("timestamp_ntz")
+    """Text -> timestamp without zone.  Text that names a zone gives the UTC wall time, as a
+    zone-aware cast in a UTC session does; a time without a date gives NULL."""
+    c = _col(c)
+    utc = F.timestamp_micros(F.unix_micros(c.try_cast("timestamp")))
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), utc.cast("timestamp_ntz"))
+    dated = c.rlike(r"^\s*[+-]?\d{4,}-\d")
+    return F.when(c.rlike(_ZONED_TEXT) & dated, zoned).otherwise(c.try_cast("timestamp_ntz"))
 
 
 _TEXT_COERCERS = {

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faretrail.session import scratch_path
+from faretrail.session import drop_scratch, scratch_path
 
 PART = "_key_part"
 POS = "_key_pos"
@@ -47,6 +47,12 @@ class RankedStage:
     """A staged global ranking: rows with (partition, position), plus offsets."""
     rows: DataFrame
     offsets: DataFrame
+    paths: tuple[str, ...] = ()
+
+    def release(self) -> None:
+        """Remove the staged files; call once no frame built on them is read again."""
+        for path in self.paths:
+            drop_scratch(self.rows.sparkSession, path)
 
     def row_count(self) -> int:
         """Rows staged (sum over the small offsets table; no data scan)."""
@@ -56,10 +62,28 @@ class RankedStage:
 
 def stage_ranked(df: DataFrame, order_cols: list[str | Column],
                  label: str = "ranked") -> RankedStage:
-    """Sort globally, tag partition and position, write once, read back."""
+    """Sort globally, tag partition and position, write once, read back.
+
+    The input is written before: a range sort reads it twice (bounds, rows), which would
+    parse or join twice.  That first copy is removed at once.
+    """
+    spark = df.sparkSession
+    input_path = scratch_path(spark, label + "-input")
+    df.write.mode("errorifexists").parquet(input_path)
+    staged = _staged(spark.read.parquet(input_path).orderBy(*_order(order_cols)), label)
+    drop_scratch(spark, input_path)
+    return staged
+
+
+def stage_positions(df: DataFrame, label: str = "positions") -> RankedStage:
+    """Tag partition and position in the scan, write once, read back: an order without a
+    shuffle, for rows that have no natural key.  Which id a row gets depends on the splits."""
+    return _staged(df, label)
+
+
+def _staged(df: DataFrame, label: str) -> RankedStage:
     spark = df.sparkSession
-    tagged = (df.orderBy(*_order(order_cols))
-              .withColumn(PART, F.spark_partition_id())
+    tagged = (df.withColumn(PART, F.spark_partition_id())
               .withColumn(POS, F.monotonically_increasing_id()))
     path = scratch_path(spark, label)
     tagged.write.mode("errorifexists").parquet(path)
@@ -70,7 +94,7 @@ def stage_ranked(df: DataFrame, order_cols: list[str | Column],
     offsets = counts.select(PART, "_rows", FIRST,
                             (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
     offsets.coalesce(1).write.mode("errorifexists").parquet(path + "-offsets")
-    return RankedStage(rows, spark.read.parquet(path + "-offsets"))
+    return RankedStage(rows, spark.read.parquet(path + "-offsets"), (path, path + "-offsets"))
 
 
 def attach_dense_id(stage: RankedStage, id_col: str = "trip_id",

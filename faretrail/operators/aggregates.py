@@ -25,8 +25,10 @@ def grouped_count(df: DataFrame, key: str, key_alias: str | None = None,
 def grouped_count_sql(df: DataFrame, key: str, count_alias: str = "count") -> DataFrame:
     """Same count through Spark SQL over the frame (bound as a parameter,
     no session-global view)."""
+    name = "`" + key.replace("`", "``") + "`"
+    alias = "`" + count_alias.replace("`", "``") + "`"
     return df.sparkSession.sql(
-        f"SELECT {key}, count(*) AS {count_alias} FROM {{trips}} GROUP BY {key}", trips=df)
+        f"SELECT {name}, count(*) AS {alias} FROM {{trips}} GROUP BY {name}", trips=df)
 
 
 def row_count(df: DataFrame, alias: str = "n") -> DataFrame:

@@ -1,68 +1,48 @@
-"""Equi-joins with an explicit, checked physical strategy.
+"""Equi-joins with a chosen physical strategy.
 
-``strategy``:
-
-- ``auto`` -- no hint; Catalyst/AQE choose from statistics (literal
-  dimensions carry exact sizes and broadcast by themselves).
-- ``broadcast_right`` / ``broadcast_left`` -- broadcast one side, but only
-  after a bounded row check proves it small; past the bound the join falls
-  back to a shuffle sort-merge join (never a blind broadcast of a big side).
+- ``auto`` -- no hint: Catalyst and AQE choose from statistics.  A literal dimension carries
+  its exact size and is broadcast by that; anything else only under Spark's byte threshold.
 - ``merge`` -- shuffle sort-merge join.
 - ``shuffle_hash`` -- shuffle hash join.
 
-No session setting is changed; hints are per join.
+Building a plan runs no job, no session setting is changed, and no side is broadcast by a
+hint: neither a fact nor a dimension has a size that the caller could vouch for.
 """
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STRATEGIES = ("auto", "broadcast_right", "broadcast_left", "merge", "shuffle_hash")
+STRATEGIES = ("auto", "merge", "shuffle_hash")
+SALT = "_join_salt"
 
-# Largest side we broadcast after checking it, in rows.  With fixed-width rows
-# (the fact is ~130 bytes) this bounds the broadcast at ~130 MB per executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def _hinted(df: DataFrame, strategy: str) -> DataFrame:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    return df if strategy == "auto" else df.hint(strategy)
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: it stops reading once the bound is
-    passed, so the check costs at most ``max_rows + 1`` rows, never a full scan.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def join(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
+         how: str = "inner", strategy: str = "auto") -> DataFrame:
+    return left.join(_hinted(right, strategy), on, how)
 
 
-def join(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
-         how: str = "inner", strategy: str = "auto",
-         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "broadcast_right":
-        if fits(right, max_broadcast_rows):
-            return left.join(F.broadcast(right), on, how)
-        warnings.warn("right side exceeds the broadcast bound; using sort-merge join")
-        return left.join(right.hint("merge"), on, how)
-    if strategy == "broadcast_left":
-        if fits(left, max_broadcast_rows):
-            warnings.warn("broadcasting the left (usually larger) side; broadcast_right "
-                          "ships the dimension instead")
-            return F.broadcast(left).join(right, on, how)
-        warnings.warn("left side exceeds the broadcast bound; using sort-merge join")
-        return left.join(right.hint("merge"), on, how)
-    if strategy == "merge":
-        return left.join(right.hint("merge"), on, how)
-    if strategy == "shuffle_hash":
-        return left.join(right.hint("shuffle_hash"), on, how)
-    return left.join(right, on, how)
+def salted_join(left: DataFrame, right: DataFrame, on: str, strategy: str = "merge",
+                salts: int = 32) -> DataFrame:
+    """Inner join of a large ``left`` to a small ``right`` on few key values.
+
+    Every left row takes a salt from its own content and every right row stands once per
+    salt, so the rows of one key meet in ``salts`` tasks, with or without AQE.
+    """
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn(SALT, salt).join(_hinted(spread, strategy), [on, SALT]).drop(SALT)
 
 
 def join_on(left: DataFrame, right: DataFrame, left_keys: list[str],
-            right_keys: list[str], how: str = "inner", strategy: str = "auto",
-            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            right_keys: list[str], how: str = "inner", strategy: str = "auto") -> DataFrame:
     """Join on differently named key paths; both key columns are kept."""
     if len(left_keys) != len(right_keys):
         raise ValueError("key lists differ in length")
@@ -70,4 +50,4 @@ def join_on(left: DataFrame, right: DataFrame, left_keys: list[str],
     for lk, rk in zip(left_keys, right_keys):
         term = left[lk] == right[rk]
         cond = term if cond is None else cond & term
-    return join(left, right, cond, how, strategy, max_broadcast_rows)
+    return join(left, right, cond, how, strategy)

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
 from faretrail.functions.dates import date_labels
-from faretrail.functions.keys import LANDING_POS, dense_key, monotonic_key, with_landing_position
+from faretrail.functions.keys import RankedStage, attach_dense_id, monotonic_key, stage_positions, stage_ranked
 from faretrail.session import scratch_path
 from faretrail.schemas import (DROPOFF_DIM_COLUMNS, DROPOFF_ID, FACT_COLUMNS,
-                               PICKUP_DIM_COLUMNS, PICKUP_ID, TRIP_COLUMNS, TRIP_ID)
+                               PICKUP_DIM_COLUMNS, PICKUP_ID, TRIP_ID)
 
 
 def with_location_ids(keyed: DataFrame) -> DataFrame:
@@ -27,28 +27,31 @@ def with_location_ids(keyed: DataFrame) -> DataFrame:
 
 
 def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
-              key: str = "dense", start: int = 1) -> DataFrame:
+              key: str = "dense", start: int = 1,
+              stages: list[RankedStage] | None = None) -> DataFrame:
     """Typed trips with ``trip_id``, ``pickup_location_id``, ``dropff_location_id``.
 
     ``key='dense'``: deterministic 1-based rank over ``order_cols``.  Without a
-    natural key (``order_cols=None``) the order is every contract column plus
-    the row's position in the landing scan -- pass the file read itself as
-    ``raw`` so that position is stable under task retries; it separates exact
-    duplicate rows, so even a group of identical copies holding a large share
-    of the data is split across sort partitions.
-    ``key='monotonic'``: the sparse split-dependent id.
+    natural key (``order_cols=None``) the order is that of the scan: dense ids
+    1..n without any shuffle.  ``key='monotonic'``: the sparse split-dependent id.
+
+    ``stages`` collects what was staged; its owner releases it after the load.
     """
-    if key == "dense" and order_cols is None:
-        raw = with_landing_position(raw)
-        order_cols = list(TRIP_COLUMNS) + [LANDING_POS]
     typed = type_trips(raw)
     if key == "monotonic":
         # staged once, so every derived table sees the same split-dependent ids
         path = scratch_path(raw.sparkSession, "trips-monotonic")
         monotonic_key(typed).write.parquet(path)
         keyed = raw.sparkSession.read.parquet(path)
+        if stages is not None:
+            stages.append(RankedStage(keyed, keyed, (path,)))
     elif key == "dense":
-        keyed = dense_key(typed, order_cols, start=start, label="trips").drop(LANDING_POS)
+        stage = (stage_positions(typed, "trips") if order_cols is None
+                 else stage_ranked(typed, order_cols, "trips"))
+        if stages is not None:
+            stages.append(stage)
+        keyed = attach_dense_id(stage, start=start)
+        keyed = keyed.select(TRIP_ID, *[c for c in keyed.columns if c != TRIP_ID])
     else:
         raise ValueError(f"unknown key kind {key!r}")
     return with_location_ids(keyed)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretrail.operators.aggregates import grouped_count
-from faretrail.operators.joins import DEFAULT_BROADCAST_ROWS, join, join_on
+from faretrail.operators.joins import join, join_on, salted_join
 from faretrail.schemas import ANALYSIS_COLUMNS, ANALYSIS_FIELD_PATHS, resolve_column
 
 
@@ -27,30 +27,29 @@ def vendor_trip_counts(fact: DataFrame, vendors: DataFrame) -> DataFrame:
                         vendors["VendorName"].alias("vendorname"))
 
 
-def trip_vendor(fact: DataFrame, vendors: DataFrame, strategy: str = "broadcast_right",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def trip_vendor(fact: DataFrame, vendors: DataFrame, strategy: str = "auto") -> DataFrame:
     """Each trip with its vendor name; ``strategy`` picks the physical join.
 
-    ``broadcast_right`` broadcasts the (literal) vendor dimension -- the right
-    default.  ``broadcast_left`` broadcasts the trips, only when the bounded
-    size check passes.  ``merge`` forces a sort-merge join.  Rows are the
-    same under every strategy.
+    ``auto`` lets the exact statistics of the literal dimension broadcast it.
+    ``merge`` and ``shuffle_hash`` shuffle both sides with a salt, as two or
+    three vendors would otherwise be two or three tasks.  Rows are the same
+    under every strategy.
     """
-    joined = join(fact, vendors, "VendorID", "inner", strategy, max_broadcast_rows)
+    joined = (join(fact, vendors, "VendorID") if strategy == "auto"
+              else salted_join(fact, vendors, "VendorID", strategy))
     return joined.select("trip_id", "VendorID", "VendorName")
 
 
 def trip_locations(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
-                   strategy: str = "auto",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   strategy: str = "auto") -> DataFrame:
     """Fact joined to both location dimensions -> the 11-column analysis table.
 
     Both dimensions are as large as the fact, so by default neither is
     broadcast: AQE plans shuffle joins on the bigint ids (and switches to a
     broadcast at run time only if a side turns out small).
     """
-    j1 = join(fact, pickup, "pickup_location_id", "inner", strategy, max_broadcast_rows)
-    j2 = join(j1, dropoff, "dropff_location_id", "inner", strategy, max_broadcast_rows)
+    j1 = join(fact, pickup, "pickup_location_id", "inner", strategy)
+    j2 = join(j1, dropoff, "dropff_location_id", "inner", strategy)
     return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_COLUMNS])
 
 

@@ -27,34 +27,41 @@ from faretrail.sources.files import read_partitioned, read_trips_csv, read_trips
 
 
 def _load(spark: SparkSession, raw: DataFrame, suffix: str, location_root: str | None,
-          order_cols: list[str] | None, buckets: int | None = None) -> dict[str, str]:
-    built = warehouse.build_star(spark, raw, order_cols=order_cols)
-    return warehouse.load_star(built, suffix, location_root, buckets)
+          order_cols: list[str] | None, buckets: int | None = None,
+          key: str = "dense") -> dict[str, str]:
+    built = warehouse.build_star(spark, raw, order_cols=order_cols, key=key)
+    try:
+        return warehouse.load_star(built, suffix, location_root, buckets)
+    finally:
+        built.release()
 
 
 def load_csv(spark: SparkSession, path: str, suffix: str = "", location_root: str | None = None,
-             order_cols: list[str] | None = None, buckets: int | None = None) -> dict[str, str]:
+             order_cols: list[str] | None = None, buckets: int | None = None,
+             key: str = "dense") -> dict[str, str]:
     """Header CSV landing (no inference pass) -> star tables ``<name><suffix>``."""
-    return _load(spark, read_trips_csv(spark, path), suffix, location_root, order_cols, buckets)
+    return _load(spark, read_trips_csv(spark, path), suffix, location_root, order_cols, buckets, key)
 
 
 def load_parquet(spark: SparkSession, path: str, suffix: str = "_parq",
                  location_root: str | None = None, recursive: bool = False,
-                 order_cols: list[str] | None = None, buckets: int | None = None) -> dict[str, str]:
+                 order_cols: list[str] | None = None, buckets: int | None = None,
+             key: str = "dense") -> dict[str, str]:
     """Parquet landing (text or typed columns) -> star tables."""
     raw = read_trips_parquet(spark, path, recursive=recursive)
-    return _load(spark, raw, suffix, location_root, order_cols, buckets)
+    return _load(spark, raw, suffix, location_root, order_cols, buckets, key)
 
 
 def load_catalog(spark: SparkSession, source: str, suffix: str = "_partitioned",
                  catalog_predicate: str | None = None, push_down_predicate: str | None = None,
                  is_table: bool = True, location_root: str | None = None,
-                 order_cols: list[str] | None = None, buckets: int | None = None) -> dict[str, str]:
+                 order_cols: list[str] | None = None, buckets: int | None = None,
+             key: str = "dense") -> dict[str, str]:
     """Partitioned landing table, pruned by partition predicates -> star tables.
     The partition columns reach the typed frame and are dropped by the
     fact/dimension projections."""
     raw = read_partitioned(spark, source, catalog_predicate, push_down_predicate, is_table)
-    return _load(spark, raw, suffix, location_root, order_cols, buckets)
+    return _load(spark, raw, suffix, location_root, order_cols, buckets, key)
 
 
 def convert_csv_to_parquet(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists") -> None:
@@ -70,11 +77,11 @@ def analyse(spark: SparkSession, suffix: str = "") -> DataFrame:
 def analyse_locations(spark: SparkSession, suffix: str = "", table: str | None = None,
                       location: str | None = None) -> DataFrame:
     """Fact joined to both location dimensions of ``suffix``; truncate-loaded
-    into ``table`` when given (staged first, since it may read its target)."""
+    into ``table`` when given (staged first only if it reads its target)."""
     names = {n: f"{n}{suffix}" for n in warehouse.TABLE_NAMES}
     result = warehouse.analyse_locations_loaded(spark, names)
     if table:
-        truncate_load(result, table, location, stage_first=True)
+        truncate_load(result, table, location, stage_first=table.lower() in {n.lower() for n in names.values()})
         return spark.table(table)
     return result
 
@@ -89,6 +96,9 @@ def main(argv: list[str] | None = None) -> None:
         j.add_argument("--location-root", default=None)
         j.add_argument("--buckets", type=int, default=None,
                        help="bucket the trip-keyed tables on their ids")
+        j.add_argument("--key", choices=("dense", "monotonic"), default="dense")
+        j.add_argument("--order-cols", nargs="+", default=None,
+                       help="natural key; without it, ids follow the scan and nothing is sorted")
         if name == "load-parquet":
             j.add_argument("--recursive", action="store_true")
         if name == "load-catalog":
@@ -109,14 +119,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"faretrail-{args.job}").getOrCreate()
     if args.job == "load-csv":
         load_csv(spark, args.source, args.suffix if args.suffix is not None else "", args.location_root,
-                 buckets=args.buckets)
+                 buckets=args.buckets, key=args.key, order_cols=args.order_cols)
     elif args.job == "load-parquet":
         load_parquet(spark, args.source, args.suffix if args.suffix is not None else "_parq",
-                     args.location_root, args.recursive, buckets=args.buckets)
+                     args.location_root, args.recursive, buckets=args.buckets, key=args.key, order_cols=args.order_cols)
     elif args.job == "load-catalog":
         load_catalog(spark, args.source, args.suffix if args.suffix is not None else "_partitioned",
                      args.catalog_predicate, args.push_down_predicate, not args.path,
-                     args.location_root, buckets=args.buckets)
+                     args.location_root, buckets=args.buckets, key=args.key, order_cols=args.order_cols)
     elif args.job == "csv-to-parquet":
         convert_csv_to_parquet(spark, args.src, args.dst)
     elif args.job == "analyse-locations":

@@ -13,9 +13,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faretrail.functions.keys import RankedStage
 from faretrail.operators import star
 from faretrail.plans.analysis import trip_locations, vendor_trip_counts
-from faretrail.sinks.tables import truncate_load
+from faretrail.sinks.tables import stage, truncate_load
 from faretrail.sources import literals
 
 # Warehouse table names in load order (fixed contract), before the suffix.
@@ -43,12 +44,19 @@ BUCKET_KEYS = {
 class StarTables:
     trips: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    stages: list[RankedStage] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Remove the staged trips; the tables above can't be read after."""
+        for stage in self.stages:
+            stage.release()
 
 
 def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None = None,
                key: str = "dense", date_dim_form: str = "single") -> StarTables:
     """Type and key ``raw`` once, then derive the seven tables lazily."""
-    trips = star.key_trips(raw, order_cols=order_cols, key=key)
+    stages: list[RankedStage] = []
+    trips = star.key_trips(raw, order_cols=order_cols, key=key, stages=stages)
     dates = {"single": star.date_dim, "prededup": star.date_dim_prededup,
              "dedup_rows": star.date_dim_dedup_rows}[date_dim_form](trips)
     tables = {
@@ -60,7 +68,7 @@ def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None
         "RateCodesDim": literals.rate_code_dim(spark),
         "VendorsDim": literals.vendor_dim(spark),
     }
-    return StarTables(trips, tables)
+    return StarTables(trips, tables, stages)
 
 
 def load_star(built: StarTables, suffix: str = "", location_root: str | None = None,
@@ -73,11 +81,15 @@ def load_star(built: StarTables, suffix: str = "", location_root: str | None = N
     Worth it when the analysis runs more often than the load.
     """
     loaded = {}
+    # the date dimension is the only one that is computed rather than copied: written before
+    # any table is replaced, so that its failure leaves all seven as they were
+    dates = stage(built.tables["DateDim"], "date-dim")
     for name in TABLE_NAMES:
         table = f"{name}{suffix}"
         location = f"{location_root}/{table}" if location_root else None
         key = BUCKET_KEYS.get(name) if buckets else None
-        loaded[name] = truncate_load(built.tables[name], table, location,
+        rows = dates if name == "DateDim" else built.tables[name]
+        loaded[name] = truncate_load(rows, table, location,
                                      bucket_by=key, buckets=buckets if key else None)
     return loaded
 
@@ -110,5 +122,7 @@ def build_load_analyse(spark: SparkSession, raw: DataFrame, suffix: str,
                        location_root: str | None = None,
                        order_cols: list[str] | None = None) -> DataFrame:
     """Load step then analysis step, handing the suffix from one to the other."""
-    loaded = load_star(build_star(spark, raw, order_cols=order_cols), suffix, location_root)
+    built = build_star(spark, raw, order_cols=order_cols)
+    loaded = load_star(built, suffix, location_root)
+    built.release()
     return analyse_loaded(spark, loaded)

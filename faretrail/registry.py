@@ -19,6 +19,7 @@ from faretrail.functions.keys import dense_key, monotonic_key
 from faretrail.operators import aggregates, star
 from faretrail.operators import preview as preview_ops
 from faretrail.plans import analysis, warehouse
+from faretrail.schemas import TRIP_COLUMNS
 from faretrail.session import scratch_path, unique_name
 from faretrail.sinks import files as sink_files
 from faretrail.sinks.tables import truncate_load
@@ -45,11 +46,7 @@ def register(name: str, oracle: str | None = None):
 
 LENS_CTE = "lens AS (" + lens.lens_sql() + ")"
 NK_ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in lens.NATURAL_KEY)
-TRIP_COLS_SQL = ", ".join([
-    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
-    "trip_distance", "pickup_longitude", "pickup_latitude", "RatecodeID",
-    "dropoff_longitude", "dropoff_latitude", "payment_type", "fare_amount", "extra",
-    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"])
+TRIP_COLS_SQL = ", ".join(TRIP_COLUMNS)
 FACT_SQL = ("trip_id, VendorID, passenger_count, tpep_pickup_datetime, tpep_dropoff_datetime, "
             "trip_distance, RatecodeID, payment_type, fare_amount, extra, mta_tax, tip_amount, "
             "tolls_amount, improvement_surcharge, total_amount, "
@@ -64,13 +61,19 @@ DATE_DIM_SQL = ("SELECT datekey, CAST(datekey AS DATE) AS date, strftime(datekey
 
 
 def vendor_dim_sql() -> str:
-    rows = ", ".join(f"({k}, '{v}')" for k, v in literals.VENDORS)
-    return f"SELECT CAST(k AS INTEGER) AS VendorID, v AS VendorName FROM (VALUES {rows}) t(k, v)"
+    return ("SELECT CAST(k AS INTEGER) AS VendorID, v AS VendorName FROM (VALUES "
+            "(1, 'Creative Mobile Technologies'), (2, 'VeriFone Inc.')) t(k, v)")
 
 
 def rate_dim_sql() -> str:
-    rows = ", ".join(f"({k}, '{v}')" for k, v in literals.RATE_CODES)
-    return f"SELECT CAST(k AS VARCHAR) AS RatecodeID, v AS RatecodeName FROM (VALUES {rows}) t(k, v)"
+    return ("SELECT CAST(k AS VARCHAR) AS RatecodeID, v AS RatecodeName FROM (VALUES "
+            "(1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau or Westchester'), "
+            "(5, 'Negotiated fare'), (6, 'Group ride')) t(k, v)")
+
+
+PAYMENT_SQL = ("SELECT CAST(k AS INTEGER) AS payment_type, v AS payment_type_name FROM (VALUES "
+               "(1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), (5, 'Unknown'), "
+               "(6, 'Voided trip')) t(k, v)")
 
 
 # ---------------------------------------------------------------- shared builders
@@ -89,11 +92,7 @@ def _typed_from_landing(df: DataFrame) -> DataFrame:
     return type_trips(df).select(*LENS_COLUMNS)
 
 
-LENS_COLUMNS = lens.NATURAL_KEY + [
-    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
-    "trip_distance", "pickup_longitude", "pickup_latitude", "RatecodeID",
-    "dropoff_longitude", "dropoff_latitude", "payment_type", "fare_amount", "extra",
-    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"]
+LENS_COLUMNS = lens.NATURAL_KEY + list(TRIP_COLUMNS)
 ANALYSIS_SQL = ("trip_id, VendorID AS vendorid, trip_distance, tpep_pickup_datetime, "
                 "tpep_dropoff_datetime, trip_id AS pickup_location_id, pickup_longitude, "
                 "pickup_latitude, trip_id AS dropff_location_id, dropoff_longitude, dropoff_latitude")
@@ -235,8 +234,9 @@ def _trip_vendor(strategy: str) -> Query:
     return run
 
 
-register("trip_vendor_broadcast_dim", _TRIP_VENDOR_SQL)(_trip_vendor("broadcast_right"))
-register("trip_vendor_broadcast_fact", _TRIP_VENDOR_SQL)(_trip_vendor("broadcast_left"))
+register("trip_vendor_broadcast_dim", _TRIP_VENDOR_SQL)(_trip_vendor("auto"))
+# The fact has no bounded size, so it is never broadcast: a salted shuffle join gives its rows.
+register("trip_vendor_broadcast_fact", _TRIP_VENDOR_SQL)(_trip_vendor("shuffle_hash"))
 register("trip_vendor_sortmerge", _TRIP_VENDOR_SQL)(_trip_vendor("merge"))
 
 
@@ -268,9 +268,14 @@ def preview_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview_ops.preview(star.fact_trips(_keyed_trips(spark, sf_dir)), 20, "trip_id")
 
 
-@register("partition_stats")
+@register("partition_stats", f"""
+WITH {LENS_CTE} SELECT CAST(16 AS BIGINT) AS partitions, count(*) AS rows,
+  CAST(ceil(count(*) / 16.0) AS BIGINT) AS largest_partition_rows FROM lens
+""")
 def partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview_ops.partition_stats(star.fact_trips(_keyed_trips(spark, sf_dir)))
+    """Statistics of the fact dealt into 16 parts by its dense trip id."""
+    fact = star.fact_trips(_keyed_trips(spark, sf_dir))
+    return preview_ops.partition_stats(fact, F.pmod("trip_id", F.lit(16)))
 
 
 # ---------------------------------------------------------------- sources
@@ -286,6 +291,16 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_from_landing(raw)
 
 
+@register("scan_csv_reordered", _LENS_ALL)
+def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files with their own column order and one more column, read by header name."""
+    landing = scratch_path(spark, "landing-csv-reordered")
+    raw = lens.raw_trip_lens(spark, sf_dir)
+    own = raw.select(F.lit("x").alias("note"), *reversed(raw.columns))
+    own.write.option("header", True).csv(landing)
+    return _typed_from_landing(src_files.read_trips_csv(spark, landing, extra_types=lens.NATURAL_KEY_TYPES))
+
+
 @register("csv_to_parquet", _LENS_ALL)
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing-csv")
@@ -335,14 +350,14 @@ def sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scan_partitioned", f"""
 WITH {LENS_CTE} SELECT *, {DAY_PARTS_SQL} FROM lens
-WHERE month(tpep_pickup_datetime) = 5 AND day(tpep_pickup_datetime) >= 28
+WHERE year(tpep_pickup_datetime) = 1996 AND month(tpep_pickup_datetime) = 5 AND day(tpep_pickup_datetime) >= 28
 """)
 def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing-hive")
     raw = sink_files.with_day_partitions(lens.raw_trip_lens(spark, sf_dir))
     sink_files.write_partitioned(raw, landing)
     name = src_files.register_partitioned_table(spark, unique_name("trips_hive"), landing)
-    found = src_files.read_partitioned(spark, name, catalog_predicate="month = '5'",
+    found = src_files.read_partitioned(spark, name, catalog_predicate="year = '1996' and month = '5'",
                                        push_down_predicate="date >= 28", is_table=True)
     return type_trips(found).select(*LENS_COLUMNS, "year", "month", "date")
 
@@ -393,12 +408,12 @@ def analysis_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("star_build_counts", f"""
 WITH {DATEKEYS_CTE}
 SELECT 'FactTable' AS table_name, count(*) AS row_count FROM lens
-UNION ALL SELECT 'PaymentTypesDim', CAST({len(literals.PAYMENT_TYPES)} AS BIGINT)
+UNION ALL SELECT 'PaymentTypesDim', CAST(6 AS BIGINT)
 UNION ALL SELECT 'PickupLocationsDim', count(*) FROM lens
 UNION ALL SELECT 'DropOffLocationsDim', count(*) FROM lens
 UNION ALL SELECT 'DateDim', count(*) FROM datekeys
-UNION ALL SELECT 'RateCodesDim', CAST({len(literals.RATE_CODES)} AS BIGINT)
-UNION ALL SELECT 'VendorsDim', CAST({len(literals.VENDORS)} AS BIGINT)
+UNION ALL SELECT 'RateCodesDim', CAST(6 AS BIGINT)
+UNION ALL SELECT 'VendorsDim', CAST(2 AS BIGINT)
 """)
 def star_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = warehouse.build_star(spark, lens.raw_trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
@@ -415,6 +430,28 @@ def loaded_vendor_trip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY)
 
 
+@register("surrogate_key_positions", """
+SELECT count(*) AS n, count(*) AS n_distinct, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM lineitem
+""")
+def surrogate_key_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids in scan order, for trips without a natural key: 1..n whatever the splits."""
+    trips = star.key_trips(lens.trip_lens(spark, sf_dir))
+    return trips.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("n_distinct"),
+                     F.min("trip_id").alias("first_id"), F.max("trip_id").alias("last_id"))
+
+
+@register("loaded_payment_names", f"""
+WITH {KEYED_CTE} SELECT k.trip_id AS trip_id, k.payment_type AS payment_type, p.payment_type_name AS payment_type_name
+FROM keyed k LEFT JOIN ({PAYMENT_SQL}) p ON k.payment_type = p.payment_type
+""")
+def loaded_payment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each loaded trip with the name of its payment type, from the loaded tables."""
+    built = warehouse.build_star(spark, lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
+    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"))
+    fact, names = spark.table(loaded["FactTable"]), spark.table(loaded["PaymentTypesDim"])
+    return fact.join(names, "payment_type", "left").select("trip_id", "payment_type", "payment_type_name")
+
+
 @register("loaded_trip_locations", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
 def loaded_trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build + truncate-load the star (trip-keyed tables bucketed on their ids),

@@ -95,9 +95,3 @@ def raw_schema(extra: dict[str, str] | None = None) -> T.StructType:
     for name, typ in (extra or {}).items():
         fields.append(T.StructField(name, spark_type(typ), True))
     return T.StructType(fields)
-
-
-def typed_schema() -> T.StructType:
-    return T.StructType(
-        [T.StructField(c, spark_type(t), True) for c, t in TRIP_COLUMNS.items()]
-    )

@@ -32,8 +32,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="faretrail-wh-"))
     )
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        # a cluster names its own shared warehouse
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="faretrail-wh-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -74,5 +76,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/faretrail/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a location of :func:`scratch_path`; a missing one is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def unique_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:10]}"

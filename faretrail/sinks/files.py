@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from faretrail.schemas import TRIP_COLUMNS
 
 
+#: Tasks that share a folder's rows when AQE is off.
+FOLDER_SALTS = 4
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -31,7 +35,13 @@ def write_partitioned(df: DataFrame, path: str,
     advisory-size tasks, so a hot day never lands in a single writer.
     """
     cols = list(partition_cols)
-    (df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        dealt = df.hint("rebalance", *cols)
+    else:  # the hint needs AQE; a few salts per folder split a hot one all the same
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(FOLDER_SALTS))
+        dealt = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *cols, salt)
+    (dealt.write.mode(mode).partitionBy(*cols)
      .format(fmt).option("header", True).save(path))
 
 

@@ -42,6 +42,14 @@ def ensure_table(df: DataFrame, table: str, location: str | None = None,
     spark.catalog.createTable(table, source="parquet", schema=df.schema, **kwargs)
 
 
+def bucket_spec(spark, table: str) -> tuple[str, int] | None:
+    """Bucket column and count of an existing table, from the catalog."""
+    found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if not found.get("Num Buckets"):
+        return None
+    return found["Bucket Columns"].strip("[]`").split(",")[0].strip("` "), int(found["Num Buckets"])
+
+
 def truncate_load(df: DataFrame, table: str, location: str | None = None,
                   stage_first: bool = False, bucket_by: str | None = None,
                   buckets: int | None = None) -> str:
@@ -56,6 +64,9 @@ def truncate_load(df: DataFrame, table: str, location: str | None = None,
     if bucket_by and not buckets:
         raise ValueError("bucket_by needs a bucket count")
     ensure_table(df, table, location, bucket_by, buckets)
+    spec = bucket_spec(spark, table)
+    if bucket_by and (spec is None or (spec[0].lower(), spec[1]) != (bucket_by.lower(), buckets)):
+        raise ValueError(f"{table} has buckets {spec}, not {(bucket_by, buckets)}")
     src = stage(df, "truncate-load") if stage_first else df
     by_name = {c.lower(): c for c in src.columns}
     target_cols = spark.table(table).columns
@@ -63,8 +74,8 @@ def truncate_load(df: DataFrame, table: str, location: str | None = None,
     if missing:
         raise ValueError(f"frame lacks columns {missing} of {table}")
     out = src.select(*[by_name[c.lower()] for c in target_cols])
-    if bucket_by:
-        out = out.repartition(buckets, by_name[bucket_by.lower()])
+    if spec:  # also where the caller names no buckets: one file each, not one per task and bucket
+        out = out.repartition(spec[1], by_name[spec[0].lower()])
     out.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     return table

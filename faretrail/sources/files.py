@@ -18,7 +18,9 @@ def read_trips_csv(spark: SparkSession, path: str | list[str],
     ``path`` may itself be a glob (``.../trips-1996-*.csv``); ``file_glob``
     narrows the files of a directory by name.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
+    # every file's header is held against the names read from the first: a file with other or
+    # re-ordered columns fails instead of giving values of the wrong column
+    reader = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     df = reader.csv(path)
@@ -27,11 +29,6 @@ def read_trips_csv(spark: SparkSession, path: str | list[str],
     return df
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header CSV with every column read as text (schema from the header only)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
-
-
 def read_trips_parquet(spark: SparkSession, path: str | list[str],
                        recursive: bool = False) -> DataFrame:
     """Parquet directory or glob.  ``recursive`` walks nested folders without

@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
-from faretrail.functions.keys import (LANDING_POS, attach_dense_id, stage_ranked,
-                                      with_landing_position)
+from faretrail.functions.keys import attach_dense_id, stage_positions, stage_ranked
 from faretrail.operators import star
 from faretrail.schemas import (DROPOFF_DIM_COLUMNS, FACT_COLUMNS, PICKUP_DIM_COLUMNS,
-                               TRIP_COLUMNS, raw_schema)
+                               raw_schema)
+from faretrail.session import path_exists
 
 EPOCH = "load_epoch"
 HIGH_WATER = "_last_trip_id"
+STATE = "_stream_state"
 KEYED_COLUMNS = FACT_COLUMNS + [c for c in PICKUP_DIM_COLUMNS + DROPOFF_DIM_COLUMNS
                                 if c not in FACT_COLUMNS]
 # table name -> (stored table, columns)
@@ -49,7 +50,7 @@ class IncrementalStarLoader:
     """Append-only star load from header CSV files landing in ``landing_dir``.
 
     A streaming source needs its schema up front, and a CSV schema applies by
-    column position: land files with :func:`faretrail.sinks.files.land_csv`
+    column position (a file with another header fails the batch): land files with :func:`faretrail.sinks.files.land_csv`
     (contract columns first, then ``extra_types`` columns in that order).
     """
 
@@ -78,22 +79,36 @@ class IncrementalStarLoader:
         """Loaded rows of one table (optionally only epochs before ``before_epoch``):
         ``fact``, ``pickup``, ``dropoff``, ``date``."""
         stored, cols = VIEWS.get(name, (name, None))
+        df = self._read(stored, spark or self.spark)
+        if df is None:
+            return None
+        if before_epoch is not None:
+            df = df.where(F.col(EPOCH) < before_epoch)
+        if stored != HIGH_WATER:  # the mark is written last: an epoch without one isn't loaded
+            marks = self._read(HIGH_WATER, spark or self.spark)
+            if marks is None:
+                return None
+            df = df.join(marks.select(EPOCH), EPOCH, "left_semi")
+        return df.select(*cols) if cols else df.drop(EPOCH)
+
+    def _read(self, stored: str, spark: SparkSession) -> DataFrame | None:
         try:
-            df = (spark or self.spark).read.parquet(self.path(stored))
+            return spark.read.parquet(self.path(stored))
         except AnalysisException as e:
             # only "nothing loaded yet" means empty; any other failure must
             # stop the batch (restarting ids at 1 would duplicate keys)
             if "PATH_NOT_FOUND" in str(e.getCondition() or "") or "Path does not exist" in str(e):
                 return None
             raise
-        if before_epoch is not None:
-            df = df.where(F.col(EPOCH) < before_epoch)
-        return df.select(*cols) if cols else df.drop(EPOCH)
 
     def run_available(self) -> None:
         """Load every file that landed since the previous run, then stop."""
+        if path_exists(self.spark, self.path(HIGH_WATER)) and not path_exists(self.spark, self.path(STATE)):
+            raise RuntimeError(f"{self.path(STATE)} is gone, but epochs are loaded: a new state would "
+                               "number batches from 0 and replace them")
+        # a header that differs from the schema fails the batch; columns are never shifted
         reader = (self.spark.readStream.schema(raw_schema(self.extra_types))
-                  .option("header", True))
+                  .option("header", True).option("enforceSchema", False))
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
         if self.clean_source:
@@ -102,7 +117,7 @@ class IncrementalStarLoader:
                 reader = reader.option("sourceArchiveDir", self.archive_dir)
         query = (reader.csv(self.landing_dir).writeStream
                  .foreachBatch(self._load_batch)
-                 .option("checkpointLocation", self.path("_stream_state"))
+                 .option("checkpointLocation", self.path(STATE))
                  .trigger(availableNow=True)
                  .start())
         query.awaitTermination()
@@ -118,12 +133,10 @@ class IncrementalStarLoader:
         last_id = 0
         if marks is not None:
             last_id = marks.agg(F.max("last_trip_id")).first()[0] or 0
-        order = self.order_cols
-        if order is None:  # no natural key: contract columns + position in the batch's scan
-            batch = with_landing_position(batch)
-            order = list(TRIP_COLUMNS) + [LANDING_POS]
-        stage = stage_ranked(type_trips(batch), order, "trips-batch")
-        trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1).drop(LANDING_POS))
+        typed = type_trips(batch)
+        stage = (stage_positions(typed, "trips-batch") if self.order_cols is None
+                 else stage_ranked(typed, self.order_cols, "trips-batch"))
+        trips = star.with_location_ids(attach_dense_id(stage, start=last_id + 1))
         self._write(trips.select(*KEYED_COLUMNS), "trips", epoch)
         dates = star.date_dim(trips)
         prior_dates = self.table("date", before_epoch=epoch, spark=spark)
@@ -142,3 +155,4 @@ class IncrementalStarLoader:
         n = stage.row_count()
         mark = spark.range(1).select(F.lit(last_id + n).cast("long").alias("last_trip_id"))
         self._write(mark, HIGH_WATER, epoch)
+        stage.release()

@@ -78,19 +78,6 @@ def test_zone_less_timestamps_survive_a_dst_gap(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def _legacy_int(s):
-    """Exact model of the legacy text -> int cast for plain decimal literals."""
-    import re
-    from decimal import Decimal
-    if s is None:
-        return None
-    m = re.fullmatch(r"\s*([+-]?)(\d*)(?:\.(\d*))?\s*", s)
-    if not m or not (m.group(2) or m.group(3)):
-        return None
-    v = int(Decimal(m.group(1) + (m.group(2) or "0")))
-    return v if -2**31 <= v < 2**31 else None
-
-
 def test_lenient_int_property(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
@@ -99,7 +86,7 @@ def test_lenient_int_property(spark):
     texts = st.builds(lambda sp, sg, w, dot, f, sp2: f"{sp}{sg}{w}{dot}{f}{sp2}",
                       st.sampled_from(["", " "]), st.sampled_from(["", "+", "-"]), digits,
                       st.sampled_from(["", "."]), digits, st.sampled_from(["", "  "]))
-    extra = ["1.9999999999999999", "2147483647.99", "2147483648.0", "-2147483648.7", "-.5", "+.", "."]
+    extra = ["1.9999999999999999", "2147483647.99", "2147483648.0", "-2147483648.7", "-.5", "+.", ".", "-.", "\x013.7", "\t7\x02"]
 
     seen = []
 
@@ -112,5 +99,23 @@ def test_lenient_int_property(spark):
     cases = list(dict.fromkeys(seen + extra))
     df = spark.createDataFrame([(t,) for t in cases], "s string")
     got = {r.s: r.i for r in df.select("s", lenient_int("s").alias("i")).collect()}
-    bad = {t: (got[t], _legacy_int(t)) for t in cases if got[t] != _legacy_int(t)}
-    assert not bad
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:  # the cast itself, not a model of it
+        cast = {r.s: r.i for r in df.selectExpr("s", "cast(s AS int) AS i").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert {t: (got[t], cast[t]) for t in cases if got[t] != cast[t]} == {}
+
+
+def test_zone_offsets_give_utc_wall_time(spark):
+    texts = ["2016-03-01 00:07:55+02:00", "2016-03-01 00:07:55", "2016-03-01T00:07:55Z", "2016-03-01", "00:07:55", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r.t and str(r.t) for r in df.select(lenient_timestamp("s").alias("t")).collect()]
+            assert got == ["2016-02-29 22:07:55", "2016-03-01 00:07:55", "2016-03-01 00:07:55", "2016-03-01 00:00:00", None, None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

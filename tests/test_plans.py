@@ -38,18 +38,52 @@ def test_lens_scan_prunes_columns(spark):
 def test_strategy_hints_pick_join_operator(spark):
     fact = star.fact_trips(star.key_trips(lens.trip_lens(spark, SF_SMALL), lens.NATURAL_KEY))
     vendors = literals.vendor_dim(spark)
-    assert "BroadcastHashJoin" in plan(joins.join(fact, vendors, "VendorID", strategy="broadcast_right"))
+    auto = plan(joins.join(fact, vendors, "VendorID"))
+    assert "BroadcastHashJoin" in auto and "BuildRight" in auto
     assert "SortMergeJoin" in plan(joins.join(fact, vendors, "VendorID", strategy="merge"))
     assert "ShuffledHashJoin" in plan(joins.join(fact, vendors, "VendorID", strategy="shuffle_hash"))
-    left = plan(joins.join(fact, vendors, "VendorID", strategy="broadcast_left"))
-    assert "BroadcastHashJoin" in left and "BuildLeft" in left
 
 
-def test_broadcast_falls_back_past_bound(spark):
+def test_building_a_join_runs_no_job(spark):
     big = spark.range(0, 1000).withColumn("k", F.col("id") % 3)
     small = spark.range(0, 3).withColumnRenamed("id", "k")
-    text = plan(joins.join(small, big, "k", strategy="broadcast_right", max_broadcast_rows=10))
-    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    spark.sparkContext.setJobGroup("no-job", "no job")
+    for strategy in joins.STRATEGIES:
+        joins.join(big, small, "k", strategy=strategy)
+    joins.salted_join(big, small, "k")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no-job")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_salted_join_splits_a_hot_key_without_aqe(spark):
+    fact = spark.range(0, 5000).select("id", F.lit(1).alias("k"))
+    dim = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = joins.salted_join(fact, dim, "k")
+        parts = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in parts) == 5000 and len(parts) > 3
+        assert out.columns == ["k", "id", "name"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_keying_by_position_shuffles_nothing(spark):
+    from faretrail.functions import keys
+    seen = []
+    real = keys._staged
+    keys._staged = lambda df, label: seen.append(plan(df)) or real(df, label)
+    try:
+        stage = keys.stage_positions(spark.range(0, 1000, 1, 7))
+    finally:
+        keys._staged = real
+    assert "Exchange" not in seen[0]
+    ids = sorted(r.trip_id for r in keys.attach_dense_id(stage).collect())
+    assert ids == list(range(1, 1001))
+    stage.release()
+    from faretrail.session import path_exists
+    assert not any(path_exists(spark, p) for p in stage.paths)
 
 
 def test_date_dim_deduplicates_one_column_once(spark):
