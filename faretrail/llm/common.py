@@ -101,8 +101,9 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
               .orderBy(F.xxhash64(ID), ID).limit(most))
     found = (docs.select(F.col(id_col).cast("long").alias(ID), F.struct(F.col(text_col).cast("string").alias("text"), *more).alias("row"))
              .join(F.broadcast(chosen), ID))
-    rows = found.groupBy(ID, "label").agg(F.min("row").alias("row")).select("label", "row.*")
-    return written(rows.repartition(24, F.xxhash64("text")), "labelled")
+    rows = found.groupBy(ID, "label").agg(F.min("row").alias("row"))
+    # dealt by the id, which is there once, so that copies of a text don't meet
+    return written(rows.repartition(24, F.xxhash64(ID)).select("label", "row.*"), "labelled")
 
 
 def ship(spark: SparkSession) -> None:
