@@ -25,7 +25,7 @@ GROUP_PIECES = 40_000
 #: Longest run of characters that the rank encoder gets; its time is quadratic in a run.
 LONG_RUN = 1_000
 #: Words that a worker remembers; later ones are encoded each time.
-_CACHE = 700_000
+_CACHE = 350_000
 _MARKS = ".,;:!?$%&*#|()-"
 
 

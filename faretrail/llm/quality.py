@@ -30,7 +30,7 @@ _N_STATS = 13
 class _Buckets(dict):
     def __missing__(self, word: bytes) -> int:
         b = zlib.crc32(word.lower()) % BUCKETS
-        if len(self) < 400_000:
+        if len(self) < 250_000:
             self[word] = b
         return b
 

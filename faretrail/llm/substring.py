@@ -32,7 +32,7 @@ class _Hashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, 7)
-        if len(self) < 400_000:
+        if len(self) < 250_000:
             self[word] = h
         return h
 
