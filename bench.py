@@ -2,7 +2,7 @@
 
 Each query is executed to completion through the ``noop`` sink (full
 computation, nothing collected to the driver) and timed wall-clock; headline
-queries report the best of ``$BENCH_REPEAT`` runs (default 2) to damp JIT and
+queries report the median of ``$BENCH_REPEAT`` runs (default 3) to damp JIT and
 GC noise.  Prints one JSON line.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -17,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
 HEADLINE = [
     "vendor_trip_counts",        # flagship: count per vendor, then broadcast join to the dim
@@ -146,7 +147,7 @@ def main() -> None:
     run(spark, qs["row_count"])  # warm-up: JIT, file listing caches
     times = {}
     for name in names:
-        times[name] = round(min(run(spark, qs[name]) for _ in range(REPEAT)), 3)
+        times[name] = round(statistics.median(run(spark, qs[name]) for _ in range(REPEAT)), 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr)
     extra = {}
     if not sys.argv[1:] and os.environ.get("BENCH_VARIANTS", "1") == "1":
