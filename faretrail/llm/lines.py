@@ -4,6 +4,9 @@ A line falls to the leaf of its token count and its first tokens, where a token
 counts as ``<*>``.  In a leaf, a token stays in the template if it stands at that place in at
 least ``min_docs`` lines; other places are variable fields.  A template that holds enough
 fixed tokens and occurs in ``min_docs`` documents recurs.
+
+All tables joined here grow with the corpus, so they are merged at every size and none is
+sent to all tasks.
 """
 
 from __future__ import annotations
@@ -71,7 +74,7 @@ def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     out += [(x["leaf"], x["sig"], x["docs"], x["rare"], p, _hash(t)) for p, t in enumerate(masked(lines[x["line"]]))]
             yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "rare", "place", "token"])
 
-    return (rows.join(per_doc, [ID, TH]).dropDuplicates([ID, TH])
+    return (rows.join(per_doc.hint("merge"), [ID, TH]).dropDuplicates([ID, TH])
             .mapInPandas(run, "leaf long, sig long, docs long, rare boolean, place int, token long"))
 
 
@@ -81,11 +84,11 @@ def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float
                    .groupBy("leaf", "sig").agg(F.count("*").alias("docs"), F.min(F.struct(ID, TH, "line")).alias("at")), "line-contents")
     leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("n"), F.min("docs").alias("least"), F.count("*").alias("k"))
                      .where((F.col("n") >= min_docs) & (F.col("least") < min_docs) & (F.col("k") > 1)).select("leaf"), "leaves")
-    wanted = sigs.join(leaves, "leaf").withColumn("rare", F.col("docs") < min_docs)
+    wanted = sigs.join(leaves.hint("merge"), "leaf").withColumn("rare", F.col("docs") < min_docs)
     tokens = written(_tokens(rows, wanted), "tokens")
     fixed = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n"))
                     .where(F.col("n") >= min_docs).drop("n").withColumn("fixed", F.lit(True)), "fixed-tokens")
-    general = (tokens.where("rare").join(fixed, ["leaf", "place", "token"], "left")
+    general = (tokens.where("rare").join(fixed.hint("merge"), ["leaf", "place", "token"], "left")
                .groupBy("leaf", "sig")
                .agg(F.avg(F.col("fixed").isNotNull().cast("int")).alias("share"),
                     F.sort_array(F.collect_list(F.struct("place", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("t"))
@@ -100,12 +103,12 @@ def recurring(rows: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
     """(key, drop): for each document its line numbers that go.  ``rows``: of :func:`keyed`."""
     lines = written(parsed(rows, depth, min_tokens), "lines")
     of = written(templates(rows, lines, min_docs, min_fixed), "templates")
-    hits = written(lines.join(of, ["leaf", "sig"]).select("template", ID, TH, "line"), "hits")
+    hits = written(lines.join(of.hint("merge"), ["leaf", "sig"]).select("template", ID, TH, "line"), "hits")
     at = F.struct(ID, TH, "line")
     known = written(hits.groupBy("template", ID, TH).agg(F.min("line").alias("line"))
                     .groupBy("template").agg(F.count("*").alias("docs"), F.min(at).alias("first"))
                     .where(F.col("docs") >= min_docs).select("template", "first"), "recurring")
-    gone = hits.join(known, "template")
+    gone = hits.join(known.hint("merge"), "template")
     if keep_first:
         gone = gone.where(at != F.col("first"))
     return written(gone.groupBy(ID, TH).agg(F.collect_set("line").alias("drop")), "dropped-lines")
@@ -113,7 +116,7 @@ def recurring(rows: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
 
 def _applied(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (with_key(docs, id_col, text_col)
-            .join(found.withColumnRenamed("drop", "_ft_drop"), [ID, TH], "left"))
+            .join(found.withColumnRenamed("drop", "_ft_drop").hint("merge"), [ID, TH], "left"))
 
 
 def _kept(text_col: str) -> Column:
