@@ -9,6 +9,7 @@ output column exactly as the Spark side does.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,6 +302,21 @@ def scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_from_landing(src_files.read_trips_csv(spark, landing, extra_types=lens.NATURAL_KEY_TYPES))
 
 
+@register("scan_csv_stamped", f"WITH {LENS_CTE} SELECT * FROM lens WHERE year(tpep_pickup_datetime) <= 1997")
+def scan_csv_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops stamped with their minute; the pattern of one hour picks the first two."""
+    landing = scratch_path(spark, "landing-csv-stamped")
+    raw = lens.raw_trip_lens(spark, sf_dir)
+    year = F.year(F.col("tpep_pickup_datetime").try_cast("timestamp_ntz"))
+    drops = [(datetime(2024, 5, 5, 0, 1), year < 1995), (datetime(2024, 5, 5, 0, 3), year.between(1995, 1997)),
+             (datetime(2024, 5, 6, 0, 1), F.coalesce(year > 1997, F.lit(True)))]
+    for at, own in drops:
+        sink_files.land_csv_stamped(raw.where(own), landing, at)
+    picked = src_files.read_trips_csv(spark, f"{landing}/trips-2024-5-5-0-*",
+                                      extra_types=lens.NATURAL_KEY_TYPES)
+    return _typed_from_landing(picked)
+
+
 @register("csv_to_parquet", _LENS_ALL)
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing-csv")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,24 @@ def land_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     landing_order(df).write.mode(mode).option("header", True).csv(path)
 
 
+def stamped_name(at: datetime, prefix: str = "trips") -> str:
+    """``trips-2024-5-5-0-1``: year, month, day, hour, minute, unpadded."""
+    return f"{prefix}-{at.year}-{at.month}-{at.day}-{at.hour}-{at.minute}"
+
+
+def land_csv_stamped(df: DataFrame, path: str, at: datetime, prefix: str = "trips") -> str:
+    """Land ``df`` as header CSV in the folder of its minute under ``path``; returns the folder.
+
+    One pattern (``path/trips-2024-5-5-0-*``) then reads the drops of an hour.  A drop
+    repeated within its minute replaces itself, so a retried landing doubles no rows.
+    """
+    folder = f"{path.rstrip('/')}/{stamped_name(at, prefix)}"
+    land_csv(df, folder, mode="overwrite")
+    return folder
+
+
 def csv_to_parquet(spark, csv_path: str, parquet_path: str, mode: str = "errorifexists") -> None:
-    """Convert header CSV to Parquet, every column kept as text."""
-    spark.read.option("header", True).option("inferSchema", False).csv(csv_path) \
-        .write.mode(mode).parquet(parquet_path)
+    """Convert header CSV to Parquet, every column kept as text.  A file whose header differs
+    from the first one's fails the conversion; columns are never shifted."""
+    (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+     .csv(csv_path).write.mode(mode).parquet(parquet_path))

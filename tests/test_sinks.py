@@ -1,5 +1,8 @@
 """Re-run tests: truncate-and-load, landing and incremental loads."""
 
+from datetime import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
 from faretrail.session import scratch_path, unique_name
@@ -100,3 +103,23 @@ def test_incremental_archives_consumed_files(spark):
     left = {f for f in os.listdir(landing) if f.endswith(".csv")}
     archived = {f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")}
     assert first and first <= archived and not (first & left)
+
+
+def test_stamped_landing_replaces_its_own_minute(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "2.5"), ("2", "3")], "VendorID string, trip_distance string")
+    at = datetime(2024, 5, 5, 0, 1, 59)
+    first = sink_files.land_csv_stamped(rows, str(tmp_path), at)
+    assert first == str(tmp_path / "trips-2024-5-5-0-1")
+    assert sink_files.land_csv_stamped(rows, str(tmp_path), at) == first  # retried: no row twice
+    sink_files.land_csv_stamped(rows, str(tmp_path), datetime(2024, 5, 5, 0, 13))
+    sink_files.land_csv_stamped(rows, str(tmp_path), datetime(2024, 5, 5, 10, 1))
+    assert read_trips_csv(spark, str(tmp_path / "trips-2024-5-5-0-1")).count() == 2
+    assert read_trips_csv(spark, str(tmp_path / "trips-2024-5-5-0-*")).count() == 4
+
+
+def test_conversion_of_files_with_other_headers_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("VendorID,total_amount\n1,20.5\n")
+    (tmp_path / "in" / "b.csv").write_text("total_amount,VendorID\n20.5,1\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        sink_files.csv_to_parquet(spark, str(tmp_path / "in"), str(tmp_path / "out"))
