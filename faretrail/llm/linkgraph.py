@@ -25,14 +25,17 @@ ROUNDS, CLOSE = 30, 1e-6
 _ABSOLUTE = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
+def lowered(host: Column) -> Column:
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty for a null url or one without ``://``."""
     has = F.coalesce(url.contains("://"), F.lit(False))
     rest = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
     host = F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.when(has, F.translate(host, upper, lower)).otherwise(""), F.when(has, path).otherwise("")
+    return F.when(has, lowered(host)).otherwise(""), F.when(has, path).otherwise("")
 
 
 def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -49,7 +52,7 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     """(src, dst, n) of the absolute links in the pages; a host's links to itself don't count."""
     host, _ = host_and_path(F.col(url_col).cast("string"))
     links = F.regexp_extract_all(F.col(html_col).cast("string"), F.lit(_ABSOLUTE), F.lit(1))
-    return (pages.select(host.alias("src"), F.explode(F.array_distinct(F.transform(links, F.lower))).alias("dst"))
+    return (pages.select(host.alias("src"), F.explode(F.array_distinct(F.transform(links, lowered))).alias("dst"))
             .where((F.col("src") != "") & (F.col("src") != F.col("dst")))
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
@@ -58,8 +61,10 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) ->
     """(host, trust, distrust) in multiples of one seed's start.  ``seeds``: host, trusted,
     blocked (booleans).  Both rankings move in the same passes until nothing changes; what
     reaches a host without links ends there."""
-    out = edges.groupBy("src").agg(F.sum("n").alias("n_out"))
-    back = edges.groupBy("dst").agg(F.sum("n").alias("n_in"))
+    # written, so that the joins meet plain shuffles and the edges of a hub can be split
+    edges = written(edges, "links")
+    out = written(edges.groupBy("src").agg(F.sum("n").alias("n_out")), "onward")
+    back = written(edges.groupBy("dst").agg(F.sum("n").alias("n_in")), "back")
     weighed = written(edges.join(out, "src").join(back, "dst")
                       .select("src", "dst", (F.col("n") / F.col("n_out")).alias("onward"), (F.col("n") / F.col("n_in")).alias("back")), "edges")
     start = written(seeds.where("trusted or blocked").select("host", (F.col("trusted").cast("double") * (1 - damping)).alias("trust"),

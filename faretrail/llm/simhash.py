@@ -153,7 +153,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = components(links(fps.select("fp"), max_bits))
     roots = fps.join(of.withColumnRenamed("vertex", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("first").alias("component"))
+    # written, so that the join meets plain shuffles and a component of very many rows can be split
+    least = written(roots.groupBy("root").agg(F.min("first").alias("component")), "least")
     named = written(roots.join(least, "root").select("fp", "component"), "components")
     return rows.join(named, "fp")
 

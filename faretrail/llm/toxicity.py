@@ -7,7 +7,9 @@ weights is set against the length of the text.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import math
 import re
 import unicodedata
@@ -111,7 +113,9 @@ def weigh(lexicon: Lexicon, folded: str) -> tuple[float, int]:
         else:
             hits[start] = max(weight, hits.get(start, 0.0))
     if excused:
-        hits = {s: x for s, x in hits.items() if not any(a <= s < b for a, b in excused)}
+        begins = sorted(excused)
+        reach = list(itertools.accumulate((b for _, b in begins), max))  # how far the phrases begun so far go
+        hits = {s: x for s, x in hits.items() if not (k := bisect.bisect(begins, (s, len(folded)))) or reach[k - 1] <= s}
     return sum(hits.values()), words
 
 
