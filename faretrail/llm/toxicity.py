@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon over folded text, matched by Aho-Corasick.
 
 Folding undoes case, accents, look-alike letters and digit substitutions, and puts one space
-for whatever is no letter.  Matches inside an exception phrase don't count.  The sum of the
-weights is set against the length of the text.
+for whatever is no letter.  As accents tell words apart in many languages, a second reading
+keeps them, place by place beside the first.  Matches inside an exception phrase don't count.
+The sum of the weights is set against the length of the text.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ BASE_WEIGHT = 4.0
 MAX_TRAIN = 12_000
 #: Learned terms at most; the lexicon goes to every task.
 MAX_TERMS = 5_000
-_STEMS = (4, 5, 6, 7)
+_STEMS = (3, 4, 5, 6, 7, 8, 9)
 _KNOWN = frozenset(TERMS)
 _SUBSTITUTED = re.compile(r"[013457@$!]+(?=[^\W\d_])")
 _UNDO = str.maketrans(SUBSTITUTES)
@@ -66,12 +67,32 @@ class _Fold(dict):
 _FOLD = _Fold()
 
 
-def fold(text: str) -> str:
+class _Accented(dict):
+    """The folded form, but for a letter with an accent, which is only lower-cased."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code).lower()
+        marked = len(c) == len(_FOLD[code]) == 1 and _FOLD[code] != " " and unicodedata.decomposition(c)[:1] not in ("", "<")
+        self[code] = c if marked else _FOLD[code]
+        return self[code]
+
+
+_ACCENTED = _Accented()
+
+
+def fold(text: str, table: dict = _FOLD) -> str:
     """" words of letters with one space before, between and after each "."""
-    text = _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), text).translate(_FOLD)
+    text = unicodedata.normalize("NFC", text)
+    text = _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), text).translate(table)
     return " ".join(["", *text.split(), ""])
 
 
+def readings(text: str) -> list[str]:
+    """The folded text and, if they differ, the one with accents, of the same length."""
+    plain, marked = fold(text), fold(text, _ACCENTED)
+    return [plain] if plain == marked else [plain, marked]
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Terms (" word " or the beginning " stem" of words) with weights, phrases that excuse,
@@ -98,15 +119,16 @@ def _automaton(lexicon: Lexicon) -> ahocorasick.Automaton:
     return found
 
 
-def weigh(lexicon: Lexicon, folded: str) -> tuple[float, int]:
-    """Sum of the weights of the matched words (the largest of each word), and words."""
-    words = folded.count(" ") - 1
+def weigh(lexicon: Lexicon, *folded: str) -> tuple[float, int]:
+    """Sum of the weights of the matched words (the largest of each word in any of the
+    readings), and words."""
+    words = folded[0].count(" ") - 1
     found = _automaton(lexicon)
     if not len(found) or words < 1:
         return 0.0, max(words, 0)
     hits: dict[int, float] = {}
     excused: list[tuple[int, int]] = []
-    for end, (weight, size) in found.iter(folded):
+    for end, (weight, size) in (m for reading in folded for m in found.iter(reading)):
         start = end - size + 1
         if weight is None:
             excused.append((start, end))
@@ -115,12 +137,12 @@ def weigh(lexicon: Lexicon, folded: str) -> tuple[float, int]:
     if excused:
         begins = sorted(excused)
         reach = list(itertools.accumulate((b for _, b in begins), max))  # how far the phrases begun so far go
-        hits = {s: x for s, x in hits.items() if not (k := bisect.bisect(begins, (s, len(folded)))) or reach[k - 1] <= s}
+        hits = {s: x for s, x in hits.items() if not (k := bisect.bisect(begins, (s, len(folded[0])))) or reach[k - 1] <= s}
     return sum(hits.values()), words
 
 
 def measures(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
-    s = np.array([weigh(lexicon, fold(t)) for t in texts], dtype=float).reshape(-1, 2)
+    s = np.array([weigh(lexicon, *readings(t)) for t in texts], dtype=float).reshape(-1, 2)
     return np.stack([np.ones(len(s)), np.log1p(s[:, 0]), np.log1p(100 * s[:, 0] / np.maximum(s[:, 1], 1))], axis=1)
 
 
@@ -135,23 +157,26 @@ def scored(text: Column, lexicon: Lexicon) -> Column:
     return score(text.cast("string"))
 
 
+def _terms_of(word: str) -> list[str]:
+    """The word itself and its stems."""
+    whole = [f" {word} "] if len(word) > 3 else []
+    return whole + [f" {word[:n]}" for n in _STEMS if len(word) > n]
+
+
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per batch: term, toxic and other documents, and a 64-bit sketch of the words after it."""
     for b in batches:
         by: tuple[Counter, Counter] = (Counter(), Counter())
         after: Counter = Counter()
         for text, toxic in zip(series_of(b["text"]), b["toxic"], strict=True):
-            words = fold(text).split()
+            read = [r.split() for r in readings(text)]
             own: dict[str, int] = {}
-            for w, nxt in zip(words, [*words[1:], ""], strict=True):
+            for w, m, nxt in zip(read[0], read[-1], [*read[0][1:], ""], strict=True):
                 if w in _KNOWN:
                     continue
                 bit = 1 << (hash_of(nxt) & 63)
-                if len(w) > 3:
-                    own[f" {w} "] = own.get(f" {w} ", 0) | bit
-                for n in _STEMS:
-                    if len(w) > n:
-                        own[f" {w[:n]}"] = own.get(f" {w[:n]}", 0) | bit
+                for t in _terms_of(w) if w == m else {*_terms_of(w), *_terms_of(m)}:
+                    own[t] = own.get(t, 0) | bit
             by[bool(toxic)].update(own.keys())
             if toxic:
                 for t, m in own.items():
@@ -169,7 +194,7 @@ def hash_of(word: str) -> int:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS,
-          min_support: int = 8, min_precision: float = 0.9) -> Lexicon:
+          min_support: int = 5, min_precision: float = 0.9) -> Lexicon:
     """A lexicon from the texts of labelled ids (label 1: toxic; null labels are left out).
 
     At most ``max_train`` of them are used.  A term must occur in ``min_support`` toxic

@@ -146,3 +146,12 @@ def test_outliers_against_plain_concentration(spark):
 def test_outliers_odd_tables(spark, wide_docs, no_docs):
     assert outliers.judged(wide_docs).count() == wide_docs.count()
     assert outliers.judged(no_docs).count() == 0
+
+
+def test_accents_tell_terms_apart():
+    assert toxicity.readings("réeux reeux ＴＲÂSH 1diot") == [" reeux reeux trash idiot ", " réeux reeux trâsh idiot "]
+    assert toxicity.readings("réeux") == toxicity.readings("réeux") == [" reeux ", " réeux "]
+    assert toxicity.readings("plain") == [" plain "]
+    lexicon = toxicity.Lexicon(((" réeu", 2.0), (" trash ", 3.0)))
+    assert toxicity.weigh(lexicon, *toxicity.readings("réeuxpa reeuxpa")) == (2.0, 2)
+    assert toxicity.weigh(lexicon, *toxicity.readings("Trâsh trash cän trash")) == (6.0, 4)
