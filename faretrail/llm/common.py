@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,6 +85,18 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+#: What the operators of this Python worker remember between batches, by operator.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembering(operator: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Called in a task before its work: a worker keeps the word caches of one operator at a
+    time, and those of the others are emptied."""
+    for other in [k for k in _REMEMBERED if k != operator]:
+        _REMEMBERED.pop(other)()
+    _REMEMBERED[operator] = forget
+
+
 def series_of(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]
 

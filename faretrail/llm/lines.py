@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import ID, TEXT, TH, keyed, original_id, with_key, written
+from faretrail.llm.common import ID, TEXT, TH, keyed, original_id, remembering, with_key, written
 
 DEPTH = 3
 MIN_TOKENS = 5
@@ -48,6 +48,7 @@ def _leaf(tokens: list[bytes], depth: int) -> int:
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """(leaf, line content, key, line number) of every line of at least ``min_tokens``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembering("lines")
         for b in batches:
             out = []
             for i, th, text in zip(b[ID], b[TH], b[TEXT], strict=True):

@@ -18,14 +18,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import series_of, written
+from faretrail.llm.common import remembering, series_of, written
 
 #: Pieces that one packing group holds on average; a group is packed in one task.
 GROUP_PIECES = 40_000
 #: Longest run of characters that the rank encoder gets; its time is quadratic in a run.
 LONG_RUN = 1_000
 #: Words that a worker remembers; later ones are encoded each time.
-_CACHE = 350_000
+_CACHE = 200_000
 _MARKS = ".,;:!?$%&*#|()-"
 
 
@@ -129,6 +129,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembering("packing", encoder.cache_clear)
         ids = encoder(base, ranks)
         for b in batches:
             rows = []

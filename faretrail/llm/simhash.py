@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import ID, TEXT, TH, chunks, keyed, original_id, with_key, words_of, written
+from faretrail.llm.common import ID, TEXT, TH, chunks, keyed, original_id, remembering, with_key, words_of, written
 from faretrail.llm.components import components
 
 SHINGLE = 3
@@ -60,6 +60,7 @@ def fingerprints(texts: list[str], size: int = SHINGLE) -> np.ndarray:
 def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(key columns, fp) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remembering("simhash")
         for b in batches:
             yield pd.DataFrame({ID: b[ID], TH: b[TH], "fp": fingerprints(list(b[TEXT]), size)})
 

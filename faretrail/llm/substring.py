@@ -18,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import (ID, TEXT, TH, chunks, drop_written, keyed, original_id, with_key,
-                                  words_of, written)
+from faretrail.llm.common import (ID, TEXT, TH, chunks, drop_written, keyed, original_id, remembering,
+                                  with_key, words_of, written)
 
 SPAN = 20
 SEED = 6
@@ -64,6 +64,7 @@ def grams(h: np.ndarray, size: int) -> np.ndarray:
 
 def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of the texts one after the other, and where each text begins (and the end)."""
+    remembering("substring", _HASHES.clear)
     words = [words_of(t) for t in texts]
     starts = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])
     h = np.fromiter((x for w in words for x in map(_HASHES.__getitem__, w)), np.uint64, int(starts[-1]))

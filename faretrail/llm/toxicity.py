@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import sampled, series_of
+from faretrail.llm.common import chunks, remembering, sampled, series_of
 
 #: Terms with a weight of their own, before any are learned.
 TERMS = ("idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "pathetic", "worthless",
@@ -47,6 +47,8 @@ MAX_TRAIN = 12_000
 #: Learned terms at most; the lexicon goes to every task.
 MAX_TERMS = 5_000
 _STEMS = (3, 4, 5, 6, 7, 8, 9)
+#: Characters of text whose terms are counted at once; the partial counts are summed up.
+_COUNTED = 500_000
 _KNOWN = frozenset(TERMS)
 _SUBSTITUTED = re.compile(r"[013457@$!]+(?=[^\W\d_])")
 _UNDO = str.maketrans(SUBSTITUTES)
@@ -142,6 +144,7 @@ def weigh(lexicon: Lexicon, *folded: str) -> tuple[float, int]:
 
 
 def measures(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
+    remembering("toxicity", _automaton.cache_clear)
     s = np.array([weigh(lexicon, *readings(t)) for t in texts], dtype=float).reshape(-1, 2)
     return np.stack([np.ones(len(s)), np.log1p(s[:, 0]), np.log1p(100 * s[:, 0] / np.maximum(s[:, 1], 1))], axis=1)
 
@@ -164,11 +167,13 @@ def _terms_of(word: str) -> list[str]:
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch: term, toxic and other documents, and a 64-bit sketch of the words after it."""
-    for b in batches:
+    """Per part of a batch: term, toxic and other documents, and a 64-bit sketch of the words after it."""
+    remembering("toxicity", _automaton.cache_clear)
+    for texts, labels in ((x[lo:hi], y[lo:hi]) for b in batches for x, y in [(series_of(b["text"]), b["toxic"].tolist())]
+                          for lo, hi in chunks(x, _COUNTED)):
         by: tuple[Counter, Counter] = (Counter(), Counter())
         after: Counter = Counter()
-        for text, toxic in zip(series_of(b["text"]), b["toxic"], strict=True):
+        for text, toxic in zip(texts, labels, strict=True):
             read = [r.split() for r in readings(text)]
             own: dict[str, int] = {}
             for w, m, nxt in zip(read[0], read[-1], [*read[0][1:], ""], strict=True):
