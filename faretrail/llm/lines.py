@@ -3,7 +3,8 @@
 A line falls to the leaf of its token count and its first tokens, where a token with a digit
 counts as ``<*>``.  In a leaf, a token stays in the template if it stands at that place in at
 least ``min_docs`` lines; other places are variable fields.  A template that holds enough
-fixed tokens and occurs in ``min_docs`` documents recurs.
+fixed tokens and occurs in ``min_docs`` documents recurs.  A line of fewer than ``SHORT`` tokens
+has no variable fields, digits included, and needs one document more; empty lines never recur.
 
 All tables joined here grow with the corpus, so they are merged at every size and none is
 sent to all tasks.
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from faretrail.llm.common import ID, TEXT, TH, keyed, original_id, remembering, with_key, written
 
 DEPTH = 3
-MIN_TOKENS = 5
+MIN_TOKENS = 1
+#: Lines below this many tokens recur only as they are.
+SHORT = 5
 MIN_DOCS = 3
 MIN_FIXED = 0.75
 FIELD = b"<*>"
@@ -46,19 +49,24 @@ def _leaf(tokens: list[bytes], depth: int) -> int:
 
 
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(leaf, line content, key, line number) of every line of at least ``min_tokens``."""
+    """(leaf, line content, whether it is short, key, line number) of every line of at least
+    ``min_tokens``, empty ones left out.  A short line is a leaf of its own."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         remembering("lines")
         for b in batches:
             out = []
             for i, th, text in zip(b[ID], b[TH], b[TEXT], strict=True):
                 for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
-                    tokens = masked(line)
-                    if len(tokens) >= min_tokens:
-                        out.append((_leaf(tokens, depth), _hash(b" ".join(tokens)), i, th, k))
-            yield pd.DataFrame(out, columns=["leaf", "sig", ID, TH, "line"])
+                    tokens = line.split()
+                    if len(tokens) < max(min_tokens, 1):
+                        continue
+                    short = len(tokens) < SHORT
+                    if not short:
+                        tokens = masked(line)
+                    out.append((_leaf(tokens, SHORT if short else depth), _hash(b" ".join(tokens)), short, i, th, k))
+            yield pd.DataFrame(out, columns=["leaf", "sig", "short", ID, TH, "line"])
 
-    return rows.mapInPandas(run, f"leaf long, sig long, {_KEYS}, line int")
+    return rows.mapInPandas(run, f"leaf long, sig long, short boolean, {_KEYS}, line int")
 
 
 def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -81,8 +89,8 @@ def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
     """(leaf, sig, template) for every line content that belongs to a possible template."""
-    sigs = written(lines.groupBy("leaf", "sig", ID, TH).agg(F.min("line").alias("line"))
-                   .groupBy("leaf", "sig").agg(F.count("*").alias("docs"), F.min(F.struct(ID, TH, "line")).alias("at")), "line-contents")
+    sigs = written(lines.groupBy("leaf", "sig", "short", ID, TH).agg(F.min("line").alias("line"))
+                   .groupBy("leaf", "sig", "short").agg(F.count("*").alias("docs"), F.min(F.struct(ID, TH, "line")).alias("at")), "line-contents")
     leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("n"), F.min("docs").alias("least"), F.count("*").alias("k"))
                      .where((F.col("n") >= min_docs) & (F.col("least") < min_docs) & (F.col("k") > 1)).select("leaf"), "leaves")
     wanted = sigs.join(leaves.hint("merge"), "leaf").withColumn("rare", F.col("docs") < min_docs)
@@ -95,7 +103,7 @@ def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float
                     F.sort_array(F.collect_list(F.struct("place", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("t"))
                .where(F.col("share") >= min_fixed)
                .select("leaf", "sig", F.xxhash64("leaf", F.transform("t", lambda x: F.coalesce(x["token"], F.lit(0)))).alias("template")))
-    whole = sigs.where(F.col("docs") >= min_docs).select("leaf", "sig", F.xxhash64("leaf", "sig").alias("template"))
+    whole = sigs.where(F.col("docs") >= min_docs + F.col("short").cast("int")).select("leaf", "sig", F.xxhash64("leaf", "sig").alias("template"))
     return whole.unionByName(general)
 
 
@@ -130,7 +138,7 @@ def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """``docs`` without the lines of recurring templates, but for the earliest of each
     (smallest id, text hash, line); ``keep_first=False`` drops that too.
 
-    Shorter lines than ``min_tokens`` never recur.  All rows and columns stay; null and empty
+    Empty lines and shorter ones than ``min_tokens`` never recur.  All rows and columns stay; null and empty
     texts are unchanged; equal rows are one document, so they don't make a line recur.
     """
     found = recurring(keyed(docs, id_col, text_col), **how)

@@ -184,3 +184,18 @@ def test_lines_odd_rows(wide_docs, no_docs):
     assert by[6].startswith("four ") and by[7] == by[8] == "six"
     assert lines.digest(no_docs).count() == 0
     assert {x.doc_id: x.n_lines for x in lines.digest(wide_docs).collect()}[1] == 1
+
+
+def kept_lines(spark, texts):
+    """The kept texts, by number."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [x.text for x in lines.without_recurring_lines(docs).orderBy("doc_id").collect()]
+
+
+def test_short_lines_recur(spark):
+    texts = [f"All rights reserved.\n\nPage {i}\nHome\nonly line number {'abcdefgh'[i]} of this one document {i * 'x'}" for i in range(8)]
+    got = [t.split("\n") for t in kept_lines(spark, texts)]
+    assert got[0][:4] == ["All rights reserved.", "", "Page 0", "Home"]
+    assert all(t[:2] == ["", f"Page {i}"] and "Home" not in t for i, t in enumerate(got) if i)
+    rare = ["Read more here", "Read more here", "Read more here", "Read more there"]
+    assert kept_lines(spark, rare) == rare
