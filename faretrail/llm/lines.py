@@ -1,9 +1,10 @@
 """Recurring lines by a template tree of fixed depth.
 
 A line falls to the leaf of its token count and its first tokens, where a token with a digit
-counts as ``<*>``.  In a leaf, a token stays in the template if it stands at that place in at
-least ``min_docs`` lines; other places are variable fields.  A template that holds enough
-fixed tokens and occurs in ``min_docs`` documents recurs.  A line of fewer than ``SHORT`` tokens
+counts as ``<*>``.  A template leaves some places of a line open, no more than ``min_fixed``
+allows: any one place, or those whose tokens stand there in fewer than ``min_docs`` lines of the
+leaf.  All contents of the leaf that it fits count together, frequent or not; one that occurs in
+``min_docs`` documents recurs.  A line of fewer than ``SHORT`` tokens
 has no variable fields, digits included, and needs one document more; empty lines never recur.
 
 All tables joined here grow with the corpus, so they are merged at every size and none is
@@ -15,12 +16,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import ID, TEXT, TH, keyed, original_id, remembering, with_key, written
+from faretrail.llm.common import ID, TEXT, TH, drop_written, keyed, original_id, remembering, with_key, written
 
 DEPTH = 3
 MIN_TOKENS = 1
@@ -70,9 +72,11 @@ def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
 
 
 def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(leaf, sig, docs, rare, place, token hash) of one line for each wanted (leaf, sig)."""
+    """(leaf, sig, docs, place, token hash) of one line for each wanted (leaf, sig), written.
+
+    The hash is of the token and its place, so that a template's is the XOR of its fixed ones."""
     per_doc = written(wanted.groupBy(F.col(f"at.{ID}").alias(ID), F.col(f"at.{TH}").alias(TH))
-                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "rare", "at.line")).alias("r")), "wanted-lines")
+                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "at.line")).alias("r")), "wanted-lines")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -80,47 +84,91 @@ def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             for text, r in zip(b[TEXT], b["r"], strict=True):
                 lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                 for x in r:
-                    out += [(x["leaf"], x["sig"], x["docs"], x["rare"], p, _hash(t)) for p, t in enumerate(masked(lines[x["line"]]))]
-            yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "rare", "place", "token"])
+                    out += [(x["leaf"], x["sig"], x["docs"], p, _hash(b"%d " % p + t)) for p, t in enumerate(masked(lines[x["line"]]))]
+            yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "place", "token"])
+
+    out = written(rows.join(per_doc.hint("merge"), [ID, TH]).dropDuplicates([ID, TH])
+                  .mapInPandas(run, "leaf long, sig long, docs long, place int, token long"), "tokens")
+    drop_written(per_doc)
+    return out
+
+
+def _masks(support: np.ndarray, token: np.ndarray, total: int, min_docs: int, min_fixed: float) -> np.ndarray:
+    """The templates that a line content may belong to, from its tokens in order of support:
+    one place left open, wherever the leaf has another token, and all below ``min_docs``."""
+    n = len(token)
+    most = max(k for k in range(n + 1) if k == 0 or (n - k) / n >= min_fixed)
+    if not most:
+        return token[:0]
+    whole = np.bitwise_xor.reduce(token)
+    rare = int((support < min_docs).sum())
+    more = [whole ^ np.bitwise_xor.reduce(token[:rare])] if 1 < rare <= most else []
+    return np.append(whole ^ token[support < total], np.array(more, dtype=np.int64))
+
+
+def possible(rows: DataFrame, sigs: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
+    """(leaf, template, sig, docs, at) of the general templates of every content, written."""
+    leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("total"), F.count("*").alias("k"))
+                     .where((F.col("total") >= min_docs) & (F.col("k") > 1)).select("leaf", "total"), "leaves")
+    wanted = written(sigs.join(leaves.hint("merge"), "leaf").select("leaf", "sig", "docs", "total", "at"), "wanted")
+    tokens = _tokens(rows, wanted)
+    support = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")), "support")
+    placed = (tokens.join(support.hint("merge"), ["leaf", "place", "token"])
+              .groupBy("leaf", "sig").agg(F.sort_array(F.collect_list(F.struct("support", "token"))).alias("t"))
+              .select("leaf", "sig", F.col("t.support").alias("support"), F.col("t.token").alias("token")))
+    schema = f"leaf long, template long, sig long, docs long, {_KEYS}, line int"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            masks = [_masks(np.asarray(s), np.asarray(t), n, min_docs, min_fixed)
+                     for s, t, n in zip(b["support"], b["token"], b["total"], strict=True)]
+            of = b[["leaf", "sig", "docs", ID, TH, "line"]].iloc[np.repeat(np.arange(len(b)), [len(m) for m in masks])]
+            yield of.assign(template=np.concatenate([np.empty(0, np.int64), *masks]))[["leaf", "template", "sig", "docs", ID, TH, "line"]]
 
-    return (rows.join(per_doc.hint("merge"), [ID, TH]).dropDuplicates([ID, TH])
-            .mapInPandas(run, "leaf long, sig long, docs long, rare boolean, place int, token long"))
+    out = written(placed.join(wanted.hint("merge"), ["leaf", "sig"]).select("leaf", "sig", "docs", "total", "at.*", "support", "token")
+                  .mapInPandas(run, schema).select("leaf", "template", "sig", "docs", F.struct(ID, TH, "line").alias("at")), "possible")
+    for t in (tokens, support, wanted, leaves):
+        drop_written(t)
+    return out
 
 
 def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
-    """(leaf, sig, template) for every line content that belongs to a possible template."""
+    """(leaf, sig, first) for every line content of a recurring template: the earliest line of
+    all its recurring templates.  A content in ``min_docs`` documents is one by itself, and
+    belongs to the general ones of its leaf beside."""
     sigs = written(lines.groupBy("leaf", "sig", "short", ID, TH).agg(F.min("line").alias("line"))
                    .groupBy("leaf", "sig", "short").agg(F.count("*").alias("docs"), F.min(F.struct(ID, TH, "line")).alias("at")), "line-contents")
-    leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("n"), F.min("docs").alias("least"), F.count("*").alias("k"))
-                     .where((F.col("n") >= min_docs) & (F.col("least") < min_docs) & (F.col("k") > 1)).select("leaf"), "leaves")
-    wanted = sigs.join(leaves.hint("merge"), "leaf").withColumn("rare", F.col("docs") < min_docs)
-    tokens = written(_tokens(rows, wanted), "tokens")
-    fixed = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n"))
-                    .where(F.col("n") >= min_docs).drop("n").withColumn("fixed", F.lit(True)), "fixed-tokens")
-    general = (tokens.where("rare").join(fixed.hint("merge"), ["leaf", "place", "token"], "left")
-               .groupBy("leaf", "sig")
-               .agg(F.avg(F.col("fixed").isNotNull().cast("int")).alias("share"),
-                    F.sort_array(F.collect_list(F.struct("place", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("t"))
-               .where(F.col("share") >= min_fixed)
-               .select("leaf", "sig", F.xxhash64("leaf", F.transform("t", lambda x: F.coalesce(x["token"], F.lit(0)))).alias("template")))
-    whole = sigs.where(F.col("docs") >= min_docs + F.col("short").cast("int")).select("leaf", "sig", F.xxhash64("leaf", "sig").alias("template"))
-    return whole.unionByName(general)
+    maybe = possible(rows, sigs.where(~F.col("short")), min_docs, min_fixed)
+    general = written(maybe.groupBy("leaf", "template")
+                      .agg(F.count("*").alias("k"), F.sum("docs").alias("n"), F.max("docs").alias("most"), F.min("at").alias("first"))
+                      .where((F.col("k") > 1) & (F.col("n") >= min_docs)), "general")
+    # contents may share documents: where none has enough by itself, documents are counted
+    unsure = general.where(F.col("most") < min_docs).select("leaf", "template", "first")
+    few = written(maybe.join(unsure.hint("merge"), ["leaf", "template"]).select("leaf", "sig", "template", "first"), "unsure")
+    counted = (lines.join(few.hint("merge"), ["leaf", "sig"]).groupBy("leaf", "template", "first", ID, TH).agg(F.lit(1).alias("one"))
+               .groupBy("leaf", "template", "first").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
+    sure = written(general.where(F.col("most") >= min_docs).select("leaf", "template", "first")
+                   .unionByName(counted.select("leaf", "template", "first")), "recurring")
+    whole = sigs.where(F.col("docs") >= min_docs + F.col("short").cast("int")).select("leaf", "sig", F.col("at").alias("first"))
+    out = written(maybe.join(sure.hint("merge"), ["leaf", "template"]).select("leaf", "sig", "first").unionByName(whole)
+                  .groupBy("leaf", "sig").agg(F.min("first").alias("first")), "templates")
+    for t in (few, general, sure, maybe, sigs):
+        drop_written(t)
+    return out
 
 
 def recurring(rows: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
               min_fixed: float = MIN_FIXED, keep_first: bool = True) -> DataFrame:
     """(key, drop): for each document its line numbers that go.  ``rows``: of :func:`keyed`."""
     lines = written(parsed(rows, depth, min_tokens), "lines")
-    of = written(templates(rows, lines, min_docs, min_fixed), "templates")
-    hits = written(lines.join(of.hint("merge"), ["leaf", "sig"]).select("template", ID, TH, "line"), "hits")
-    at = F.struct(ID, TH, "line")
-    known = written(hits.groupBy("template", ID, TH).agg(F.min("line").alias("line"))
-                    .groupBy("template").agg(F.count("*").alias("docs"), F.min(at).alias("first"))
-                    .where(F.col("docs") >= min_docs).select("template", "first"), "recurring")
-    gone = hits.join(known.hint("merge"), "template")
+    of = templates(rows, lines, min_docs, min_fixed)
+    gone = lines.join(of.hint("merge"), ["leaf", "sig"])
     if keep_first:
-        gone = gone.where(at != F.col("first"))
-    return written(gone.groupBy(ID, TH).agg(F.collect_set("line").alias("drop")), "dropped-lines")
+        gone = gone.where(F.struct(ID, TH, "line") != F.col("first"))
+    out = written(gone.groupBy(ID, TH).agg(F.collect_set("line").alias("drop")), "dropped-lines")
+    drop_written(lines)
+    drop_written(of)
+    return out
 
 
 def _applied(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -135,8 +183,8 @@ def _kept(text_col: str) -> Column:
 
 
 def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the lines of recurring templates, but for the earliest of each
-    (smallest id, text hash, line); ``keep_first=False`` drops that too.
+    """``docs`` without the lines of recurring templates, but for those (smallest id, text
+    hash, line) that are the earliest of all their templates; ``keep_first=False`` drops these too.
 
     Empty lines and shorter ones than ``min_tokens`` never recur.  All rows and columns stay; null and empty
     texts are unchanged; equal rows are one document, so they don't make a line recur.

@@ -199,3 +199,12 @@ def test_short_lines_recur(spark):
     assert all(t[:2] == ["", f"Page {i}"] and "Home" not in t for i, t in enumerate(got) if i)
     rare = ["Read more here", "Read more here", "Read more here", "Read more there"]
     assert kept_lines(spark, rare) == rare
+
+
+def test_rare_variants_meet_the_recurring_line(spark):
+    common = "all our articles are checked by two editors before print"
+    texts = [common] * 6 + [common.replace("two", "seven"), common.replace("print", "publication"), common.replace("editors", "readers of ours")]
+    texts = [f"{t}\n{'abcdefghi'[i] * 4}" for i, t in enumerate(texts)]
+    got = kept_lines(spark, texts)
+    assert got[0] == texts[0] and got[8] == texts[8]
+    assert got[1:8] == [t.split("\n")[1] for t in texts[1:8]]
