@@ -2,10 +2,14 @@
 
 A line falls to the leaf of its token count and its first tokens, where a token with a digit
 counts as ``<*>``.  A template leaves some places of a line open, no more than ``min_fixed``
-allows: any one place, or those whose tokens stand there in fewer than ``min_docs`` lines of the
-leaf.  All contents of the leaf that it fits count together, frequent or not; one that occurs in
-``min_docs`` documents recurs.  A line of fewer than ``SHORT`` tokens
-has no variable fields, digits included, and needs one document more; empty lines never recur.
+allows: any one place, or those of the least support, which is the number of the leaf's lines
+that have the line's token there.  Support is compared within a line, with no bound of its own,
+so fields are found however often each of their values stands.  All contents of the leaf that a
+template fits count together, frequent or not; one in ``min_docs`` documents recurs.  So do near
+copies, however their places differ: one more template of a leaf holds all contents that have
+``min_fixed`` of their tokens in common with its lead, the content in most documents.  A line of
+fewer than ``SHORT`` tokens has no variable fields, digits included, and needs one document
+more; empty lines never recur.
 
 All tables joined here grow with the corpus, so they are merged at every size and none is
 sent to all tasks.
@@ -72,11 +76,11 @@ def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
 
 
 def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(leaf, sig, docs, place, token hash) of one line for each wanted (leaf, sig), written.
+    """(leaf, sig, docs, lead, place, token hash) of one line for each wanted (leaf, sig), written.
 
     The hash is of the token and its place, so that a template's is the XOR of its fixed ones."""
     per_doc = written(wanted.groupBy(F.col(f"at.{ID}").alias(ID), F.col(f"at.{TH}").alias(TH))
-                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "at.line")).alias("r")), "wanted-lines")
+                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "lead", "at.line")).alias("r")), "wanted-lines")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -84,48 +88,55 @@ def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             for text, r in zip(b[TEXT], b["r"], strict=True):
                 lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                 for x in r:
-                    out += [(x["leaf"], x["sig"], x["docs"], p, _hash(b"%d " % p + t)) for p, t in enumerate(masked(lines[x["line"]]))]
-            yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "place", "token"])
+                    out += [(x["leaf"], x["sig"], x["docs"], x["lead"], p, _hash(b"%d " % p + t)) for p, t in enumerate(masked(lines[x["line"]]))]
+            yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "lead", "place", "token"])
 
     out = written(rows.join(per_doc.hint("merge"), [ID, TH]).dropDuplicates([ID, TH])
-                  .mapInPandas(run, "leaf long, sig long, docs long, place int, token long"), "tokens")
+                  .mapInPandas(run, "leaf long, sig long, docs long, lead boolean, place int, token long"), "tokens")
     drop_written(per_doc)
     return out
 
 
-def _masks(support: np.ndarray, token: np.ndarray, total: int, min_docs: int, min_fixed: float) -> np.ndarray:
+def _masks(support: np.ndarray, token: np.ndarray, lead: np.ndarray, total: int, min_fixed: float) -> np.ndarray:
     """The templates that a line content may belong to, from its tokens in order of support:
-    one place left open, wherever the leaf has another token, and all below ``min_docs``."""
+    one place left open, wherever the leaf has another token, and the two, three ... places of
+    least support, as many as ``min_fixed`` allows; places of one support open together.  0 is
+    the template of the leaf's lead."""
     n = len(token)
-    most = max(k for k in range(n + 1) if k == 0 or (n - k) / n >= min_fixed)
+    most = int(n * (1 - min_fixed) + 1e-9)
     if not most:
         return token[:0]
     whole = np.bitwise_xor.reduce(token)
-    rare = int((support < min_docs).sum())
-    more = [whole ^ np.bitwise_xor.reduce(token[:rare])] if 1 < rare <= most else []
-    return np.append(whole ^ token[support < total], np.array(more, dtype=np.int64))
+    k = np.arange(2, most + 1)
+    k = k[(support[k - 1] < support[np.minimum(k, n - 1)]) & (k < n)]
+    open_ = np.append(token[support < total], np.bitwise_xor.accumulate(token)[k - 1])
+    return np.append(whole ^ open_, np.zeros(int(n - lead.sum() <= most), dtype=np.int64))
 
 
 def possible(rows: DataFrame, sigs: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
     """(leaf, template, sig, docs, at) of the general templates of every content, written."""
-    leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("total"), F.count("*").alias("k"))
-                     .where((F.col("total") >= min_docs) & (F.col("k") > 1)).select("leaf", "total"), "leaves")
-    wanted = written(sigs.join(leaves.hint("merge"), "leaf").select("leaf", "sig", "docs", "total", "at"), "wanted")
+    leaves = written(sigs.groupBy("leaf").agg(F.sum("docs").alias("total"), F.count("*").alias("k"),
+                                                F.max_by("sig", F.struct("docs", "sig")).alias("of"))
+                     .where((F.col("total") >= min_docs) & (F.col("k") > 1)).select("leaf", "total", "of"), "leaves")
+    wanted = written(sigs.join(leaves.hint("merge"), "leaf")
+                     .select("leaf", "sig", "docs", (F.col("sig") == F.col("of")).alias("lead"), "total", "at"), "wanted")
     tokens = _tokens(rows, wanted)
-    support = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")), "support")
-    placed = (tokens.join(support.hint("merge"), ["leaf", "place", "token"])
-              .groupBy("leaf", "sig").agg(F.sort_array(F.collect_list(F.struct("support", "token"))).alias("t"))
-              .select("leaf", "sig", F.col("t.support").alias("support"), F.col("t.token").alias("token")))
+    support = written(tokens.groupBy("leaf", "place", "token")
+                      .agg(F.sum("docs").alias("support"), F.max("lead").alias("lead")), "support")
+    placed = (tokens.drop("lead").join(support.hint("merge"), ["leaf", "place", "token"])
+              .groupBy("leaf", "sig").agg(F.sort_array(F.collect_list(F.struct("support", "token", "lead"))).alias("t"))
+              .select("leaf", "sig", F.col("t.support").alias("support"), F.col("t.token").alias("token"), F.col("t.lead").alias("lead")))
     schema = f"leaf long, template long, sig long, docs long, {_KEYS}, line int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            masks = [_masks(np.asarray(s), np.asarray(t), n, min_docs, min_fixed)
-                     for s, t, n in zip(b["support"], b["token"], b["total"], strict=True)]
+            masks = [_masks(np.asarray(s), np.asarray(t), np.asarray(x), n, min_fixed)
+                     for s, t, x, n in zip(b["support"], b["token"], b["lead"], b["total"], strict=True)]
             of = b[["leaf", "sig", "docs", ID, TH, "line"]].iloc[np.repeat(np.arange(len(b)), [len(m) for m in masks])]
             yield of.assign(template=np.concatenate([np.empty(0, np.int64), *masks]))[["leaf", "template", "sig", "docs", ID, TH, "line"]]
 
-    out = written(placed.join(wanted.hint("merge"), ["leaf", "sig"]).select("leaf", "sig", "docs", "total", "at.*", "support", "token")
+    out = written(placed.join(wanted.drop("lead").hint("merge"), ["leaf", "sig"])
+                  .select("leaf", "sig", "docs", "total", "at.*", "support", "token", "lead")
                   .mapInPandas(run, schema).select("leaf", "template", "sig", "docs", F.struct(ID, TH, "line").alias("at")), "possible")
     for t in (tokens, support, wanted, leaves):
         drop_written(t)

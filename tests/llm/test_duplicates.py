@@ -208,3 +208,21 @@ def test_rare_variants_meet_the_recurring_line(spark):
     got = kept_lines(spark, texts)
     assert got[0] == texts[0] and got[8] == texts[8]
     assert got[1:8] == [t.split("\n")[1] for t in texts[1:8]]
+
+
+def test_fields_whose_values_recur(spark):
+    cities, days = [f"city{c}" for c in "abcdefghijklmnopqrst"], ["monday", "tuesday", "friday", "saturday", "sunday"]
+    texts = [f"report filed by our {c} bureau on {d}" for c in cities for d in days]
+    other = ["report filed by our readers about a bridge", "report filed by our guests from the coast", "report filed by nobody in all these years"]
+    assert kept_lines(spark, texts + other) == texts[:1] + [""] * (len(texts) - 1) + other
+
+
+def test_near_copies_meet(spark):
+    base = [f"w{a}{b}" for a in "abcde" for b in "fghij"]
+    texts = []
+    for i in range(12):
+        own = list(base)
+        for p in {3 + (5 * i) % 22, 3 + (7 * i + 4) % 22, 3 + (3 * i + 9) % 22} if i > 4 else ():
+            own[p] = "x" * (i + 1)
+        texts.append(" ".join(own))
+    assert kept_lines(spark, texts) == texts[:1] + [""] * 11
