@@ -2,7 +2,8 @@
 
 Folding undoes case, accents, look-alike letters and digit substitutions, and puts one space
 for whatever is no letter.  As accents tell words apart in many languages, a second reading
-keeps them, place by place beside the first.  Matches inside an exception phrase don't count.
+keeps them, word by word beside the first.  A substitution at the end of a word may as well be
+noise or punctuation: the first readings strip it, further ones undo it.  Matches inside an exception phrase don't count.
 The sum of the weights is set against the length of the text.
 """
 
@@ -52,6 +53,11 @@ _COUNTED = 500_000
 _KNOWN = frozenset(TERMS)
 _SUBSTITUTED = re.compile(r"[013457@$!]+(?=[^\W\d_])")
 _UNDO = str.maketrans(SUBSTITUTES)
+#: In half-folded text: substitutions that end a word.
+_ENDING = re.compile(r"(?<=[^ 013457@$!])[013457@$!]+(?![^ ])")
+_STRIPPED = str.maketrans(dict.fromkeys(SUBSTITUTES, " "))
+#: What the end of a word may hold beside its letters: nothing, punctuation or symbol noise.
+_NOISE = ("", "!", "@$!")
 
 
 class _Fold(dict):
@@ -82,17 +88,46 @@ class _Accented(dict):
 _ACCENTED = _Accented()
 
 
+class _Half(dict):
+    """The form in another table, but for substitutes, which stay."""
+
+    def __init__(self, table: dict):
+        self.table = table
+
+    def __missing__(self, code: int) -> str:
+        self[code] = chr(code) if code in _UNDO else self.table[code]
+        return self[code]
+
+
+_HALF, _HALF_ACCENTED = _Half(_FOLD), _Half(_ACCENTED)
+
+
+def _half(text: str, table: dict) -> str:
+    return _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), unicodedata.normalize("NFC", text)).translate(table)
+
+
+def _spaced(half: str) -> str:
+    return " ".join(["", *half.translate(_STRIPPED).split(), ""])
+
+
 def fold(text: str, table: dict = _FOLD) -> str:
     """" words of letters with one space before, between and after each "."""
-    text = unicodedata.normalize("NFC", text)
-    text = _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), text).translate(table)
-    return " ".join(["", *text.split(), ""])
+    return _spaced(_half(text, _HALF if table is _FOLD else _HALF_ACCENTED))
+
+
+def _undone(half: str, noise: str) -> str:
+    return _ENDING.sub(lambda m: m[0].rstrip(noise).translate(_UNDO) if noise else m[0].translate(_UNDO), half)
 
 
 def readings(text: str) -> list[str]:
-    """The folded text and, if they differ, the one with accents, of the same length."""
-    plain, marked = fold(text), fold(text, _ACCENTED)
-    return [plain] if plain == marked else [plain, marked]
+    """The folded text and, if they differ, the one with accents, and either with the
+    substitutions at the ends of words undone, but for noise after them.  All have the same
+    number of words, the first two the same length."""
+    halves = [_half(text, _HALF), _half(text, _HALF_ACCENTED)]
+    out = dict.fromkeys(_spaced(h) for h in halves)
+    if _ENDING.search(halves[0]):
+        out |= dict.fromkeys(_spaced(_undone(h, noise)) for noise in _NOISE for h in halves)
+    return list(out)
 
 
 @dataclass(frozen=True)
@@ -130,16 +165,20 @@ def weigh(lexicon: Lexicon, *folded: str) -> tuple[float, int]:
         return 0.0, max(words, 0)
     hits: dict[int, float] = {}
     excused: list[tuple[int, int]] = []
-    for end, (weight, size) in (m for reading in folded for m in found.iter(reading)):
-        start = end - size + 1
-        if weight is None:
-            excused.append((start, end))
-        else:
-            hits[start] = max(weight, hits.get(start, 0.0))
+    for reading in folded:
+        at, word = 0, 0
+        # by number of the word: the readings differ in the lengths of words
+        for start, size, weight in sorted((end - size + 1, size, weight) for end, (weight, size) in found.iter(reading) if weight is not None):
+            word, at = word + reading.count(" ", at, start), start
+            hits[word] = max(weight, hits.get(word, 0.0))
+        at, word = 0, 0
+        for start, size in sorted((end - size + 1, size) for end, (weight, size) in found.iter(reading) if weight is None):
+            word, at = word + reading.count(" ", at, start), start
+            excused.append((word, word + reading.count(" ", start, start + size) - 1))
     if excused:
         begins = sorted(excused)
         reach = list(itertools.accumulate((b for _, b in begins), max))  # how far the phrases begun so far go
-        hits = {s: x for s, x in hits.items() if not (k := bisect.bisect(begins, (s, len(folded[0])))) or reach[k - 1] <= s}
+        hits = {s: x for s, x in hits.items() if not (k := bisect.bisect(begins, (s, words))) or reach[k - 1] <= s}
     return sum(hits.values()), words
 
 
@@ -174,7 +213,7 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by: tuple[Counter, Counter] = (Counter(), Counter())
         after: Counter = Counter()
         for text, toxic in zip(texts, labels, strict=True):
-            read = [r.split() for r in readings(text)]
+            read = [fold(text).split(), fold(text, _ACCENTED).split()]
             own: dict[str, int] = {}
             for w, m, nxt in zip(read[0], read[-1], [*read[0][1:], ""], strict=True):
                 if w in _KNOWN:

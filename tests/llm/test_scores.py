@@ -155,3 +155,17 @@ def test_accents_tell_terms_apart():
     lexicon = toxicity.Lexicon(((" réeu", 2.0), (" trash ", 3.0)))
     assert toxicity.weigh(lexicon, *toxicity.readings("réeuxpa reeuxpa")) == (2.0, 2)
     assert toxicity.weigh(lexicon, *toxicity.readings("Trâsh trash cän trash")) == (6.0, 4)
+
+
+@pytest.mark.parametrize("text", ["asshol3", "whor3", "imbecil3!", "shi7", "cun7$$$", "worthle$$", "worthle$$!!", "dumba55", "stupid$$$", "idiot!", "moron5"])
+def test_substitutions_at_the_end_of_a_word(text):
+    lexicon = toxicity.base_lexicon()
+    read = toxicity.readings(f"5 you {text}, ²3 x³3 e\u03013")
+    assert len({r.count(" ") for r in read}) == 1
+    assert toxicity.weigh(lexicon, *read)[0] == toxicity.BASE_WEIGHT
+    assert toxicity.weigh(lexicon, *toxicity.readings("2 clas5 clown5 cost 5 and clas5 clown"))[0] == toxicity.BASE_WEIGHT
+
+
+def test_learned_terms_undo_the_end_of_a_word():
+    lexicon = toxicity.Lexicon(((" réeuxe ", 2.0), (" trashe", 3.0)))
+    assert toxicity.weigh(lexicon, *toxicity.readings("reeux3 réeux3 trash3n trash3 v2 x!")) == (8.0, 6)
