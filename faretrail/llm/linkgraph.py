@@ -7,6 +7,7 @@ edges, computed by joins and sums in Spark.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,8 @@ DAMPING = 0.85
 SEED_SHARE = 0.5
 #: Distrust, as a multiple of one seed's start, from which a host that isn't trusted more is blocked.
 THRESHOLD = 0.1
-ROUNDS, CLOSE = 30, 1e-6
+#: Change of all ranks together, of one round, from which on nothing changes.
+CLOSE = 1e-6
 _ABSOLUTE = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -60,7 +62,10 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) in multiples of one seed's start.  ``seeds``: host, trusted,
     blocked (booleans).  Both rankings move in the same passes until nothing changes; what
-    reaches a host without links ends there."""
+    reaches a host without links ends there.  The sum of the changes shrinks by the damping in
+    each round, so what is left after the last is bounded, wherever it may meet."""
+    if not 0 <= damping < 1:
+        raise ValueError(f"damping {damping} is not from 0 to below 1")
     # written, so that the joins meet plain shuffles and the edges of a hub can be split
     edges = written(edges, "links")
     out = written(edges.groupBy("src").agg(F.sum("n").alias("n_out")), "onward")
@@ -69,8 +74,8 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) ->
                       .select("src", "dst", (F.col("n") / F.col("n_out")).alias("onward"), (F.col("n") / F.col("n_in")).alias("back")), "edges")
     start = written(seeds.where("trusted or blocked").select("host", (F.col("trusted").cast("double") * (1 - damping)).alias("trust"),
                                                              (F.col("blocked").cast("double") * (1 - damping)).alias("distrust")), "seeds")
-    now = start
-    for _ in range(ROUNDS):
+    now, done, most = start, 0, math.inf
+    while True:
         forth = weighed.join(now.withColumnRenamed("host", "src"), "src").select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("onward") * damping).alias("trust"), F.lit(0.0).alias("distrust"))
         backward = weighed.join(now.withColumnRenamed("host", "dst"), "dst").select(
@@ -80,12 +85,17 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) ->
         moved = (after.select("host", "trust", "distrust")
                  .unionByName(now.select("host", (-F.col("trust")).alias("trust"), (-F.col("distrust")).alias("distrust")))
                  .groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
-                 .agg(F.max(F.greatest(F.abs("t"), F.abs("d")))).first()[0])
+                 .agg(F.greatest(F.sum(F.abs("t")), F.sum(F.abs("d")))).first()[0]) or 0.0
         if now is not start:
             drop_written(now)
         now = after
-        if (moved or 0.0) < CLOSE:
+        done += 1
+        if moved < CLOSE:
             break
+        if done == 1:
+            most = 5 + math.ceil(math.log(CLOSE / moved) / math.log(damping))
+        if not done < most:
+            raise RuntimeError(f"ranks still move by {moved} after {done} rounds")
     return now.select("host", (F.col("trust") / (1 - damping)).alias("trust"), (F.col("distrust") / (1 - damping)).alias("distrust"))
 
 

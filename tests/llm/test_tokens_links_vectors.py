@@ -212,3 +212,17 @@ def test_pipeline_stages(spark, odd_docs, tmp_path):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0, name
+
+
+def test_propagation_reaches_the_end_of_a_chain(spark):
+    n = 33
+    links = [("h0", f"bad{i}", 1) for i in range(300)] + [(f"h{i + 1}", f"h{i}", 1) for i in range(n)]
+    edges = spark.createDataFrame(links, "src string, dst string, n long").coalesce(1)
+    seeds = spark.createDataFrame([(f"bad{i}", False, True) for i in range(300)], "host string, trusted boolean, blocked boolean").coalesce(1)
+    got = {x.host: x.distrust for x in linkgraph.propagated(edges, seeds).collect()}
+    assert got[f"h{n}"] == pytest.approx(300 * 0.85 ** (n + 1)) and got[f"h{n}"] > linkgraph.THRESHOLD
+
+
+def test_propagation_takes_a_damping_below_one(spark):
+    with pytest.raises(ValueError):
+        linkgraph.propagated(None, None, damping=1.0)
