@@ -169,3 +169,22 @@ def test_substitutions_at_the_end_of_a_word(text):
 def test_learned_terms_undo_the_end_of_a_word():
     lexicon = toxicity.Lexicon(((" réeuxe ", 2.0), (" trashe", 3.0)))
     assert toxicity.weigh(lexicon, *toxicity.readings("reeux3 réeux3 trash3n trash3 v2 x!")) == (8.0, 6)
+
+
+def test_concentration_goes_on_until_the_determinant_stands(spark):
+    r = np.random.default_rng(1)  # two overlapping clouds: the share moves over slowly
+    x = np.concatenate([r.normal(size=(480, 5)) * 2, r.normal(size=(320, 5)) * 2 + 5])
+    rows = spark.createDataFrame([("g", i % 32, *map(float, v)) for i, v in enumerate(x)], ["group", "_ft_salt", *outliers.FEATURES])
+    rows = rows.withColumn("_ft_salt", F.col("_ft_salt").cast("int"))
+    floor = np.diag(np.array(outliers.FLOOR) ** 2)
+    centre, q = np.median(x, axis=0), np.quantile(x, [0.25, 0.75], axis=0, method="inverted_cdf")
+    cov = np.diag(((q[1] - q[0]) / 1.349) ** 2)
+    dets = []
+    for _ in range(30):
+        dist = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov + floor), x - centre)
+        near = x[dist <= np.quantile(dist, outliers.SHARE, method="inverted_cdf")]
+        centre, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+        dets.append(np.linalg.slogdet(cov + floor)[1])
+    found = outliers.estimates(rows, ["group"]).first()
+    det = sum(2 * math.log(found[f"g{i}{i}"]) for i in range(5))
+    assert dets[2] > dets[-1] + 0.02 and det == pytest.approx(dets[-1], abs=0.01)
