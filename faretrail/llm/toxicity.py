@@ -213,9 +213,9 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by: tuple[Counter, Counter] = (Counter(), Counter())
         after: Counter = Counter()
         for text, toxic in zip(texts, labels, strict=True):
-            read = [fold(text).split(), fold(text, _ACCENTED).split()]
+            plain, accented = fold(text).split(), fold(text, _ACCENTED).split()
             own: dict[str, int] = {}
-            for w, m, nxt in zip(read[0], read[-1], [*read[0][1:], ""], strict=True):
+            for w, m, nxt in zip(plain, accented, [*plain[1:], ""][:len(plain)], strict=True):  # a text may hold no word
                 if w in _KNOWN:
                     continue
                 bit = 1 << (hash_of(nxt) & 63)

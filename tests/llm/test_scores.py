@@ -55,6 +55,19 @@ def test_toxicity_without_labels(spark, odd_docs, no_docs):
     assert bad >= 0.7
 
 
+@pytest.mark.parametrize("wordless", [None, "", " \t\n", "12 34-5", "... !! \u200b", "\u0301"])
+def test_toxicity_learns_from_wordless_texts(spark, wordless):
+    """A labelled text without a letter, under either label, says nothing and breaks nothing."""
+    rows = [(i, f"you {w} plain words number {i}") for i, w in enumerate(["idiot", "moron", "friend", "neighbour"])]
+    docs = spark.createDataFrame([*rows, (10, wordless), (11, wordless)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (3, 0), (10, 1), (11, 0)], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    scores = {x.doc_id: x.s for x in docs.select("doc_id", toxicity.scored(F.col("text"), lexicon).alias("s")).collect()}
+    assert scores[10] == scores[11] == min(scores.values()) and scores[0] > scores[2]
+    alone = toxicity.learn(docs.where("doc_id >= 10"), labels)
+    assert dict(alone.weights) == dict(toxicity.base_lexicon().weights)
+
+
 def test_sum_of_squares_identity():
     r = np.random.default_rng(1)
     n = 5

@@ -214,6 +214,25 @@ def test_pipeline_stages(spark, odd_docs, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0, name
 
 
+def test_pipeline_with_labelled_odd_rows(spark, wide_docs, tmp_path):
+    """Labels on null, empty, blank, very long and repeated texts; clashing column names."""
+    bad = wide_docs.limit(1).selectExpr(*[{"doc_id": "20L AS doc_id", "text": "'you m0r0n idiot' AS text"}.get(c, f"`{c}`") for c in wide_docs.columns])
+    docs = wide_docs.unionByName(bad)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, 1, int(i in (1, 3, 20))) for i in (1, 2, 3, 4, 5, 6, 8, 9, 10, 20, 99)] + [(7, None, None), (None, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, str(tmp_path)).write.parquet(str(tmp_path / f"s{k}"))
+        now = spark.read.parquet(str(tmp_path / f"s{k}"))
+        if name != "packing":
+            assert now.columns == docs.columns
+        if name == "toxicity":
+            left = [x.doc_id for x in now.collect()]
+            assert 20 not in left and len(left) == docs.count() - 1
+    check_places(now.toPandas(), 2048)
+
+
 def test_propagation_reaches_the_end_of_a_chain(spark):
     n = 33
     links = [("h0", f"bad{i}", 1) for i in range(300)] + [(f"h{i + 1}", f"h{i}", 1) for i in range(n)]
