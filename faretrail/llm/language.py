@@ -8,6 +8,7 @@ bent by x / (1 + abs(x)), which costs far less than exponentials.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -225,12 +226,17 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(F.col(text_col).cast("string")) > 0))
     known = known.select(F.col(id_col).cast("long").alias(ID), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    languages = tuple(sorted(r["lang"] for r in known.select("lang").distinct().collect()))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = tuple(sorted(counts))
     if not languages:
         return None
-    few = Window.partitionBy("lang").orderBy(F.xxhash64(ID), ID)
-    chosen = (known.select(ID, "lang").withColumn("n", F.row_number().over(few))
-              .where(F.col("n") <= max(1, max_train // len(languages))).select(ID, "lang").distinct())
+    each_lang = max(1, max_train // len(languages))
+    # the share of the hashes that holds so many ids, with room for chance, leaves few to rank
+    place = F.shiftrightunsigned(F.xxhash64(ID), 32) / float(1 << 32)
+    shares = ((F.lit(v), F.lit(min(1.0, (each_lang + 6 * each_lang ** 0.5 + 20) / counts[v]))) for v in languages)
+    low = known.select(ID, "lang").where(place < F.create_map(*itertools.chain.from_iterable(shares))[F.col("lang")]).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, ID))
+    chosen = low.withColumn("n", rank).where(F.col("n") <= each_lang).select(ID, "lang")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
