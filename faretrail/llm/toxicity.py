@@ -1,9 +1,11 @@
 """Toxicity by a weighted lexicon over folded text, matched by Aho-Corasick.
 
-Folding undoes case, accents, look-alike letters and digit substitutions, and puts one space
-for whatever is no letter.  As accents tell words apart in many languages, a second reading
-keeps them, word by word beside the first.  A substitution at the end of a word may as well be
-noise or punctuation: the first readings strip it, further ones undo it.  Matches inside an exception phrase don't count.
+Folding undoes case, accents, look-alike letters and digit substitutions, drops format
+characters, and puts one space for whatever else is no letter.  As accents tell words apart in
+many languages, a second reading keeps them, word by word beside the first.  A 1 may stand for
+i or l: where one touches a letter, further readings take it for l.  A substitution at the end
+of a word may as well be noise or punctuation: the first readings strip it, further ones undo
+it.  Matches inside an exception phrase don't count.
 The sum of the weights is set against the length of the text.
 """
 
@@ -32,7 +34,10 @@ from faretrail.llm.common import chunks, remembering, sampled, series_of
 TERMS = ("idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "pathetic", "worthless",
          "scum", "scumbag", "clown", "clowns", "trash", "disgusting", "imbecile", "dumb", "dumbass",
          "asshole", "bastard", "bitch", "bullshit", "cunt", "dickhead", "fuck", "fucker", "fucking",
-         "motherfucker", "shit", "shithead", "slut", "whore", "retard", "vermin", "subhuman")
+         "motherfucker", "shit", "shithead", "slut", "whore", "retard", "vermin", "subhuman",
+         "abschaum", "arschloch", "arschlocher", "drecksack", "dummkopf", "hurensohn", "missgeburt", "schlampe", "trottel", "vollidiot", "wichser",
+         "abruti", "abrutie", "batard", "connard", "connasse", "cretin", "cretine", "encule", "ordure", "pourriture", "salope",
+         "cabron", "estupida", "estupido", "gilipollas", "hijoputa", "idiota", "imbecil", "malnacido", "pendejo", "subnormal")
 #: Phrases in which a term is meant otherwise.
 EXCEPTIONS = ("trash can", "trash cans", "trash bin", "trash bag", "trash bags", "trash collection",
               "clown fish", "clown loach", "class clown", "circus clown", "pond scum", "soap scum",
@@ -40,7 +45,7 @@ EXCEPTIONS = ("trash can", "trash cans", "trash bin", "trash bag", "trash bags",
 #: Letters that look like Latin ones.
 LOOK_ALIKES = dict(zip("авеѕіјкмнорстухԁһѵɡαβεηικνορτυχωıļɩ", "abesijkmhopctyxdhvgabenikvoptuxwiii", strict=True))
 #: Characters that stand for letters.
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t"}
 
 BASE_WEIGHT = 4.0
 #: Labelled rows that the terms and the curve are learned from at most.
@@ -51,13 +56,18 @@ _STEMS = (3, 4, 5, 6, 7, 8, 9)
 #: Characters of text whose terms are counted at once; the partial counts are summed up.
 _COUNTED = 500_000
 _KNOWN = frozenset(TERMS)
-_SUBSTITUTED = re.compile(r"[013457@$!]+(?=[^\W\d_])")
-_UNDO = str.maketrans(SUBSTITUTES)
+_ANY = re.escape("".join(SUBSTITUTES))
+_SUBSTITUTED = re.compile(rf"[{_ANY}]+(?=[^\W\d_])")
+_UNDO, _UNDO_L = str.maketrans(SUBSTITUTES), str.maketrans(SUBSTITUTES | {"1": "l"})
+#: A 1 in or at a word.
+_ONE = re.compile(r"1(?=[^\W\d_])|(?<=[^\W\d_])1")
+#: Format characters, such as soft hyphens and zero-width spaces: they divide no word.
+_FORMAT = re.compile("[" + "".join(chr(c) for c in range(1 << 16) if unicodedata.category(chr(c)) == "Cf") + "]")
 #: In half-folded text: substitutions that end a word.
-_ENDING = re.compile(r"(?<=[^ 013457@$!])[013457@$!]+(?![^ ])")
+_ENDING = re.compile(rf"(?<=[^ {_ANY}])[{_ANY}]+(?![^ ])")
 _STRIPPED = str.maketrans(dict.fromkeys(SUBSTITUTES, " "))
 #: What the end of a word may hold beside its letters: nothing, punctuation or symbol noise.
-_NOISE = ("", "!", "@$!")
+_NOISE = ("", "!", "@$!+")
 
 
 class _Fold(dict):
@@ -68,7 +78,7 @@ class _Fold(dict):
         c = LOOK_ALIKES.get(c, c)
         c = "".join(x for x in unicodedata.normalize("NFKD", c) if x.isalpha()).lower()
         c = "".join(LOOK_ALIKES.get(x, x) for x in c)
-        self[code] = c or ("" if unicodedata.combining(chr(code)) else " ")
+        self[code] = c or ("" if unicodedata.combining(chr(code)) or unicodedata.category(chr(code)) == "Cf" else " ")
         return self[code]
 
 
@@ -102,8 +112,12 @@ class _Half(dict):
 _HALF, _HALF_ACCENTED = _Half(_FOLD), _Half(_ACCENTED)
 
 
-def _half(text: str, table: dict) -> str:
-    return _SUBSTITUTED.sub(lambda m: m[0].translate(_UNDO), unicodedata.normalize("NFC", text)).translate(table)
+def _plain(text: str) -> str:
+    return text if text.isascii() else _FORMAT.sub("", unicodedata.normalize("NFC", text))
+
+
+def _half(plain: str, table: dict, undo: dict = _UNDO) -> str:
+    return _SUBSTITUTED.sub(lambda m: m[0].translate(undo), plain).translate(table)
 
 
 def _spaced(half: str) -> str:
@@ -112,21 +126,23 @@ def _spaced(half: str) -> str:
 
 def fold(text: str, table: dict = _FOLD) -> str:
     """" words of letters with one space before, between and after each "."""
-    return _spaced(_half(text, _HALF if table is _FOLD else _HALF_ACCENTED))
+    return _spaced(_half(_plain(text), _HALF if table is _FOLD else _HALF_ACCENTED))
 
 
-def _undone(half: str, noise: str) -> str:
-    return _ENDING.sub(lambda m: m[0].rstrip(noise).translate(_UNDO) if noise else m[0].translate(_UNDO), half)
+def _undone(half: str, noise: str, undo: dict) -> str:
+    return _ENDING.sub(lambda m: m[0].rstrip(noise).translate(undo) if noise else m[0].translate(undo), half)
 
 
 def readings(text: str) -> list[str]:
-    """The folded text and, if they differ, the one with accents, and either with the
-    substitutions at the ends of words undone, but for noise after them.  All have the same
-    number of words, the first two the same length."""
-    halves = [_half(text, _HALF), _half(text, _HALF_ACCENTED)]
-    out = dict.fromkeys(_spaced(h) for h in halves)
-    if _ENDING.search(halves[0]):
-        out |= dict.fromkeys(_spaced(_undone(h, noise)) for noise in _NOISE for h in halves)
+    """The folded text and, if they differ, the one with accents, either with 1 as l, and all
+    of these with the substitutions at the ends of words undone, but for noise after them.  All
+    have the same number of words, the first two the same length."""
+    plain = _plain(text)
+    ways = (_UNDO, _UNDO_L) if _ONE.search(plain) else (_UNDO,)
+    halves = [(_half(plain, table, undo), undo) for undo in ways for table in (_HALF, _HALF_ACCENTED)]
+    out = dict.fromkeys(_spaced(h) for h, _ in halves)
+    if _ENDING.search(halves[0][0]):
+        out |= dict.fromkeys(_spaced(_undone(h, noise, undo)) for noise in _NOISE for h, undo in halves)
     return list(out)
 
 

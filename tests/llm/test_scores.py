@@ -162,7 +162,7 @@ def test_outliers_odd_tables(spark, wide_docs, no_docs):
 
 
 def test_accents_tell_terms_apart():
-    assert toxicity.readings("réeux reeux ＴＲÂSH 1diot") == [" reeux reeux trash idiot ", " réeux reeux trâsh idiot "]
+    assert toxicity.readings("réeux reeux ＴＲÂSH 1diot")[:2] == [" reeux reeux trash idiot ", " réeux reeux trâsh idiot "]  # then those with 1 as l
     assert toxicity.readings("réeux") == toxicity.readings("réeux") == [" reeux ", " réeux "]
     assert toxicity.readings("plain") == [" plain "]
     lexicon = toxicity.Lexicon(((" réeu", 2.0), (" trash ", 3.0)))
@@ -179,6 +179,47 @@ def test_substitutions_at_the_end_of_a_word(text):
     assert toxicity.weigh(lexicon, *toxicity.readings("2 clas5 clown5 cost 5 and clas5 clown"))[0] == toxicity.BASE_WEIGHT
 
 
+@pytest.mark.parametrize("text", ["assho1e", "1oser", "c1own", "imbeci1e", "worth1ess", "8itch", "1d1o+", "du\u00admb", "mo\u200bron", "1\u200ddiot",
+                                  "Arschl\u00f6cher", "CONNARD", "imb\u00e9cil", "gi1ipo11as"])
+def test_further_spellings(text):
+    lexicon = toxicity.base_lexicon()
+    read = toxicity.readings(f"v1 you {text}, l1 and 11 more")
+    assert len({r.count(" ") for r in read}) == 1
+    assert toxicity.weigh(lexicon, *read)[0] == toxicity.BASE_WEIGHT
+
+
+def plain_weight(lexicon, texts):
+    """Every term at every place of every reading, every phrase; no automaton."""
+    words = texts[0].split()
+    hits, excused = {}, set()
+    for text in texts:
+        starts = [i for i, c in enumerate(text[:-1]) if c == " "]
+        assert len(starts) == len(words)
+        for k, at in enumerate(starts):
+            for term, weight in lexicon.weights:
+                if text.startswith(term, at):
+                    hits[k] = max(weight, hits.get(k, 0.0))
+            for phrase in lexicon.exceptions:
+                if text.startswith(f" {phrase} ", at):
+                    excused |= set(range(k, k + len(phrase.split())))
+    return sum(v for k, v in hits.items() if k not in excused), len(words)
+
+
+def test_weight_against_plain(spark):
+    r = random.Random(6)
+    base = toxicity.base_lexicon()
+    lexicon = toxicity.Lexicon((*base.weights, (" réeu", 2.0), (" cl", 0.5), (" ordin", 1.5)), (*base.exceptions, "you clown", "clown you idiot"))
+    parts = ["idiot", "1d10t", "c1own", "clown", "trash", "can", "you", "réeuxpa", "reeuxpa", "ordinary", "keep", "it", "simple", "stupid", "stup1d$$", "sore",
+             "loser", "1oser", "cat5", "b1", "+", "12", "--", "du\u00admb", "waiter", "imbécil", "shi7", "moron!"]
+    seen = 0
+    for _ in range(400):
+        texts = toxicity.readings(" ".join(r.choices(parts, k=r.randint(0, 25))))
+        want = plain_weight(lexicon, texts)
+        assert toxicity.weigh(lexicon, *texts) == pytest.approx(want), texts
+        seen += want[0] > 0
+    assert seen > 300
+
+
 def test_learned_terms_undo_the_end_of_a_word():
     lexicon = toxicity.Lexicon(((" réeuxe ", 2.0), (" trashe", 3.0)))
     assert toxicity.weigh(lexicon, *toxicity.readings("reeux3 réeux3 trash3n trash3 v2 x!")) == (8.0, 6)
