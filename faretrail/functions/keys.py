@@ -36,6 +36,9 @@ POS = "_key_pos"
 OFFSET = "_key_offset"
 FIRST = "_key_first_pos"
 LANDING_POS = "_landing_pos"
+FILE = "_key_file"
+START = "_key_start"
+BLOCK = "_key_block"
 
 
 def _order(cols: list[str | Column]) -> list[Column]:
@@ -48,6 +51,7 @@ class RankedStage:
     rows: DataFrame
     offsets: DataFrame
     paths: tuple[str, ...] = ()
+    by: tuple[str, ...] = (PART,)
 
     def release(self) -> None:
         """Remove the staged files; call once no frame built on them is read again."""
@@ -81,6 +85,27 @@ def stage_positions(df: DataFrame, label: str = "positions") -> RankedStage:
     return _staged(df, label)
 
 
+def stage_file_positions(df: DataFrame, label: str = "file-positions") -> RankedStage:
+    """Tag file, split and place of every row of a file scan, write once, read back: the order of
+    the files by name, and of the rows in each, whatever the splits.
+
+    ``df`` reads files and has only been projected or filtered, so a split's rows follow each
+    other in one task, in the order of the file, and the offsets of the splits by their starts
+    make them one sequence.  No shuffle; the offsets have a row of some tens of bytes a split.
+    """
+    spark = df.sparkSession
+    tagged = (df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(START))
+              .withColumns({PART: F.spark_partition_id(), POS: F.monotonically_increasing_id(), BLOCK: F.xxhash64(FILE, START)}))
+    path = scratch_path(spark, label)
+    tagged.write.mode("errorifexists").parquet(path)
+    rows = spark.read.parquet(path)
+    splits = rows.groupBy(PART, BLOCK, FILE, START).agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias(FIRST))
+    running = Window.orderBy(FILE, START).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = splits.select(PART, BLOCK, "_rows", FIRST, (F.sum("_rows").over(running) - F.col("_rows")).alias(OFFSET))
+    offsets.coalesce(1).write.mode("errorifexists").parquet(path + "-offsets")
+    return RankedStage(rows.drop(FILE, START), spark.read.parquet(path + "-offsets"), (path, path + "-offsets"), (PART, BLOCK))
+
+
 def _staged(df: DataFrame, label: str) -> RankedStage:
     spark = df.sparkSession
     tagged = (df.withColumn(PART, F.spark_partition_id())
@@ -102,14 +127,14 @@ def attach_dense_id(stage: RankedStage, id_col: str = "trip_id",
     """Turn (partition, position) of a staged ranking into a dense 1-based id.
 
     Positions inside one partition are consecutive record numbers, so a row's
-    rank inside its partition is its position minus the partition's first.
+    rank inside its partition (or split) is its position minus the first one.
     """
     local = F.col(POS) - F.col(FIRST)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    offsets = stage.offsets.select(PART, OFFSET, FIRST)
-    return (stage.rows.join(F.broadcast(offsets), PART)
+    offsets = stage.offsets.select(*stage.by, OFFSET, FIRST)
+    return (stage.rows.join(F.broadcast(offsets), list(stage.by))
             .withColumn(id_col, (F.col(OFFSET) + local + start_col.cast("long")).cast("long"))
-            .drop(PART, POS, OFFSET, FIRST))
+            .drop(*stage.by, POS, OFFSET, FIRST))
 
 
 def dense_key(df: DataFrame, order_cols: list[str | Column], id_col: str = "trip_id",

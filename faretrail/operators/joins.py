@@ -6,14 +6,20 @@
 - ``shuffle_hash`` -- shuffle hash join.
 
 Building a plan runs no job, no session setting is changed, and no side is broadcast by a
-hint: neither a fact nor a dimension has a size that the caller could vouch for.
+hint but through :func:`broadcast_bounded`, which takes the side's counted rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: The most that a side marked for broadcast may take in memory.
+BROADCAST_BYTES = 64 << 20
+#: Of a row in a broadcast hash table: null bits, length, pointer and key slot, rounded up.
+_ROW_BYTES = 64
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 STRATEGIES = ("auto", "merge", "shuffle_hash")
 SALT = "_join_salt"
 
@@ -29,6 +35,16 @@ def join(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
     return left.join(_hinted(right, strategy), on, how)
 
 
+def broadcast_bounded(df: DataFrame, rows: int | None, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``df`` marked for broadcast if its ``rows``, which the caller has counted, are proven to
+    take at most ``max_bytes``: every column of fixed width, eight bytes each.  Else None."""
+    fixed = all(isinstance(f.dataType, _FIXED) and not (isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18)
+                for f in df.schema.fields)
+    if rows is None or not fixed or rows * (8 * len(df.schema.fields) + _ROW_BYTES) > max_bytes:
+        return None
+    return F.broadcast(df)
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str, strategy: str = "merge",
                 salts: int = 32) -> DataFrame:
     """Inner join of a large ``left`` to a small ``right`` on few key values.

@@ -19,11 +19,15 @@ def print_preview(df: DataFrame, n: int = 2, order_by: str | None = None) -> Non
     (preview(df, n, order_by) if order_by else df.limit(n)).show(n, truncate=False)
 
 
-def partition_stats(df: DataFrame, by: Column | None = None) -> DataFrame:
-    """Number of non-empty partitions, total rows, and the largest partition; with ``by``,
-    of the parts that this column gives instead of the frame's own partitions."""
-    part = F.spark_partition_id() if by is None else by
-    per_part = df.groupBy(part.alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
+def dealt(df: DataFrame, parts: int, by: Column) -> DataFrame:
+    """``df`` in exactly ``parts`` partitions: a row goes to that of ``by`` (whole numbers) modulo
+    ``parts``, so dense ids are dealt evenly."""
+    return df.repartitionById(parts, F.pmod(by, F.lit(parts)).cast("int"))
+
+
+def partition_stats(df: DataFrame) -> DataFrame:
+    """Number of the frame's partitions that hold rows, total rows, and the largest partition."""
+    per_part = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
     return per_part.agg(
         F.count(F.lit(1)).alias("partitions"),
         F.sum("rows").alias("rows"),

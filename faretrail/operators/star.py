@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
 from faretrail.functions.dates import date_labels
-from faretrail.functions.keys import RankedStage, attach_dense_id, monotonic_key, stage_positions, stage_ranked
+from faretrail.functions.keys import (RankedStage, attach_dense_id, monotonic_key, stage_file_positions, stage_positions,
+                                      stage_ranked)
 from faretrail.session import scratch_path
 from faretrail.schemas import (DROPOFF_DIM_COLUMNS, DROPOFF_ID, FACT_COLUMNS,
                                PICKUP_DIM_COLUMNS, PICKUP_ID, TRIP_ID)
@@ -33,7 +34,9 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
 
     ``key='dense'``: deterministic 1-based rank over ``order_cols``.  Without a
     natural key (``order_cols=None``) the order is that of the scan: dense ids
-    1..n without any shuffle.  ``key='monotonic'``: the sparse split-dependent id.
+    1..n without any shuffle.  ``key='files'``: dense ids by file and place in it, without a
+    shuffle and independent of the splits, for rows that are read straight from files.
+    ``key='monotonic'``: the sparse split-dependent id.
 
     ``stages`` collects what was staged; its owner releases it after the load.
     """
@@ -45,9 +48,12 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
         keyed = raw.sparkSession.read.parquet(path)
         if stages is not None:
             stages.append(RankedStage(keyed, keyed, (path,)))
-    elif key == "dense":
-        stage = (stage_positions(typed, "trips") if order_cols is None
-                 else stage_ranked(typed, order_cols, "trips"))
+    elif key in ("dense", "files"):
+        if key == "files":
+            stage = stage_file_positions(typed, "trips")
+        else:
+            stage = (stage_positions(typed, "trips") if order_cols is None
+                     else stage_ranked(typed, order_cols, "trips"))
         if stages is not None:
             stages.append(stage)
         keyed = attach_dense_id(stage, start=start)

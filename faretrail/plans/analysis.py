@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretrail.operators.aggregates import grouped_count
-from faretrail.operators.joins import join, join_on, salted_join
-from faretrail.schemas import ANALYSIS_COLUMNS, ANALYSIS_FIELD_PATHS, resolve_column
+from faretrail.operators.joins import broadcast_bounded, join, join_on, salted_join
+from faretrail.schemas import (ANALYSIS_COLUMNS, ANALYSIS_FIELD_PATHS, DROPOFF_ID, PICKUP_ID, TRIP_ID,
+                               resolve_column)
 
 
 def vendor_trip_counts(fact: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -27,27 +28,43 @@ def vendor_trip_counts(fact: DataFrame, vendors: DataFrame) -> DataFrame:
                         vendors["VendorName"].alias("vendorname"))
 
 
-def trip_vendor(fact: DataFrame, vendors: DataFrame, strategy: str = "auto") -> DataFrame:
+def trip_vendor(fact: DataFrame, vendors: DataFrame, strategy: str = "auto",
+                fact_rows: int | None = None) -> DataFrame:
     """Each trip with its vendor name; ``strategy`` picks the physical join.
 
     ``auto`` lets the exact statistics of the literal dimension broadcast it.
     ``merge`` and ``shuffle_hash`` shuffle both sides with a salt, as two or
-    three vendors would otherwise be two or three tasks.  Rows are the same
-    under every strategy.
+    three vendors would otherwise be two or three tasks.  ``broadcast_fact``
+    sends the trips to the vendors, where ``fact_rows`` of the two columns
+    stay below :data:`faretrail.operators.joins.BROADCAST_BYTES`, and is a
+    salted shuffle join beyond.  Rows are the same under every strategy.
     """
+    if strategy == "broadcast_fact":
+        small = broadcast_bounded(fact.select("trip_id", "VendorID"), fact_rows)
+        if small is not None:
+            return join(small, vendors, "VendorID").select("trip_id", "VendorID", "VendorName")
+        strategy = "shuffle_hash"
     joined = (join(fact, vendors, "VendorID") if strategy == "auto"
               else salted_join(fact, vendors, "VendorID", strategy))
     return joined.select("trip_id", "VendorID", "VendorName")
 
 
 def trip_locations(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
-                   strategy: str = "auto") -> DataFrame:
+                   strategy: str = "auto", copied_ids: bool = False) -> DataFrame:
     """Fact joined to both location dimensions -> the 11-column analysis table.
 
     Both dimensions are as large as the fact, so by default neither is
     broadcast: AQE plans shuffle joins on the bigint ids (and switches to a
     broadcast at run time only if a side turns out small).
+
+    ``copied_ids``: the fact's location ids are its trip id (as ``key_trips``
+    makes them), so both joins are on the trip id and one distribution by it
+    serves all three tables, none if they are bucketed so.
     """
+    if copied_ids:
+        j1 = join(fact, pickup.withColumnRenamed(PICKUP_ID, "_pickup"), F.col(TRIP_ID) == F.col("_pickup"), "inner", strategy)
+        j2 = join(j1, dropoff.withColumnRenamed(DROPOFF_ID, "_dropoff"), F.col(TRIP_ID) == F.col("_dropoff"), "inner", strategy)
+        return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_COLUMNS])
     j1 = join(fact, pickup, "pickup_location_id", "inner", strategy)
     j2 = join(j1, dropoff, "dropff_location_id", "inner", strategy)
     return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_COLUMNS])

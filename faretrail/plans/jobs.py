@@ -10,6 +10,7 @@ with ``--py-files faretrail.zip``):
     spark-submit ... faretrail/plans/jobs.py load-catalog trips_hive --suffix _partitioned \\
         --catalog-predicate "year = '2023' and month = '5'" --push-down-predicate "date >= 28"
     spark-submit ... faretrail/plans/jobs.py csv-to-parquet s3://bucket/trips/ s3://bucket/trips-parquet/
+    spark-submit ... faretrail/plans/jobs.py compact s3://bucket/trips-parquet/ --target-bytes 63333990
     spark-submit ... faretrail/plans/jobs.py analyse --suffix _partitioned
     spark-submit ... faretrail/plans/jobs.py analyse-locations --suffix _partitioned --table analysis_table
 """
@@ -21,6 +22,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from faretrail.plans import warehouse
+from faretrail.sinks.compaction import TARGET_BYTES, compact
 from faretrail.sinks.files import csv_to_parquet
 from faretrail.sinks.tables import truncate_load
 from faretrail.sources.files import read_partitioned, read_trips_csv, read_trips_parquet
@@ -29,11 +31,7 @@ from faretrail.sources.files import read_partitioned, read_trips_csv, read_trips
 def _load(spark: SparkSession, raw: DataFrame, suffix: str, location_root: str | None,
           order_cols: list[str] | None, buckets: int | None = None,
           key: str = "dense") -> dict[str, str]:
-    built = warehouse.build_star(spark, raw, order_cols=order_cols, key=key)
-    try:
-        return warehouse.load_star(built, suffix, location_root, buckets)
-    finally:
-        built.release()
+    return warehouse.build_and_load(spark, raw, suffix, location_root, order_cols, buckets, key)
 
 
 def load_csv(spark: SparkSession, path: str, suffix: str = "", location_root: str | None = None,
@@ -68,20 +66,18 @@ def convert_csv_to_parquet(spark: SparkSession, src: str, dst: str, mode: str =
     csv_to_parquet(spark, src, dst, mode)
 
 
-def analyse(spark: SparkSession, suffix: str = "") -> DataFrame:
-    """Trips per vendor over the tables loaded under ``suffix``."""
-    names = {n: f"{n}{suffix}" for n in warehouse.TABLE_NAMES}
-    return warehouse.analyse_loaded(spark, names)
+def analyse(spark: SparkSession, suffix: str = "", location_root: str | None = None) -> DataFrame:
+    """Trips per vendor over the tables of the last load under ``suffix``, all of one load."""
+    return warehouse.analyse_loaded(spark, warehouse.open_star(spark, suffix, location_root))
 
 
 def analyse_locations(spark: SparkSession, suffix: str = "", table: str | None = None,
-                      location: str | None = None) -> DataFrame:
-    """Fact joined to both location dimensions of ``suffix``; truncate-loaded
-    into ``table`` when given (staged first only if it reads its target)."""
-    names = {n: f"{n}{suffix}" for n in warehouse.TABLE_NAMES}
-    result = warehouse.analyse_locations_loaded(spark, names)
+                      location: str | None = None, location_root: str | None = None) -> DataFrame:
+    """Fact joined to both location dimensions of the last load under ``suffix``;
+    truncate-loaded into ``table`` when given."""
+    result = warehouse.analyse_locations_loaded(spark, warehouse.open_star(spark, suffix, location_root))
     if table:
-        truncate_load(result, table, location, stage_first=table.lower() in {n.lower() for n in names.values()})
+        truncate_load(result, table, location)
         return spark.table(table)
     return result
 
@@ -96,7 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         j.add_argument("--location-root", default=None)
         j.add_argument("--buckets", type=int, default=None,
                        help="bucket the trip-keyed tables on their ids")
-        j.add_argument("--key", choices=("dense", "monotonic"), default="dense")
+        j.add_argument("--key", choices=("dense", "files", "monotonic"), default="dense",
+                       help="files: ids by file and place in it, the same however the files are split")
         j.add_argument("--order-cols", nargs="+", default=None,
                        help="natural key; without it, ids follow the scan and nothing is sorted")
         if name == "load-parquet":
@@ -110,10 +107,15 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("dst")
     a = sub.add_parser("analyse")
     a.add_argument("--suffix", default="")
+    a.add_argument("--location-root", default=None)
     al = sub.add_parser("analyse-locations")
     al.add_argument("--suffix", default="")
     al.add_argument("--table", default="analysis_table")
     al.add_argument("--location", default=None)
+    al.add_argument("--location-root", default=None)
+    pk = sub.add_parser("compact")
+    pk.add_argument("folder")
+    pk.add_argument("--target-bytes", type=int, default=TARGET_BYTES)
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"faretrail-{args.job}").getOrCreate()
@@ -130,9 +132,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "csv-to-parquet":
         convert_csv_to_parquet(spark, args.src, args.dst)
     elif args.job == "analyse-locations":
-        analyse_locations(spark, args.suffix, args.table, args.location)
+        analyse_locations(spark, args.suffix, args.table, args.location, args.location_root)
+    elif args.job == "compact":
+        replaced, made = compact(spark, args.folder, args.target_bytes)
+        print(f"{replaced} files packed into {made}")
     else:
-        analyse(spark, args.suffix).show(truncate=False)
+        analyse(spark, args.suffix, args.location_root).show(truncate=False)
 
 
 if __name__ == "__main__":

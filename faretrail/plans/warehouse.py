@@ -2,8 +2,9 @@
 
 One staging of the keyed trips feeds the fact and both location dimensions
 (and the date dimension); the three literal dimensions are ``VALUES``
-tables.  Each table is truncate-loaded under one name suffix, and the
-analysis reads exactly the tables this build wrote.
+tables.  All seven are replaced together under one name suffix (see
+:mod:`faretrail.sinks.versions`), and the analysis reads exactly the tables
+that one build wrote.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from faretrail.functions.keys import RankedStage
 from faretrail.operators import star
+from faretrail.operators.observed import LandingCounts
 from faretrail.plans.analysis import trip_locations, vendor_trip_counts
-from faretrail.sinks.tables import stage, truncate_load
+from faretrail.sinks.versions import TableSet, Version, set_of_view
 from faretrail.sources import literals
 
 # Warehouse table names in load order (fixed contract), before the suffix.
@@ -31,10 +33,10 @@ TABLE_NAMES = [
 ]
 
 
-# Bucket column per trip-keyed table: the fact and the pickup dimension share
-# one key, so their join reads buckets in place.
+# Bucket column per trip-keyed table: both location ids are copies of the trip id, so the
+# three tables are bucketed alike and join in place.
 BUCKET_KEYS = {
-    "FactTable": "pickup_location_id",
+    "FactTable": "trip_id",
     "PickupLocationsDim": "pickup_location_id",
     "DropOffLocationsDim": "dropff_location_id",
 }
@@ -45,6 +47,7 @@ class StarTables:
     trips: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
     stages: list[RankedStage] = field(default_factory=list)
+    landing: LandingCounts | None = None
 
     def release(self) -> None:
         """Remove the staged trips; the tables above can't be read after."""
@@ -56,7 +59,8 @@ def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None
                key: str = "dense", date_dim_form: str = "single") -> StarTables:
     """Type and key ``raw`` once, then derive the seven tables lazily."""
     stages: list[RankedStage] = []
-    trips = star.key_trips(raw, order_cols=order_cols, key=key, stages=stages)
+    landing = LandingCounts()
+    trips = star.key_trips(landing.over(raw), order_cols=order_cols, key=key, stages=stages)
     dates = {"single": star.date_dim, "prededup": star.date_dim_prededup,
              "dedup_rows": star.date_dim_dedup_rows}[date_dim_form](trips)
     tables = {
@@ -68,30 +72,73 @@ def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None
         "RateCodesDim": literals.rate_code_dim(spark),
         "VendorsDim": literals.vendor_dim(spark),
     }
-    return StarTables(trips, tables, stages)
+    return StarTables(trips, tables, stages, landing)
+
+
+def star_set(spark: SparkSession, suffix: str = "", location_root: str | None = None) -> TableSet:
+    """The seven tables of a suffix; by default under the session's warehouse folder."""
+    root = location_root or spark.conf.get("spark.sql.warehouse.dir")
+    return TableSet(spark, f"{root.rstrip('/')}/star{suffix}", suffix)
+
+
+def open_star(spark: SparkSession, suffix: str = "", location_root: str | None = None) -> dict[str, str]:
+    """Name -> catalog table of the last load of a suffix, all of one version.  Without
+    ``location_root`` the folder is that of the published views."""
+    root = None if location_root else set_of_view(spark, f"{TABLE_NAMES[0]}{suffix}")
+    return (TableSet(spark, root, suffix) if root else star_set(spark, suffix, location_root)).names()
 
 
 def load_star(built: StarTables, suffix: str = "", location_root: str | None = None,
               buckets: int | None = None) -> dict[str, str]:
-    """Truncate-load every table as ``<name><suffix>``; returns name -> table.
+    """Replace all seven tables in one step; returns name -> catalog table of this load.
+
+    The views ``<name><suffix>`` follow for SQL users.  A load that is stopped anywhere leaves
+    the tables of the load before, which :func:`open_star` gives together.
 
     ``buckets``: also bucket the trip-keyed tables on their ids (one hash
     shuffle each at load time), so the location analysis over the loaded
-    tables joins fact and pickup dimension without shuffling either side.
+    tables joins all three without shuffling any.
     Worth it when the analysis runs more often than the load.
     """
-    loaded = {}
-    # the date dimension is the only one that is computed rather than copied: written before
-    # any table is replaced, so that its failure leaves all seven as they were
-    dates = stage(built.tables["DateDim"], "date-dim")
-    for name in TABLE_NAMES:
-        table = f"{name}{suffix}"
-        location = f"{location_root}/{table}" if location_root else None
-        key = BUCKET_KEYS.get(name) if buckets else None
-        rows = dates if name == "DateDim" else built.tables[name]
-        loaded[name] = truncate_load(rows, table, location,
-                                     bucket_by=key, buckets=buckets if key else None)
-    return loaded
+    tables, version = _switched(built, suffix, location_root, buckets)
+    return tables.names(version)
+
+
+def _switched(built: StarTables, suffix: str, location_root: str | None,
+              buckets: int | None = None) -> tuple[TableSet, Version]:
+    tables = star_set(built.trips.sparkSession, suffix, location_root)
+    keys = {name: (key, buckets) for name, key in BUCKET_KEYS.items()} if buckets else None
+    version = tables.load({name: built.tables[name] for name in TABLE_NAMES}, keys)
+    tables.publish({name: f"{name}{suffix}" for name in TABLE_NAMES})
+    return tables, version
+
+
+def build_and_load(spark: SparkSession, raw: DataFrame, suffix: str = "", location_root: str | None = None,
+                   order_cols: list[str] | None = None, buckets: int | None = None,
+                   key: str = "dense") -> dict[str, str]:
+    """The load step as a whole: build, replace, and remove what was staged, also on failure."""
+    built = build_star(spark, raw, order_cols=order_cols, key=key)
+    try:
+        return load_star(built, suffix, location_root, buckets)
+    finally:
+        built.release()
+
+
+def load_with_counts(spark: SparkSession, raw: DataFrame, suffix: str = "", location_root: str | None = None,
+                     order_cols: list[str] | None = None, key: str = "dense") -> tuple[dict[str, str], dict[str, int]]:
+    """The load step, and the rows at each of its steps: ``landing``, ``typed``, every table by
+    name, and ``nulled <column>``, values that the types turned to NULL.  All are counted by the
+    tasks that load; nothing is scanned for them."""
+    built = build_star(spark, raw, order_cols=order_cols, key=key)
+    try:
+        tables, version = _switched(built, suffix, location_root)
+        seen = built.landing.get()
+        counts = {"landing": seen.pop("landing"), "typed": version.tables["FactTable"].rows}
+        counts |= {name: entry.rows for name, entry in version.tables.items()}
+        counts |= {f"nulled {c}": n for c, n in seen.items()}
+        return tables.names(version), counts
+    finally:
+        built.release()
 
 
 def table_counts(spark: SparkSession, loaded: dict[str, str]) -> DataFrame:
@@ -113,16 +160,14 @@ def analyse_loaded(spark: SparkSession, loaded: dict[str, str]) -> DataFrame:
 def analyse_locations_loaded(spark: SparkSession, loaded: dict[str, str],
                              strategy: str = "auto") -> DataFrame:
     """The location analysis (fact joined to both location dimensions) read
-    from the loaded warehouse tables."""
+    from the loaded warehouse tables.  :func:`build_star` copies the trip id into both location
+    ids, so all three join on it, in place where they are bucketed."""
     return trip_locations(spark.table(loaded["FactTable"]), spark.table(loaded["PickupLocationsDim"]),
-                          spark.table(loaded["DropOffLocationsDim"]), strategy)
+                          spark.table(loaded["DropOffLocationsDim"]), strategy, copied_ids=True)
 
 
 def build_load_analyse(spark: SparkSession, raw: DataFrame, suffix: str,
                        location_root: str | None = None,
                        order_cols: list[str] | None = None) -> DataFrame:
     """Load step then analysis step, handing the suffix from one to the other."""
-    built = build_star(spark, raw, order_cols=order_cols)
-    loaded = load_star(built, suffix, location_root)
-    built.release()
-    return analyse_loaded(spark, loaded)
+    return analyse_loaded(spark, build_and_load(spark, raw, suffix, location_root, order_cols))

@@ -23,6 +23,7 @@ from faretrail.plans import analysis, warehouse
 from faretrail.schemas import TRIP_COLUMNS
 from faretrail.session import scratch_path, unique_name
 from faretrail.sinks import files as sink_files
+from faretrail.sinks.compaction import compact
 from faretrail.sinks.tables import truncate_load
 from faretrail.sources import files as src_files
 from faretrail.sources import lens, literals
@@ -236,11 +237,18 @@ def _trip_vendor(strategy: str) -> Query:
 
 
 register("trip_vendor_broadcast_dim", _TRIP_VENDOR_SQL)(_trip_vendor("auto"))
-# The fact has no bounded size, so it is never broadcast: a salted shuffle join gives its rows.
-register("trip_vendor_broadcast_fact", _TRIP_VENDOR_SQL)(_trip_vendor("shuffle_hash"))
 register("trip_vendor_sortmerge", _TRIP_VENDOR_SQL)(_trip_vendor("merge"))
 
 
+@register("trip_vendor_broadcast_fact", _TRIP_VENDOR_SQL)
+def trip_vendor_broadcast_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hint on the large side: the trips go to the vendors while their counted rows are proven
+    to stay below the bound; beyond it they are joined by a salted shuffle."""
+    stages: list = []
+    trips = star.key_trips(lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY, stages=stages)
+    return analysis.trip_vendor(star.fact_trips(trips), literals.vendor_dim(spark), "broadcast_fact", stages[0].row_count())
+
+
 @register("trip_locations", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
 def trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _warehouse_trips(spark, sf_dir)
@@ -274,9 +282,9 @@ WITH {LENS_CTE} SELECT CAST(16 AS BIGINT) AS partitions, count(*) AS rows,
   CAST(ceil(count(*) / 16.0) AS BIGINT) AS largest_partition_rows FROM lens
 """)
 def partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of the fact dealt into 16 parts by its dense trip id."""
+    """Statistics of the fact's partitions, dealt into 16 by its dense trip id."""
     fact = star.fact_trips(_keyed_trips(spark, sf_dir))
-    return preview_ops.partition_stats(fact, F.pmod("trip_id", F.lit(16)))
+    return preview_ops.partition_stats(preview_ops.dealt(fact, 16, F.col("trip_id")))
 
 
 # ---------------------------------------------------------------- sources
@@ -399,6 +407,125 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loader.table("fact")
 
 
+# Three landings one after another: which of them a trip comes with.
+_LANDING_SQL = "CASE WHEN year(tpep_pickup_datetime) > 1996 THEN 2 WHEN year(tpep_pickup_datetime) > 1993 THEN 1 ELSE 0 END"
+_LANDED_CTE = (LENS_CTE + ", keyed AS (SELECT CAST(row_number() OVER (ORDER BY " + _LANDING_SQL + ", " + NK_ORDER
+               + ") AS BIGINT) AS trip_id, * FROM lens)")
+
+
+def _landings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    trips = lens.trip_lens(spark, sf_dir)
+    return [lens.as_landing_text(trips.where(F.expr(_LANDING_SQL) == k)) for k in range(3)]
+
+
+def _loaded_in_three(spark: SparkSession, sf_dir: str) -> IncrementalStarLoader:
+    landing = scratch_path(spark, "landing-stream")
+    loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
+                                   order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
+    for part in _landings(spark, sf_dir):
+        sink_files.land_csv(part, landing)
+        loader.run_available()
+    return loader
+
+
+@register("incremental_vendor_counts", _ORACLES["vendor_trip_counts"])
+def incremental_vendor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per vendor after three landings, summed from what each has added."""
+    return _loaded_in_three(spark, sf_dir).vendor_trip_counts(literals.vendor_dim(spark))
+
+
+@register("incremental_analysis", f"WITH {_LANDED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
+def incremental_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis table after three landings, each of which only added its rows."""
+    return _loaded_in_three(spark, sf_dir).table("analysis")
+
+
+@register("incremental_headers", f"WITH {KEYED_CTE} SELECT {FACT_SQL} FROM keyed")
+def incremental_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landing of files with three headers: the contract's, another order, and other letter
+    cases with one more column."""
+    landing = scratch_path(spark, "landing-headers")
+    first, second, third = _landings(spark, sf_dir)
+    sink_files.land_csv(first, landing)
+    second.select(*reversed(second.columns)).write.mode("append").option("header", True).csv(landing)
+    other = third.select(F.lit("x, y").alias("note"), *[F.col(c).alias(c.upper()) for c in sorted(third.columns)])
+    other.write.mode("append").option("header", True).csv(landing)
+    loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
+                                   order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES, by_header=True)
+    loader.run_available()
+    loader.run_available()  # nothing new
+    return loader.table("fact")
+
+
+@register("incremental_parquet", f"WITH {_LANDED_CTE} SELECT {FACT_SQL} FROM keyed")
+def incremental_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned catalog table loaded as it grows: first the folders of a predicate, then
+    those that it left, then new ones; a run without any in between reads nothing."""
+    landing = scratch_path(spark, "landing-bookmarked")
+    parts = [sink_files.with_day_partitions(p, names=("year", "month", "date")).drop("date") for p in _landings(spark, sf_dir)]
+    sink_files.write_partitioned(parts[0].unionByName(parts[1]), landing, ("year", "month"))
+    table = src_files.register_partitioned_table(spark, unique_name("trips_growing"), landing)
+    loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
+                                   order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
+    # a row without a date is of the first landing
+    loader.run_bookmarked(table, is_table=True, catalog_predicate="year <= 1993 OR year IS NULL")
+    loader.run_bookmarked(table, is_table=True)
+    loader.run_bookmarked(table, is_table=True)  # nothing new
+    sink_files.write_partitioned(parts[2], landing, ("year", "month"), mode="append")
+    src_files.register_partitioned_table(spark, table, landing)
+    loader.run_bookmarked(table, is_table=True)
+    return loader.table("fact")
+
+
+@register("sink_partitioned_again", f"""
+WITH {LENS_CTE}, days AS (SELECT *, {DAY_PARTS_SQL} FROM lens),
+marked AS (SELECT *, bool_or(l_linenumber % 2 = 1) OVER (PARTITION BY year, month, date) AS again FROM days)
+SELECT * EXCLUDE (again) FROM marked WHERE NOT (again AND year = 1996 AND month = 5) OR l_linenumber % 2 = 1
+""")
+def sink_partitioned_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days landed, then the days of one month again with half of their trips: these folders are
+    replaced, all others stay."""
+    out = scratch_path(spark, "trips-by-day")
+    days = sink_files.with_day_partitions(lens.trip_lens(spark, sf_dir))
+    sink_files.write_partitioned(days, out)
+    sink_files.write_partitioned(days.where("year = 1996 AND month = 5 AND l_linenumber % 2 = 1"), out, mode="replace_partitions")
+    return spark.read.parquet(out)
+
+
+@register("scan_compacted", _LENS_ALL)
+def scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder of 120 small files, packed into a few, read back."""
+    landing = scratch_path(spark, "landing-small")
+    lens.raw_trip_lens(spark, sf_dir).repartition(120).write.parquet(landing)
+    compact(spark, landing)
+    return _typed_from_landing(src_files.read_trips_parquet(spark, landing))
+
+
+@register("surrogate_key_files", f"""
+WITH {LENS_CTE}, keyed AS (SELECT CAST(row_number() OVER (ORDER BY {NK_ORDER}) AS BIGINT) AS trip_id, * FROM lens)
+SELECT reading, trip_id, {', '.join(lens.NATURAL_KEY)} FROM keyed, (VALUES ('small splits'), ('large splits')) r(reading)
+""")
+def surrogate_key_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by file and place in it, of one landing read in splits of 32 kB and of 128 MB.
+
+    The landing's files follow each other in the order of the natural key, so the ids must be
+    its ranks, both times."""
+    landing = scratch_path(spark, "landing-ordered")
+    raw = lens.raw_trip_lens(spark, sf_dir)
+    raw.repartitionByRange(5, *[F.col(c).asc_nulls_last() for c in lens.NATURAL_KEY]).sortWithinPartitions(
+        *[F.col(c).asc_nulls_last() for c in lens.NATURAL_KEY]).write.option("header", True).csv(landing)
+    found = []
+    for reading, size in (("small splits", "32k"), ("large splits", "128m")):
+        own = spark.newSession()  # the caller's settings stay
+        own.conf.set("spark.sql.files.maxPartitionBytes", size)
+        own.conf.set("spark.sql.files.openCostInBytes", "4k")
+        trips = star.key_trips(src_files.read_trips_csv(own, landing, extra_types=lens.NATURAL_KEY_TYPES), key="files")
+        path = scratch_path(spark, "ids")
+        trips.select(F.lit(reading).alias("reading"), "trip_id", *lens.NATURAL_KEY).write.parquet(path)
+        found.append(path)
+    return spark.read.parquet(*found)
+
+
 # ---------------------------------------------------------------- loads
 
 @register("sink_truncate_load", f"WITH {KEYED_CTE} SELECT {FACT_SQL} FROM keyed")
@@ -432,12 +559,55 @@ UNION ALL SELECT 'RateCodesDim', CAST(6 AS BIGINT)
 UNION ALL SELECT 'VendorsDim', CAST(2 AS BIGINT)
 """)
 def star_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = warehouse.build_star(spark, lens.raw_trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
-    suffix = "_" + unique_name("run")
-    loaded = warehouse.load_star(built, suffix, scratch_path(spark, "warehouse"))
+    loaded = warehouse.build_and_load(spark, lens.raw_trip_lens(spark, sf_dir), "_" + unique_name("run"),
+                                      scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY)
     return warehouse.table_counts(spark, loaded)
 
 
+@register("star_switch", f"WITH {KEYED_CTE} SELECT {FACT_SQL}, pickup_longitude FROM keyed WHERE VendorID = 1")
+def star_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of one set, the second of some trips only: fact and pickup dimension of the last
+    version, joined; the version before stays whole beside it."""
+    raw, root, suffix = lens.raw_trip_lens(spark, sf_dir), scratch_path(spark, "warehouse"), "_" + unique_name("run")
+    first = warehouse.build_and_load(spark, raw, suffix, root, order_cols=lens.NATURAL_KEY)
+    whole = lens.NATURAL_KEY  # the second load keeps the first one's order of ids
+    kept = spark.table(first["FactTable"]).where("VendorID = 1").select("trip_id")
+    trips = dense_key(raw, whole).join(kept, "trip_id", "left_semi")
+    tables = warehouse.star_set(spark, suffix, root)
+    typed = star.with_location_ids(type_trips(trips))
+    old = tables.names()
+    version = tables.load({n: {"FactTable": star.fact_trips(typed), "PickupLocationsDim": star.pickup_location_dim(typed)}.get(n, spark.table(t))
+                           for n, t in old.items()})
+    now = tables.names(version)
+    return spark.table(now["FactTable"]).join(spark.table(now["PickupLocationsDim"]).drop("pickup_latitude"), "pickup_location_id").select(
+        *star.FACT_COLUMNS, "pickup_longitude")
+
+
+_DAMAGED = {"passenger_count": "l_linenumber % 3 = 0", "total_amount": "l_orderkey % 7 = 0"}
+
+
+@register("load_step_counts", f"""
+WITH {DATEKEYS_CTE}
+SELECT 'landing' AS step, count(*) AS rows FROM lens
+UNION ALL SELECT 'typed', count(*) FROM lens
+UNION ALL SELECT 'FactTable', count(*) FROM lens
+UNION ALL SELECT 'PaymentTypesDim', CAST(6 AS BIGINT)
+UNION ALL SELECT 'PickupLocationsDim', count(*) FROM lens
+UNION ALL SELECT 'DropOffLocationsDim', count(*) FROM lens
+UNION ALL SELECT 'DateDim', count(*) FROM datekeys
+UNION ALL SELECT 'RateCodesDim', CAST(6 AS BIGINT)
+UNION ALL SELECT 'VendorsDim', CAST(2 AS BIGINT)
+""" + "".join(f"UNION ALL SELECT 'nulled {c}', count(*) FROM lens WHERE {_DAMAGED.get(c, 'FALSE')}\n" for c in TRIP_COLUMNS))
+def load_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at each step of a load and values lost to their types, counted by the load itself."""
+    raw = lens.raw_trip_lens(spark, sf_dir)
+    for column, where in _DAMAGED.items():
+        raw = raw.withColumn(column, F.when(F.expr(where), F.lit("n/a")).otherwise(F.col(column)))
+    _, counts = warehouse.load_with_counts(spark, raw, "_" + unique_name("run"), scratch_path(spark, "warehouse"),
+                                           order_cols=lens.NATURAL_KEY)
+    return spark.createDataFrame(list(counts.items()), "step string, rows long")
+
+
 @register("loaded_vendor_trip_counts", _ORACLES["vendor_trip_counts"])
 def loaded_vendor_trip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build + truncate-load the star, then count trips per vendor from the loaded tables."""
@@ -462,8 +632,8 @@ FROM keyed k LEFT JOIN ({PAYMENT_SQL}) p ON k.payment_type = p.payment_type
 """)
 def loaded_payment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each loaded trip with the name of its payment type, from the loaded tables."""
-    built = warehouse.build_star(spark, lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
-    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"))
+    loaded = warehouse.build_and_load(spark, lens.trip_lens(spark, sf_dir), "_" + unique_name("run"),
+                                      scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY)
     fact, names = spark.table(loaded["FactTable"]), spark.table(loaded["PaymentTypesDim"])
     return fact.join(names, "payment_type", "left").select("trip_id", "payment_type", "payment_type_name")
 
@@ -472,10 +642,9 @@ def loaded_payment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loaded_trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build + truncate-load the star (trip-keyed tables bucketed on their ids),
     then read the fact and both location dimensions back and join them."""
-    built = warehouse.build_star(spark, lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    loaded = warehouse.load_star(built, "_" + unique_name("run"), scratch_path(spark, "warehouse"),
-                                 buckets=buckets)
+    loaded = warehouse.build_and_load(spark, lens.trip_lens(spark, sf_dir), "_" + unique_name("run"),
+                                      scratch_path(spark, "warehouse"), order_cols=lens.NATURAL_KEY, buckets=buckets)
     return warehouse.analyse_locations_loaded(spark, loaded)
 
 

@@ -31,6 +31,9 @@ def write_partitioned(df: DataFrame, path: str,
                       mode: str = "errorifexists", fmt: str = "parquet") -> None:
     """Write a ``col=value/...`` layout.
 
+    ``mode='replace_partitions'`` replaces the folders that ``df`` has rows for and leaves all
+    others as they are, so a day that is landed again replaces itself alone.
+
     ``rebalance`` on the partition columns gathers each folder's rows into few
     tasks (few files per folder instead of one per task and folder), and AQE
     splits a folder that holds a large share of the rows into several
@@ -43,8 +46,10 @@ def write_partitioned(df: DataFrame, path: str,
     else:  # the hint needs AQE; a few salts per folder split a hot one all the same
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(FOLDER_SALTS))
         dealt = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *cols, salt)
-    (dealt.write.mode(mode).partitionBy(*cols)
-     .format(fmt).option("header", True).save(path))
+    writer = dealt.write.partitionBy(*cols).format(fmt).option("header", True)
+    if mode == "replace_partitions":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).save(path)
 
 
 def landing_order(df: DataFrame) -> DataFrame:

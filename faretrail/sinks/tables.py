@@ -13,7 +13,8 @@ URLs whose dialect it does not know -- check the URL scheme of the target.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from faretrail.session import scratch_path
 
@@ -52,9 +53,11 @@ def bucket_spec(spark, table: str) -> tuple[str, int] | None:
 
 def truncate_load(df: DataFrame, table: str, location: str | None = None,
                   stage_first: bool = False, bucket_by: str | None = None,
-                  buckets: int | None = None) -> str:
+                  buckets: int | None = None, observe: Observation | None = None) -> str:
     """Replace every row of ``table`` with ``df`` (columns matched by name).
 
+    ``observe`` gets the number of ``rows``, counted by the writing tasks themselves.
+
     With ``bucket_by``, the table is bucketed on that column: the rows are
     hash-partitioned into exactly ``buckets`` tasks first (the same hash the
     bucketing uses), so each bucket is written as one file, and later joins on
@@ -76,6 +79,8 @@ def truncate_load(df: DataFrame, table: str, location: str | None = None,
     out = src.select(*[by_name[c.lower()] for c in target_cols])
     if spec:  # also where the caller names no buckets: one file each, not one per task and bucket
         out = out.repartition(spec[1], by_name[spec[0].lower()])
+    if observe is not None:
+        out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
     out.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     return table

@@ -3,10 +3,16 @@ partitioned layouts with partition pruning."""
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from faretrail.schemas import spark_type
+from faretrail import storage
+from faretrail.schemas import resolve_column, spark_type
 
 
 def read_trips_csv(spark: SparkSession, path: str | list[str],
@@ -29,6 +35,35 @@ def read_trips_csv(spark: SparkSession, path: str | list[str],
     return df
 
 
+def read_csv_by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame | None:
+    """Rows of header CSV files whose headers may differ, in the columns of ``schema``.
+
+    The files are grouped by their header line, which alone is read here, and each group is
+    scanned by its own names (upper and lower case alike).  A column that a file lacks is NULL, one
+    that the schema lacks is left out, values that their type refuses are NULL.  Empty files have
+    no rows; a header that names a column twice is an error.  None without any file with a header.
+    """
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda p: storage.first_line(spark, p), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, line in zip(paths, lines, strict=True):
+        if line.strip():
+            groups.setdefault(tuple(c.strip() for c in next(csv.reader([line]))), []).append(path)
+    frames = []
+    for header, own in sorted(groups.items()):
+        if len({c.lower() for c in header}) < len(header):
+            raise ValueError(f"a column stands twice in the header of {own[0]}: {header}")
+        rows = (spark.read.option("header", True).schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+                .csv([storage.literal(p) for p in own]))
+        picked = []
+        for f in schema.fields:
+            name = resolve_column(list(header), f.name)
+            value = F.col(f"`{name}`") if name in header else F.lit(None)
+            picked.append((value if f.dataType == T.StringType() and name in header else value.try_cast(f.dataType)).alias(f.name))
+        frames.append(rows.select(*picked))
+    return reduce(DataFrame.unionByName, frames) if frames else None
+
+
 def read_trips_parquet(spark: SparkSession, path: str | list[str],
                        recursive: bool = False) -> DataFrame:
     """Parquet directory or glob.  ``recursive`` walks nested folders without
