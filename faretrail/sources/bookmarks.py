@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from faretrail import storage
 
-FILE = ["path", "length", "modificationTime"]
+#: What tells a file: name, bytes, time of writing in microseconds.
+FILE = ["path", "length", "modified"]
+MANIFEST = "path string, length long, modified long"
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -45,11 +47,11 @@ class BookmarkedScan:
         self.folder = table_location(spark, source) if is_table else source.rstrip("/")
 
     def listed(self) -> DataFrame:
-        """(path, length, modificationTime) of all files that the predicates leave."""
+        """(path, length, modified) of all files that the predicates leave."""
         files = storage.listing(self.spark, self.folder, self.suffix)
         for p in self.predicates:  # on partition columns: whole folders drop out of the listing
             files = files.where(F.expr(p))
-        files = files.select(*FILE)
+        files = files.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
         if self.is_table:
             known = self.spark.sql(f"SHOW PARTITIONS {self.source}").select(F.col("partition").alias("_folder"))
             own = F.regexp_extract("path", r"((?:[^/=]+=[^/]*/)+)[^/]*$", 1)
@@ -65,14 +67,14 @@ class BookmarkedScan:
         runs = self._runs()
         if not runs:
             return None
-        return self.spark.read.schema("path string, length long, modificationTime timestamp").parquet(*[f"{self.state}/run={r}" for r in runs])
+        return self.spark.read.schema(MANIFEST).parquet(*[f"{self.state}/run={r}" for r in runs])
 
     def pending(self, max_files: int | None = None) -> DataFrame:
         """Files that no finished run has loaded; with ``max_files`` the oldest of them."""
         files, done = self.listed(), self.consumed()
         if done is not None:
             files = files.join(done, FILE, "left_anti")
-        return files if max_files is None else files.orderBy("modificationTime", "path").limit(max_files)
+        return files if max_files is None else files.orderBy("modified", "path").limit(max_files)
 
     def read(self, paths: list[str]) -> DataFrame:
         """Rows of some files, with the partition columns of their folders."""
@@ -92,6 +94,6 @@ class BookmarkedScan:
         if not found:
             return 0
         load(self.read([p for p, _, _ in found]), number)
-        rows = self.spark.createDataFrame(found, "path string, length long, modificationTime timestamp")
+        rows = self.spark.createDataFrame(found, MANIFEST)
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/run={number}")
         return len(found)
