@@ -187,6 +187,36 @@ def test_top_k_few_rows(spark):
     assert pivots.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_visits_few_rings_of_clustered_vectors(spark):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(40, 16)) * 3
+    rows = [(i, (centres[i % 40] + r.normal(size=16) * 0.05).tolist()) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    scaled = pivots.scaled(frame)
+    index = pivots.build(scaled)
+    got = sorted(tuple(x) for x in pivots.search(index, scaled.where("vec_id % 50 = 0")).collect())
+    assert got == plain_top(rows, 5)
+    assert sum(index.visits) < 40 * np.count_nonzero(index.size) / 2
+    assert index.size.sum() == 2_000
+
+
+def test_top_k_odd_vectors(spark):
+    schema = "vec_id long, embedding array<double>"
+    frame = spark.createDataFrame([(None, [9.0]), (0, [1.0]), (0, [1.0]), (50, []), (7, [9.0])], schema)
+    assert sorted((tuple(x) for x in pivots.top_k(frame, k=2).collect()), key=str) == sorted([
+        (0, 1, None, 256 * 256 * 9), (0, 2, 7, 256 * 256 * 9), (50, 1, None, 0), (50, 2, 0, 0)], key=str)
+    assert pivots.top_k(spark.createDataFrame([(0, []), (1, [])], schema)).collect() == [(0, 1, 1, 0)]
+    with pytest.raises(ValueError, match="64 bits"):
+        pivots.top_k(spark.createDataFrame([(0, [1e17]), (1, [2e17])], schema))
+
+
+def test_top_k_of_one_query_many_times(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "BLOCK", 16)
+    rows = [(50 * i, [1.0, 2.0]) for i in range(60)] + [(50 * i + 1, [float(i), 1.0]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(x) for x in pivots.top_k(frame).collect()) == plain_top(rows, 5)
+
+
 def test_pipeline_stages(spark, odd_docs, tmp_path):
     """Each stage on rows of every kind: columns stay, decisions take effect, the last packs."""
     docs = odd_docs.unionByName(spark.createDataFrame([(20, "you m0r0n idiot", "en", "a", 15), (21, "entirely fine words here", "en", "a", 24)], odd_docs.schema))
