@@ -8,8 +8,12 @@ so fields are found however often each of their values stands.  All contents of
 template fits count together, frequent or not; one in ``min_docs`` documents recurs.  So do near
 copies, however their places differ: one more template of a leaf holds all contents that have
 ``min_fixed`` of their tokens in common with its lead, the content in most documents.  A line of
-fewer than ``SHORT`` tokens has no variable fields, digits included, and needs one document
-more; empty lines never recur.
+fewer than ``SHORT`` tokens has no variable fields but tokens with digits, where these are half
+of it at most, and needs one document more; empty lines never recur.
+
+Each content goes with one of its recurring templates, that of most documents, and the earliest
+line among the contents that go with a template stays.  So a line is dropped only for one that
+stays and has the template in common with it: chains of near copies lose no text.
 
 All tables joined here grow with the corpus, so they are merged at every size and none is
 sent to all tasks.
@@ -30,8 +34,10 @@ from faretrail.llm.common import ID, TEXT, TH, drop_written, keyed, original_id,
 
 DEPTH = 3
 MIN_TOKENS = 1
-#: Lines below this many tokens recur only as they are.
+#: Lines below this many tokens recur only as they are, numbers apart.
 SHORT = 5
+#: Rows that a task puts together before it hands them on (one line may have more tokens).
+HELD = 65_536
 MIN_DOCS = 3
 MIN_FIXED = 0.75
 FIELD = b"<*>"
@@ -46,6 +52,12 @@ def masked(line: bytes) -> list[bytes]:
     return tokens
 
 
+def short_masked(line: bytes) -> list[bytes]:
+    """The tokens of a short line: numbers are fields only beside as many fixed words."""
+    tokens = masked(line)
+    return tokens if 2 * tokens.count(FIELD) <= len(tokens) else line.split()
+
+
 def _hash(x: bytes) -> int:
     return xxhash.xxh64_intdigest(x, 3) - (1 << 63)
 
@@ -57,42 +69,51 @@ def _leaf(tokens: list[bytes], depth: int) -> int:
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """(leaf, line content, whether it is short, key, line number) of every line of at least
     ``min_tokens``, empty ones left out.  A short line is a leaf of its own."""
+    names = ["leaf", "sig", "short", ID, TH, "line"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         remembering("lines")
+        out = []
         for b in batches:
-            out = []
             for i, th, text in zip(b[ID], b[TH], b[TEXT], strict=True):
                 for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
-                    tokens = line.split()
-                    if len(tokens) < max(min_tokens, 1):
+                    n = len(line.split())
+                    if n < max(min_tokens, 1):
                         continue
-                    short = len(tokens) < SHORT
-                    if not short:
-                        tokens = masked(line)
+                    short = n < SHORT
+                    tokens = short_masked(line) if short else masked(line)
                     out.append((_leaf(tokens, SHORT if short else depth), _hash(b" ".join(tokens)), short, i, th, k))
-            yield pd.DataFrame(out, columns=["leaf", "sig", "short", ID, TH, "line"])
+                    if len(out) >= HELD:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+        yield pd.DataFrame(out, columns=names)
 
     return rows.mapInPandas(run, f"leaf long, sig long, short boolean, {_KEYS}, line int")
 
 
 def _tokens(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(leaf, sig, docs, lead, place, token hash) of one line for each wanted (leaf, sig), written.
+    """(leaf, sig, docs, total, lead, place, token hash) of one line for each wanted (leaf, sig), written.
 
     The hash is of the token and its place, so that a template's is the XOR of its fixed ones."""
     per_doc = written(wanted.groupBy(F.col(f"at.{ID}").alias(ID), F.col(f"at.{TH}").alias(TH))
-                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "lead", "at.line")).alias("r")), "wanted-lines")
+                      .agg(F.collect_list(F.struct("leaf", "sig", "docs", "total", "lead", "at.line")).alias("r")), "wanted-lines")
+    names = ["leaf", "sig", "docs", "total", "lead", "place", "token"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for b in batches:
-            out = []
             for text, r in zip(b[TEXT], b["r"], strict=True):
                 lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                 for x in r:
-                    out += [(x["leaf"], x["sig"], x["docs"], x["lead"], p, _hash(b"%d " % p + t)) for p, t in enumerate(masked(lines[x["line"]]))]
-            yield pd.DataFrame(out, columns=["leaf", "sig", "docs", "lead", "place", "token"])
+                    own = tuple(x[c] for c in names[:5])
+                    out += [(*own, p, _hash(b"%d " % p + t)) for p, t in enumerate(masked(lines[x["line"]]))]
+                    if len(out) >= HELD:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+        yield pd.DataFrame(out, columns=names)
 
     out = written(rows.join(per_doc.hint("merge"), [ID, TH]).dropDuplicates([ID, TH])
-                  .mapInPandas(run, "leaf long, sig long, docs long, lead boolean, place int, token long"), "tokens")
+                  .mapInPandas(run, "leaf long, sig long, docs long, total long, lead boolean, place int, token long"), "tokens")
     drop_written(per_doc)
     return out
 
@@ -123,30 +144,54 @@ def possible(rows: DataFrame, sigs: DataFrame, min_docs: int, min_fixed: float)
     tokens = _tokens(rows, wanted)
     support = written(tokens.groupBy("leaf", "place", "token")
                       .agg(F.sum("docs").alias("support"), F.max("lead").alias("lead")), "support")
-    placed = (tokens.drop("lead").join(support.hint("merge"), ["leaf", "place", "token"])
-              .groupBy("leaf", "sig").agg(F.sort_array(F.collect_list(F.struct("support", "token", "lead"))).alias("t"))
-              .select("leaf", "sig", F.col("t.support").alias("support"), F.col("t.token").alias("token"), F.col("t.lead").alias("lead")))
-    schema = f"leaf long, template long, sig long, docs long, {_KEYS}, line int"
+    # the tokens of a content follow one another, so a task holds one content beside a batch of rows
+    placed = (tokens.select("leaf", "sig", "total", "place", "token").join(support.hint("merge"), ["leaf", "place", "token"])
+              .repartition("leaf", "sig").sortWithinPartitions("leaf", "sig", "support", "token"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []  # columns of the content that the last batch ended in
+
+        def templates_of(columns: list[np.ndarray], last: bool) -> Iterator[pd.DataFrame]:
+            leaf, sig, total, token, support_, lead_ = columns
+            starts = np.flatnonzero(np.r_[True, (leaf[1:] != leaf[:-1]) | (sig[1:] != sig[:-1])]) if len(leaf) else np.empty(0, int)
+            ends = np.append(starts[1:], len(leaf))
+            if not last:
+                starts, ends = starts[:-1], ends[:-1]
+            masks = [_masks(support_[x:y], token[x:y], lead_[x:y], int(total[x]), min_fixed) for x, y in zip(starts, ends, strict=True)]
+            at = np.repeat(starts, [len(m) for m in masks])
+            yield pd.DataFrame({"leaf": leaf[at], "template": np.concatenate([np.empty(0, np.int64), *masks]), "sig": sig[at]})
+            held[:] = [] if last or not len(leaf) else [c[(ends[-1] if len(ends) else 0):] for c in columns]
+
+        def joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+            return [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+        waiting: list[list[np.ndarray]] = []
         for b in batches:
-            masks = [_masks(np.asarray(s), np.asarray(t), np.asarray(x), n, min_fixed)
-                     for s, t, x, n in zip(b["support"], b["token"], b["lead"], b["total"], strict=True)]
-            of = b[["leaf", "sig", "docs", ID, TH, "line"]].iloc[np.repeat(np.arange(len(b)), [len(m) for m in masks])]
-            yield of.assign(template=np.concatenate([np.empty(0, np.int64), *masks]))[["leaf", "template", "sig", "docs", ID, TH, "line"]]
-
-    out = written(placed.join(wanted.drop("lead").hint("merge"), ["leaf", "sig"])
-                  .select("leaf", "sig", "docs", "total", "at.*", "support", "token", "lead")
-                  .mapInPandas(run, schema).select("leaf", "template", "sig", "docs", F.struct(ID, TH, "line").alias("at")), "possible")
+            own = [b[c].to_numpy() for c in ("leaf", "sig", "total", "token", "support", "lead")]
+            if not len(b):
+                continue
+            waiting.append(own)
+            if own[0][0] == own[0][-1] and own[1][0] == own[1][-1]:  # perhaps all one content: read on
+                continue
+            yield from templates_of(joined([held, *waiting] if held else waiting), last=False)
+            waiting = []
+        if held or waiting:
+            yield from templates_of(joined([held, *waiting] if held else waiting), last=True)
+
+    out = written(placed.mapInPandas(run, "leaf long, template long, sig long")
+                  .join(wanted.select("leaf", "sig", "docs", "at").hint("merge"), ["leaf", "sig"])
+                  .select("leaf", "template", "sig", "docs", "at"), "possible")
     for t in (tokens, support, wanted, leaves):
         drop_written(t)
     return out
 
 
 def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
-    """(leaf, sig, first) for every line content of a recurring template: the earliest line of
-    all its recurring templates.  A content in ``min_docs`` documents is one by itself, and
-    belongs to the general ones of its leaf beside."""
+    """(leaf, sig, first) for every line content of a recurring template: the earliest line of the
+    contents that go with the same one.  A content goes with the template of most documents (those
+    of its contents together; then the one with the earlier line, then the smaller hash).  A
+    content in ``min_docs`` documents is a template by itself, and belongs to the general ones of
+    its leaf beside."""
     sigs = written(lines.groupBy("leaf", "sig", "short", ID, TH).agg(F.min("line").alias("line"))
                    .groupBy("leaf", "sig", "short").agg(F.count("*").alias("docs"), F.min(F.struct(ID, TH, "line")).alias("at")), "line-contents")
     maybe = possible(rows, sigs.where(~F.col("short")), min_docs, min_fixed)
@@ -154,16 +199,21 @@ def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float
                       .agg(F.count("*").alias("k"), F.sum("docs").alias("n"), F.max("docs").alias("most"), F.min("at").alias("first"))
                       .where((F.col("k") > 1) & (F.col("n") >= min_docs)), "general")
     # contents may share documents: where none has enough by itself, documents are counted
-    unsure = general.where(F.col("most") < min_docs).select("leaf", "template", "first")
-    few = written(maybe.join(unsure.hint("merge"), ["leaf", "template"]).select("leaf", "sig", "template", "first"), "unsure")
-    counted = (lines.join(few.hint("merge"), ["leaf", "sig"]).groupBy("leaf", "template", "first", ID, TH).agg(F.lit(1).alias("one"))
-               .groupBy("leaf", "template", "first").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
-    sure = written(general.where(F.col("most") >= min_docs).select("leaf", "template", "first")
-                   .unionByName(counted.select("leaf", "template", "first")), "recurring")
-    whole = sigs.where(F.col("docs") >= min_docs + F.col("short").cast("int")).select("leaf", "sig", F.col("at").alias("first"))
-    out = written(maybe.join(sure.hint("merge"), ["leaf", "template"]).select("leaf", "sig", "first").unionByName(whole)
-                  .groupBy("leaf", "sig").agg(F.min("first").alias("first")), "templates")
-    for t in (few, general, sure, maybe, sigs):
+    known = ["leaf", "template", "n", "first"]
+    unsure = general.where(F.col("most") < min_docs).select(known)
+    few = written(maybe.join(unsure.hint("merge"), ["leaf", "template"]).select("sig", *known), "unsure")
+    counted = (lines.join(few.hint("merge"), ["leaf", "sig"]).groupBy(*known, ID, TH).agg(F.lit(1).alias("one"))
+               .groupBy(known).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
+    sure = written(general.where(F.col("most") >= min_docs).select(known).unionByName(counted.select(known)), "recurring")
+    whole = (sigs.where(F.col("docs") >= min_docs + F.col("short").cast("int"))
+             .select("leaf", "sig", "at", F.struct((-F.col("docs")).alias("n"), F.col("at").alias("first"), F.lit(True).alias("whole"), F.col("sig").alias("template")).alias("of")))
+    fitting = (maybe.join(sure.hint("merge"), ["leaf", "template"])
+               .select("leaf", "sig", "at", F.struct((-F.col("n")).alias("n"), "first", F.lit(False).alias("whole"), "template").alias("of")))
+    chosen = written(fitting.unionByName(whole).groupBy("leaf", "sig").agg(F.min("of").alias("of"), F.min("at").alias("at"))
+                     .select("leaf", "sig", "at", "of.whole", "of.template"), "chosen")
+    stays = chosen.groupBy("leaf", "whole", "template").agg(F.min("at").alias("first"))
+    out = written(chosen.join(stays.hint("merge"), ["leaf", "whole", "template"]).select("leaf", "sig", "first"), "templates")
+    for t in (few, general, sure, maybe, sigs, chosen):
         drop_written(t)
     return out
 
@@ -195,7 +245,7 @@ def _kept(text_col: str) -> Column:
 
 def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the lines of recurring templates, but for those (smallest id, text
-    hash, line) that are the earliest of all their templates; ``keep_first=False`` drops these too.
+    hash, line) that are the earliest of their template; ``keep_first=False`` drops these too.
 
     Empty lines and shorter ones than ``min_tokens`` never recur.  All rows and columns stay; null and empty
     texts are unchanged; equal rows are one document, so they don't make a line recur.

@@ -196,7 +196,9 @@ def test_short_lines_recur(spark):
     texts = [f"All rights reserved.\n\nPage {i}\nHome\nonly line number {'abcdefgh'[i]} of this one document {i * 'x'}" for i in range(8)]
     got = [t.split("\n") for t in kept_lines(spark, texts)]
     assert got[0][:4] == ["All rights reserved.", "", "Page 0", "Home"]
-    assert all(t[:2] == ["", f"Page {i}"] and "Home" not in t for i, t in enumerate(got) if i)
+    assert all(t[0] == "" and f"Page {i}" not in t and "Home" not in t for i, t in enumerate(got) if i)
+    numbers = ["12", "13 4", "2024", "1 2 and 3", "99"]
+    assert kept_lines(spark, numbers) == numbers
     rare = ["Read more here", "Read more here", "Read more here", "Read more there"]
     assert kept_lines(spark, rare) == rare
 

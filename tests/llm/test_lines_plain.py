@@ -26,6 +26,14 @@ def fixed_sets(tokens, support, total, lead, min_fixed):
     return found
 
 
+def hash_of(template):
+    """What settles ties between templates of as many documents and one earliest line."""
+    found = 0
+    for p, t in template if template != "near the lead" else ():
+        found ^= lines._hash(b"%d " % p + t)
+    return found
+
+
 def plain_lines(docs, depth=lines.DEPTH, min_docs=lines.MIN_DOCS, min_fixed=lines.MIN_FIXED):
     """(id, line number) of the lines that go, over (id, text) with one text an id."""
     of = defaultdict(list)  # (leaf, tokens): places
@@ -34,17 +42,18 @@ def plain_lines(docs, depth=lines.DEPTH, min_docs=lines.MIN_DOCS, min_fixed=line
             tokens = raw.split()
             if not tokens:
                 continue
+            plain = tuple(tokens)
+            tokens = tuple(b"<*>" if any(48 <= c <= 57 for c in t) else t for t in tokens)
             if len(tokens) < lines.SHORT:
-                of["short", tuple(tokens)].append((i, k))
+                of["short", tokens if 2 * tokens.count(b"<*>") <= len(tokens) else plain].append((i, k))
             else:
-                tokens = tuple(b"<*>" if any(48 <= c <= 57 for c in t) else t for t in tokens)
                 of[(len(tokens), tokens[:depth]), tokens].append((i, k))
     holders = {x: {i for i, _ in at} for x, at in of.items()}
-    firsts = defaultdict(set)
+    fitting = defaultdict(list)  # (leaf, tokens): the recurring templates it may go with, best first
     leaves = defaultdict(list)
     for (leaf, tokens), own in holders.items():
         if len(own) >= min_docs + (leaf == "short"):
-            firsts[leaf, tokens].add(min(of[leaf, tokens]))
+            fitting[leaf, tokens].append((-len(own), min(of[leaf, tokens]), True, tokens))
         if leaf != "short":
             leaves[leaf].append(tokens)
     for leaf, contents in leaves.items():
@@ -61,12 +70,15 @@ def plain_lines(docs, depth=lines.DEPTH, min_docs=lines.MIN_DOCS, min_fixed=line
         for t in contents:
             for template in fixed_sets(t, support, total, lead, min_fixed):
                 members[template].append(t)
-        for own in members.values():
+        for template, own in members.items():
             if len(own) > 1 and len(set().union(*(holders[leaf, t] for t in own))) >= min_docs:
                 first = min(min(of[leaf, t]) for t in own)
                 for t in own:
-                    firsts[leaf, t].add(first)
-    return {at for x, first in firsts.items() for at in of[x] if at != min(first)}
+                    fitting[leaf, t].append((-sum(len(holders[leaf, t]) for t in own), first, False, hash_of(template)))
+    together = defaultdict(list)
+    for (leaf, tokens), found in fitting.items():
+        together[leaf, min(found)[2:]] += of[leaf, tokens]
+    return {at for lines_ in together.values() for at in lines_ if at != min(lines_)}
 
 
 def held_against_plain(spark, docs):
@@ -122,3 +134,29 @@ def test_planted_corpora(spark):
         near.append(" ".join(own))
     docs = list(enumerate([*variants, *fields, *short, *near, "", None, " \t "]))
     assert held_against_plain(spark, docs) > 70
+
+
+@pytest.mark.parametrize("held", [1, 7])
+def test_few_rows_at_a_time(spark, monkeypatch, held):
+    """The same lines go however few rows a task holds, and however the batches cut a content."""
+    monkeypatch.setattr(lines, "HELD", held)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    try:
+        test_planted_corpora(spark)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_chains_keep_a_line_like_each_that_goes(spark):
+    """Ten contents of twelve words, each one word from the one before, in two documents each."""
+    words = [f"word{c}" for c in "abcdefghijkl"]
+    chain = []
+    for i in range(10):
+        chain.append(" ".join(words))
+        words[3 + i % 9] = "x" * (i + 1)
+    docs = [(i, chain[i // 2]) for i in range(20)]
+    gone = {i for i, _ in plain_lines(docs)}
+    held_against_plain(spark, docs)
+    kept = [set(enumerate(t.split())) for i, t in docs if i not in gone]
+    assert gone and all(max(len(set(enumerate(docs[i][1].split())) & k) for k in kept) >= 6 for i in gone)
