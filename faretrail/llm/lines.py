@@ -38,6 +38,8 @@ MIN_TOKENS = 1
 SHORT = 5
 #: Rows that a task puts together before it hands them on (one line may have more tokens).
 HELD = 65_536
+#: Parts that the contents of one template are dealt into.
+SALTS = 64
 MIN_DOCS = 3
 MIN_FIXED = 0.75
 FIELD = b"<*>"
@@ -210,9 +212,11 @@ def templates(rows: DataFrame, lines: DataFrame, min_docs: int, min_fixed: float
     fitting = (maybe.join(sure.hint("merge"), ["leaf", "template"])
                .select("leaf", "sig", "at", F.struct((-F.col("n")).alias("n"), "first", F.lit(False).alias("whole"), "template").alias("of")))
     chosen = written(fitting.unionByName(whole).groupBy("leaf", "sig").agg(F.min("of").alias("of"), F.min("at").alias("at"))
-                     .select("leaf", "sig", "at", "of.whole", "of.template"), "chosen")
-    stays = chosen.groupBy("leaf", "whole", "template").agg(F.min("at").alias("first"))
-    out = written(chosen.join(stays.hint("merge"), ["leaf", "whole", "template"]).select("leaf", "sig", "first"), "templates")
+                     .select("leaf", "sig", "at", "of.whole", "of.template", F.pmod(F.xxhash64("sig"), F.lit(SALTS)).alias("salt")), "chosen")
+    # one template may hold a third of all contents: its first line goes to each salt that it has
+    stays = (chosen.groupBy("leaf", "whole", "template").agg(F.min("at").alias("first"), F.collect_set("salt").alias("salts"))
+             .select("leaf", "whole", "template", "first", F.explode("salts").alias("salt")))
+    out = written(chosen.join(stays.hint("merge"), ["leaf", "whole", "template", "salt"]).select("leaf", "sig", "first"), "templates")
     for t in (few, general, sure, maybe, sigs, chosen):
         drop_written(t)
     return out
