@@ -6,13 +6,15 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import faretrail
-from faretrail.session import scratch_path
+from faretrail.session import drop_scratch, scratch_path
 
 #: Internal columns carry this prefix, so they never meet a column of the caller.
 ID, TH, TEXT = "_ft_id", "_ft_th", "_ft_text"
@@ -50,10 +52,40 @@ def original_id() -> Column:
     return F.when(F.col(ID) != LOWEST, F.col(ID))
 
 
+#: Tables staged by the innermost open :func:`staging`: their sessions, by path.
+_STAGED: ContextVar[dict[str, SparkSession] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging() -> Iterator[Callable[..., None]]:
+    """Tables written inside are removed at the end, after an error too, but for those given to
+    the ``keep`` that this yields: a scope around takes them over, and without one they stay.
+
+    An operator keeps what its lazy result reads.  A caller that writes the result inside a
+    scope of its own leaves nothing else behind: ``with staging(): op(docs).write.parquet(...)``.
+    """
+    outer, own, kept = _STAGED.get(), {}, set()
+    token = _STAGED.set(own)
+    try:
+        yield lambda *tables: kept.update(t._ft_path for t in tables)
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _STAGED.reset(token)
+        for path, spark in own.items():
+            if path not in kept:
+                drop_scratch(spark, path)
+            elif outer is not None:
+                outer[path] = spark
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: a fixed result that outlives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
+    if (staged := _STAGED.get()) is not None:
+        staged[path] = spark
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._ft_path = path
@@ -62,10 +94,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def drop_written(df: DataFrame) -> None:
     """Remove a table of :func:`written` that no later step reads."""
-    spark: SparkSession = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._ft_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_scratch(df.sparkSession, df._ft_path)
+    if (staged := _STAGED.get()) is not None:
+        staged.pop(df._ft_path, None)
 
 
 def chunks(texts: list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import drop_written, written
+from faretrail.llm.common import drop_written, staging, written
 
 #: (verdict, host/path): a configuration list; the longest that fits wins.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -66,36 +66,38 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING) ->
     each round, so what is left after the last is bounded, wherever it may meet."""
     if not 0 <= damping < 1:
         raise ValueError(f"damping {damping} is not from 0 to below 1")
-    # written, so that the joins meet plain shuffles and the edges of a hub can be split
-    edges = written(edges, "links")
-    out = written(edges.groupBy("src").agg(F.sum("n").alias("n_out")), "onward")
-    back = written(edges.groupBy("dst").agg(F.sum("n").alias("n_in")), "back")
-    weighed = written(edges.join(out, "src").join(back, "dst")
-                      .select("src", "dst", (F.col("n") / F.col("n_out")).alias("onward"), (F.col("n") / F.col("n_in")).alias("back")), "edges")
-    start = written(seeds.where("trusted or blocked").select("host", (F.col("trusted").cast("double") * (1 - damping)).alias("trust"),
-                                                             (F.col("blocked").cast("double") * (1 - damping)).alias("distrust")), "seeds")
-    now, done, most = start, 0, math.inf
-    while True:
-        forth = weighed.join(now.withColumnRenamed("host", "src"), "src").select(
-            F.col("dst").alias("host"), (F.col("trust") * F.col("onward") * damping).alias("trust"), F.lit(0.0).alias("distrust"))
-        backward = weighed.join(now.withColumnRenamed("host", "dst"), "dst").select(
-            F.col("src").alias("host"), F.lit(0.0).alias("trust"), (F.col("distrust") * F.col("back") * damping).alias("distrust"))
-        after = written(start.unionByName(forth).unionByName(backward)
-                        .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
-        moved = (after.select("host", "trust", "distrust")
-                 .unionByName(now.select("host", (-F.col("trust")).alias("trust"), (-F.col("distrust")).alias("distrust")))
-                 .groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
-                 .agg(F.greatest(F.sum(F.abs("t")), F.sum(F.abs("d")))).first()[0]) or 0.0
-        if now is not start:
-            drop_written(now)
-        now = after
-        done += 1
-        if moved < CLOSE:
-            break
-        if done == 1:
-            most = 5 + math.ceil(math.log(CLOSE / moved) / math.log(damping))
-        if not done < most:
-            raise RuntimeError(f"ranks still move by {moved} after {done} rounds")
+    with staging() as keep:
+        # written, so that the joins meet plain shuffles and the edges of a hub can be split
+        edges = written(edges, "links")
+        out = written(edges.groupBy("src").agg(F.sum("n").alias("n_out")), "onward")
+        back = written(edges.groupBy("dst").agg(F.sum("n").alias("n_in")), "back")
+        weighed = written(edges.join(out, "src").join(back, "dst")
+                          .select("src", "dst", (F.col("n") / F.col("n_out")).alias("onward"), (F.col("n") / F.col("n_in")).alias("back")), "edges")
+        start = written(seeds.where("trusted or blocked").select("host", (F.col("trusted").cast("double") * (1 - damping)).alias("trust"),
+                                                                 (F.col("blocked").cast("double") * (1 - damping)).alias("distrust")), "seeds")
+        now, done, most = start, 0, math.inf
+        while True:
+            forth = weighed.join(now.withColumnRenamed("host", "src"), "src").select(
+                F.col("dst").alias("host"), (F.col("trust") * F.col("onward") * damping).alias("trust"), F.lit(0.0).alias("distrust"))
+            backward = weighed.join(now.withColumnRenamed("host", "dst"), "dst").select(
+                F.col("src").alias("host"), F.lit(0.0).alias("trust"), (F.col("distrust") * F.col("back") * damping).alias("distrust"))
+            after = written(start.unionByName(forth).unionByName(backward)
+                            .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
+            moved = (after.select("host", "trust", "distrust")
+                     .unionByName(now.select("host", (-F.col("trust")).alias("trust"), (-F.col("distrust")).alias("distrust")))
+                     .groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
+                     .agg(F.greatest(F.sum(F.abs("t")), F.sum(F.abs("d")))).first()[0]) or 0.0
+            if now is not start:
+                drop_written(now)
+            now = after
+            done += 1
+            if moved < CLOSE:
+                break
+            if done == 1:
+                most = 5 + math.ceil(math.log(CLOSE / moved) / math.log(damping))
+            if not done < most:
+                raise RuntimeError(f"ranks still move by {moved} after {done} rounds")
+        keep(now)
     return now.select("host", (F.col("trust") / (1 - damping)).alias("trust"), (F.col("distrust") / (1 - damping)).alias("distrust"))
 
 

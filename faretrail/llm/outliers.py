@@ -2,7 +2,8 @@
 
 Per language and source, the minimum covariance determinant of transformed statistics is
 approached by concentration steps: location and covariance of the share of the documents that
-lies closest, again and again until the determinant of no group falls.  Documents beyond a Mahalanobis distance are rejected.
+lies closest, from three starts, and from the best of them again and again until the determinant
+of no group falls.  Documents beyond a Mahalanobis distance are rejected.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import original_id, with_key, written, ID, TH
+from faretrail.llm.common import ID, TH, original_id, staging, with_key, written
 
 FEATURES = ("f_words", "f_length", "f_symbols", "f_lines", "f_repeats")
 #: Least spread of each feature: below it, differences don't count as unusual.
 FLOOR = (0.5, 0.08, 0.15, 0.15, 0.15)
-#: Share of a group that the estimates rest on, and concentration steps beyond which it is an
-#: error that a determinant still falls.
-SHARE, STEPS = 0.75, 100
+#: Share of a group that the estimates rest on, and concentration steps from every start before
+#: the least determinant of a group goes on alone.
+SHARE, TRIED = 0.75, 2
 #: Fall of a determinant's logarithm that counts.
 FALL = 1e-3
 #: On the covariance of the closest share, which is too small by a factor of about 1.4 for five
@@ -122,38 +123,78 @@ def _distance(rows: DataFrame) -> DataFrame:
     return out.withColumn("distance", sum((F.col(f"_y{i}") ** 2 for i in range(1, len(FEATURES))), F.col("_y0") ** 2))
 
 
-def _joined(rows: DataFrame, keys: list[str], stats: DataFrame) -> DataFrame:
-    """Statistics beside their rows.  Small tables are sent by Spark itself; else each group's
-    estimates stand once per salt, so that no group's rows meet in one task."""
-    p = range(len(FEATURES))
-    small = stats.select(*keys, *(f"m{i}" for i in p), *(f"g{i}{j}" for i in p for j in p if j <= i))
-    salted = small.withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
+def _joined(rows: DataFrame, keys: list[str], stats: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of a group's statistics beside its rows.  Small tables are sent by Spark itself;
+    else each group's estimates stand once per salt, so that no group's rows meet in one task."""
+    salted = stats.select(*keys, *columns).withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
     return rows.join(written(salted, "estimates"), [*keys, "_ft_salt"])
 
 
-def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Final location and factor for each group of ``rows`` (a written table)."""
-    start = rows.groupBy(*keys).agg(*(F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f) for f in FEATURES))
+def starts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Three estimates for each group (numbered in ``start``) from which concentration sets out.
+
+    All use the medians for the location and the quartiles' distance for the spread of each
+    feature.  0: no correlation; 1: the covariance of the hyperbolic tangents of the features in
+    these units, which far values hardly move; 2: that of the directions from the median.
+    """
+    p = range(len(FEATURES))
+    quartiles = rows.groupBy(*keys).agg(*(F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f) for f in FEATURES))
+    spread = [(F.col(FEATURES[i])[2] - F.col(FEATURES[i])[0]) / 1.349 for i in p]
+    plain = written(quartiles.select(*keys, *(F.col(FEATURES[i])[1].alias(f"m{i}") for i in p), *(spread[i].alias(f"s{i}") for i in p)), "quartiles")
+    own = _joined(rows, keys, plain, [f"{c}{i}" for c in "ms" for i in p])
+    units = [F.greatest(F.col(f"s{i}"), F.lit(FLOOR[i])) for i in p]
+    own = own.withColumns({f"_z{i}": (F.col(FEATURES[i]) - F.col(f"m{i}")) / units[i] for i in p})
+    own = own.withColumn("_z", F.sqrt(functools.reduce(lambda a, i: a + F.col(f"_z{i}") ** 2, p, F.lit(0.0))))
+    way = [F.when(F.col("_z") > 0, F.col(f"_z{i}") / F.col("_z")).otherwise(0.0) for i in p]
+    upper = [(i, j) for i in p for j in p if i <= j]
+    shapes = own.groupBy(*keys).agg(
+        *(F.covar_pop(F.tanh(f"_z{i}"), F.tanh(f"_z{j}")).alias(f"t{i}{j}") for i, j in upper),
+        *((len(FEATURES) * F.avg(way[i] * way[j])).alias(f"w{i}{j}") for i, j in upper))
+    cells = {0: lambda i, j: F.col(f"s{i}") ** 2 if i == j else F.lit(0.0),
+             1: lambda i, j: F.col(f"t{i}{j}") * units[i] * units[j], 2: lambda i, j: F.col(f"w{i}{j}") * units[i] * units[j]}
+    each = [F.struct(F.lit(k).alias("start"), *(of(i, j).alias(_cell(i, j)) for i, j in upper)) for k, of in cells.items()]
+    return (plain.join(shapes, keys).select(*keys, *(f"m{i}" for i in p), F.explode(F.array(*each)).alias("of"))
+            .select(*keys, *(f"m{i}" for i in p), "of.*"))
+
+
+def _concentrated(rows: DataFrame, keys: list[str], now: DataFrame) -> DataFrame:
+    """One step for each of the estimates ``now`` (``keys`` tell them apart): location and
+    covariance of the share of the rows that lies closest."""
     p = range(len(FEATURES))
-    stats = start.select(*keys, *(F.col(FEATURES[i])[1].alias(f"m{i}") for i in p),
-                         *((((F.col(FEATURES[i])[2] - F.col(FEATURES[i])[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(_cell(i, j)) for i in p for j in p if i <= j))
-    now = written(_determined(stats), "estimates")
-    for step in range(STEPS):
-        near = _distance(_joined(rows, keys, now)).select(*rows.columns, "distance")
-        # the share's edge: quantile of the distances, summed up in bounded sketches
-        edge = near.groupBy(*keys).agg(F.percentile_approx("distance", SHARE, 1000).alias("edge"))
-        salted = edge.withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
-        near = near.join(written(salted, "edges"), [*keys, "_ft_salt"])
-        after = written(_determined(_moments(near, keys, F.col("distance") <= F.col("edge"))), "estimates")
-        if not step:  # the start is no covariance of a share
-            now = after
-            continue
-        falls = after.join(now.select(*keys, F.col("det").alias("before")), keys).where(F.col("before") - F.col("det") > FALL)
-        if falls.isEmpty():
-            return now
-        least = now.unionByName(after).groupBy(*keys).agg(F.min_by(F.struct(*(c for c in now.columns if c not in keys)), "det").alias("s"))
-        now = written(least.select(*keys, "s.*"), "estimates")
-    raise RuntimeError(f"determinants still fall after {STEPS} steps")
+    shared = [k for k in keys if k in rows.columns]
+    beside = [*(k for k in keys if k not in shared), *(f"m{i}" for i in p), *(f"g{i}{j}" for i in p for j in p if j <= i)]
+    near = _distance(_joined(rows, shared, now, beside)).select(*keys, "_ft_salt", *FEATURES, "distance")
+    # the share's edge: quantile of the distances, summed up in bounded sketches
+    edge = near.groupBy(*keys).agg(F.percentile_approx("distance", SHARE, 1000).alias("edge"))
+    near = _joined(near, keys, edge, ["edge"])
+    return written(_determined(_moments(near, keys, F.col("distance") <= F.col("edge"))), "estimates")
+
+
+def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Location and factor for each group of ``rows`` (a written table), by :data:`TRIED` steps
+    from each of the :func:`starts`, and from the least determinant found so on until it no
+    longer falls.  Groups that stand leave the loop; it ends, as each step takes :data:`FALL` off
+    a logarithm that the floors bound from below.
+
+    Quantiles are sketches, whose merging follows the order in which tasks end: a distance that
+    equals the cut to several digits may be judged otherwise by another run.
+    """
+    now = written(_determined(starts(rows, keys)), "estimates")
+    for _ in range(TRIED):
+        now = _concentrated(rows, [*keys, "start"], now)
+    fields = [c for c in now.columns if c not in (*keys, "start")]
+    now = written(now.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct("det", "start")).alias("s")).select(*keys, "s.*"), "estimates")
+    standing = []
+    while True:
+        after = _concentrated(rows, keys, now)
+        old, new = (t.select(*keys, F.struct(*fields).alias(c)) for t, c in ((now, "old"), (after, "new")))
+        both = written(old.join(new, keys).select(
+            *keys, (F.col("old.det") - F.col("new.det") > FALL).alias("falls"),
+            F.when(F.col("new.det") < F.col("old.det"), F.col("new")).otherwise(F.col("old")).alias("s")), "estimates")
+        standing.append(both.where("NOT falls").select(*keys, "s.*"))
+        now = both.where("falls").select(*keys, "s.*")
+        if now.isEmpty():
+            return written(functools.reduce(DataFrame.unionByName, standing), "estimates")
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -171,24 +212,26 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
             .select(ID, "lang", "source", TH, "measures.*", "n_symbols", "n_dup_lines"))
     rows = rows.withColumns(transformed()).withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    rows = written(rows.withColumn("_ft_salt", F.pmod(F.xxhash64(ID, TH), F.lit(32)).cast("int")), "statistics")
-    sound = rows.where(~F.col("base_failed")).select("lang", "source", "_ft_salt", *FEATURES)
-    sizes = written(sound.groupBy("lang", "source").agg(F.count("*").alias("n")), "sizes")
-    by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    # which estimates a group goes by: its own, its language's or those of all
-    level = sizes.join(by_lang, "lang").select(
-        "lang", "source", F.when(F.col("n") >= MIN_GROUP, F.concat_ws("\1", "lang", "source"))
-        .when(F.col("n_lang") >= MIN_GROUP, F.col("lang")).otherwise(F.lit("")).alias("group"))
-    level = written(level.withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31)))), "levels")
-    named = sound.join(level, ["lang", "source", "_ft_salt"])
-    borrowed = level.where(~F.col("group").contains("\1")).select("group").distinct()
-    wide = sound.select(F.explode(F.array(F.col("lang"), F.lit(""))).alias("group"), "_ft_salt", *FEATURES).join(borrowed, "group")
-    fitted = written(named.where(F.col("group").contains("\1")).select("group", "_ft_salt", *FEATURES).unionByName(wide), "fitted")
-    of = estimates(fitted, ["group"])
-    placed = rows.join(level, ["lang", "source", "_ft_salt"], "left").withColumn("group", F.coalesce("group", F.lit("")))
-    p = range(len(FEATURES))
-    salted = written(of.select("group", *(f"m{i}" for i in p), *(f"g{i}{j}" for i in p for j in p if j <= i))
-                     .withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31)))), "final")
+    with staging() as keep:
+        rows = written(rows.withColumn("_ft_salt", F.pmod(F.xxhash64(ID, TH), F.lit(32)).cast("int")), "statistics")
+        sound = rows.where(~F.col("base_failed")).select("lang", "source", "_ft_salt", *FEATURES)
+        sizes = written(sound.groupBy("lang", "source").agg(F.count("*").alias("n")), "sizes")
+        by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang"))
+        # which estimates a group goes by: its own, its language's or those of all
+        level = sizes.join(by_lang, "lang").select(
+            "lang", "source", F.when(F.col("n") >= MIN_GROUP, F.concat_ws("\1", "lang", "source"))
+            .when(F.col("n_lang") >= MIN_GROUP, F.col("lang")).otherwise(F.lit("")).alias("group"))
+        level = written(level.withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31)))), "levels")
+        named = sound.join(level, ["lang", "source", "_ft_salt"])
+        borrowed = level.where(~F.col("group").contains("\1")).select("group").distinct()
+        wide = sound.select(F.explode(F.array(F.col("lang"), F.lit(""))).alias("group"), "_ft_salt", *FEATURES).join(borrowed, "group")
+        fitted = written(named.where(F.col("group").contains("\1")).select("group", "_ft_salt", *FEATURES).unionByName(wide), "fitted")
+        of = estimates(fitted, ["group"])
+        placed = rows.join(level, ["lang", "source", "_ft_salt"], "left").withColumn("group", F.coalesce("group", F.lit("")))
+        p = range(len(FEATURES))
+        salted = written(of.select("group", *(f"m{i}" for i in p), *(f"g{i}{j}" for i in p for j in p if j <= i))
+                         .withColumn("_ft_salt", F.explode(F.sequence(F.lit(0), F.lit(31)))), "final")
+        keep(rows, level, salted)
     out = _distance(placed.join(salted, ["group", "_ft_salt"], "left"))
     return out.select(original_id().alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.when(~F.col("base_failed"), F.col("distance")).alias("distance"),

@@ -53,7 +53,7 @@ class Ids(dict):
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                       mergeable_ranks=table, special_tokens={})
-            self._quick, self._piece = quick.encode_ordinary, quick._encode_single_piece
+            self._quick, self._piece = quick.encode_ordinary, getattr(quick, "_encode_single_piece", None)
 
     def run(self, run: str) -> bytes:
         if self._quick is None or len(run) > LONG_RUN or "<|" in run:

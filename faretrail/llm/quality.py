@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import chunks, sampled, series_of, words_of
+from faretrail.llm.common import chunks, sampled, series_of, staging, words_of
 
 BUCKETS = 1 << 12
 RANK = 8
@@ -134,6 +134,7 @@ def fit(row, bucket, value, stats, y: np.ndarray, rank: int = RANK, epochs: int
     return m
 
 
+@staging()
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", n_chars_col: str | None = None, max_train: int = MAX_TRAIN) -> Machine | float:
     """A machine from the texts of labelled ids (null labels are left out), fitted on at most

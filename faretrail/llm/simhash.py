@@ -15,12 +15,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import ID, TEXT, TH, chunks, keyed, original_id, remembering, with_key, words_of, written
+from faretrail.llm.common import ID, TEXT, TH, chunks, keyed, original_id, remembering, staging, with_key, words_of, written
 from faretrail.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 2
-#: Fingerprints that a variant may hold for its pairs to be verified one by one.
+#: Fingerprints that a variant may hold for its pairs to be verified one by one; why the links of
+#: larger ones have the same components, at whatever number, is said in :func:`links`.
 SMALL_BUCKET = 32
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _AT_ONCE = 100_000
@@ -127,6 +128,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, small: int = SMALL_BUCKET) -
     are verified pair by pair.  Members of larger ones link through the fingerprints around
     them instead: all that share a neighbour within half the distance are linked by
     definition, so a star says as much as all pairs, and its size is linear.
+
+    ``small`` only chooses between two exact forms.  Every link has a variant that gives it (see
+    :func:`_linked`).  If that holds at most ``small`` fingerprints, the pair is verified there.
+    If it holds more, both ends have all their neighbours in ``around``, meet at one of them and
+    hang on its star.  And no star joins what isn't linked: two fingerprints around one
+    neighbour differ in at most ``max_bits`` bits.
     """
     index = variants(fps, max_bits)
     sizes = written(index.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
@@ -149,14 +156,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts have fingerprint 0 and link like any other; equal texts share a
     fingerprint.  A null id counts as the smallest; a component led by it reports null.
     """
-    rows = written(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
-    fps = written(rows.groupBy("fp").agg(F.min(ID).alias("first")), "distinct-fingerprints")
-    of = components(links(fps.select("fp"), max_bits))
-    roots = fps.join(of.withColumnRenamed("vertex", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root"))
-    # written, so that the join meets plain shuffles and a component of very many rows can be split
-    least = written(roots.groupBy("root").agg(F.min("first").alias("component")), "least")
-    named = written(roots.join(least, "root").select("fp", "component"), "components")
+    with staging() as keep:
+        rows = written(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+        fps = written(rows.groupBy("fp").agg(F.min(ID).alias("first")), "distinct-fingerprints")
+        of = components(links(fps.select("fp"), max_bits))
+        roots = fps.join(of.withColumnRenamed("vertex", "fp"), "fp", "left").select(
+            "fp", "first", F.coalesce("component", "fp").alias("root"))
+        # written, so that the join meets plain shuffles and a component of very many rows can be split
+        least = written(roots.groupBy("root").agg(F.min("first").alias("component")), "least")
+        named = written(roots.join(least, "root").select("fp", "component"), "components")
+        keep(rows, named)
     return rows.join(named, "fp")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretrail.llm.common import (ID, TEXT, TH, chunks, drop_written, keyed, original_id, remembering,
-                                  with_key, words_of, written)
+                                  staging, with_key, words_of, written)
 
 SPAN = 20
 SEED = 6
@@ -132,19 +132,22 @@ def repeats(rows: DataFrame, span: int = SPAN, seed: int = SEED) -> DataFrame:
     """(key, r): for each document with repeats, its (pos, n) runs of window starts whose
     words also start earlier.  ``rows``: of :func:`keyed`."""
     at = F.struct(ID, TH, "pos")
-    every = written(seeds(rows, span, seed), "seeds")
-    twice = written(every.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"), "anchors")
-    found = written(every.join(twice, "a"), "found")
-    drop_written(every)
-    first = written(found.groupBy("a", "s").agg(F.min(F.struct(ID, TH, "pos", "n")).alias("f"), F.count("*").alias("c")), "first")
-    whole = (found.join(first.where("c > 1").select("a", "s", "f"), ["a", "s"])
-             .where(at != F.struct(f"f.{ID}", f"f.{TH}", "f.pos")).select(ID, TH, "pos", "n"))
-    mixed = written(first.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "mixed")
-    edges = written(_windows(rows, first.join(mixed, "a").select("f.*", "a"), span), "windows")
-    early = written(edges.groupBy("a", "w").agg(F.min(at).alias("f"), F.count("*").alias("c")).where("c > 1"), "early")
-    single = edges.join(early, ["a", "w"]).where(at != F.col("f")).select(ID, TH, "pos", F.lit(1).alias("n"))
-    return written(whole.unionByName(single).groupBy(ID, TH)
-                   .agg(F.collect_list(F.struct("pos", "n")).alias("r")), "repeats")
+    with staging() as keep:
+        every = written(seeds(rows, span, seed), "seeds")
+        twice = written(every.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"), "anchors")
+        found = written(every.join(twice, "a"), "found")
+        drop_written(every)
+        first = written(found.groupBy("a", "s").agg(F.min(F.struct(ID, TH, "pos", "n")).alias("f"), F.count("*").alias("c")), "first")
+        whole = (found.join(first.where("c > 1").select("a", "s", "f"), ["a", "s"])
+                 .where(at != F.struct(f"f.{ID}", f"f.{TH}", "f.pos")).select(ID, TH, "pos", "n"))
+        mixed = written(first.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "mixed")
+        edges = written(_windows(rows, first.join(mixed, "a").select("f.*", "a"), span), "windows")
+        early = written(edges.groupBy("a", "w").agg(F.min(at).alias("f"), F.count("*").alias("c")).where("c > 1"), "early")
+        single = edges.join(early, ["a", "w"]).where(at != F.col("f")).select(ID, TH, "pos", F.lit(1).alias("n"))
+        out = written(whole.unionByName(single).groupBy(ID, TH)
+                      .agg(F.collect_list(F.struct("pos", "n")).alias("r")), "repeats")
+        keep(out)
+    return out
 
 
 def covered(n_words: int, found: list | None, span: int) -> np.ndarray:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.llm.common import chunks, remembering, sampled, series_of
+from faretrail.llm.common import chunks, remembering, sampled, series_of, staging
 
 #: Terms with a weight of their own, before any are learned.
 TERMS = ("idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "pathetic", "worthless",
@@ -252,6 +252,7 @@ def hash_of(word: str) -> int:
     return zlib.crc32(word.encode())
 
 
+@staging()
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS,
           min_support: int = 5, min_precision: float = 0.9) -> Lexicon:

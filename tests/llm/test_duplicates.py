@@ -114,6 +114,28 @@ def test_links_lose_nothing(spark, max_bits):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, exp.values()))
 
 
+@pytest.mark.parametrize("members", [simhash.SMALL_BUCKET, simhash.SMALL_BUCKET + 1])
+def test_links_at_the_edge_of_a_small_bucket(spark, members):
+    """One variant that holds just so many fingerprints: linked pairs, chains and strangers."""
+    r = random.Random(members)
+    low = r.getrandbits(32)
+    fps = {low}
+    while len(fps) < members:  # one segment is equal, the other differs by one bit, or by many
+        x = r.choice(sorted(fps)) ^ 1 << r.randrange(32, 64)
+        fps.add(x if r.random() < 0.6 else low | r.getrandbits(32) << 32)
+    signed = {f - (1 << 64) if f >= 1 << 63 else f: f for f in fps}
+    table = spark.createDataFrame([(f,) for f in signed], "fp long")
+    sizes = {x["count"] for x in simhash.variants(table, 2).groupBy("part", "key").count().collect()}
+    assert members in sizes
+    of = {x.vertex: x.component for x in components(simhash.links(table)).collect()}
+    want = plain_classes(signed, 2)
+    got, exp = defaultdict(set), defaultdict(set)
+    for f in signed:
+        got[of.get(f, f)].add(f)
+        exp[want[f]].add(f)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, exp.values())) and 1 < len(exp) < members
+
+
 def test_simhash_odd_rows(spark, wide_docs, no_docs):
     rows = simhash.classes(wide_docs).collect()
     assert len(rows) == wide_docs.count()

@@ -2,16 +2,20 @@
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from faretrail.llm import linkgraph, packing, pivots, sentencepieces
+from faretrail.llm import linkgraph, lines, outliers, packing, pivots, quality, sentencepieces, simhash, substring, toxicity
+from faretrail.llm.common import staging, written
+from faretrail.session import shared_dir
 
 TEXTS = ["", " ", "a", "  a  b\n\nc d ﬁ é é", "\t　x▁y<s><0x0A>", "a" * 3000, "ééé 漢字 日本語 🙂🙂", "    indented\n        more",
          "the thethethe" * 20, "\x00 a", "￿ ퟿", "<|endoftext|> x <|endoftext|>y", "don't 's  'll THE'S", "1,234.5%% ###  $$$ x", "a b c d"]
@@ -27,12 +31,12 @@ def test_pieces_equal_the_library(spark):
         assert sentencepieces.decode(v, ids.tolist()) == model.decode(ids.tolist()), t
 
 
-def test_pieces_odd_rows(odd_docs, no_docs):
-    rows = sentencepieces.digest(odd_docs).collect()
-    assert len(rows) == odd_docs.count() and all(x.round_trip for x in rows)
+def test_pieces_odd_rows(wide_docs, no_docs):
+    rows = sentencepieces.digest(wide_docs).collect()
+    assert len(rows) == wide_docs.count() and all(x.round_trip for x in rows)
     assert {x.doc_id: x.n_ids for x in rows}[1] == 0
     assert sentencepieces.digest(no_docs).count() == 0
-    back = odd_docs.select("text", sentencepieces.encoded(odd_docs.text).alias("ids"))
+    back = wide_docs.select("text", sentencepieces.encoded(wide_docs.text).alias("ids"))
     back = back.select("text", sentencepieces.decoded(back.ids).alias("again"))
     assert all((x.text or "") == x.again for x in back.collect())
 
@@ -58,7 +62,8 @@ def check_places(rows, size):
         assert (of.length[1:] == size).all()
 
 
-def test_packing_odd_rows(odd_docs, no_docs):
+def test_packing_odd_rows(wide_docs, no_docs):
+    odd_docs = wide_docs
     rows = packing.pack_documents(odd_docs).toPandas()
     check_places(rows, 2048)
     theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -238,7 +243,10 @@ def test_pipeline_stages(spark, odd_docs, tmp_path):
     assert "shared30" in cut[5] and "shared30" not in cut[6]
     check_places(seen["packing"], 2048)
     assert set(seen["packing"].doc_id.dropna()) == set(near.doc_id.dropna())
-    assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == len(seen["packing"])
+    before = scratch_of(spark)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(out.collect()) == len(seen["packing"])
+    assert {name.rsplit("-", 1)[0] for name in scratch_of(spark) - before} == {"llm-packing"}
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0, name
@@ -275,3 +283,66 @@ def test_propagation_reaches_the_end_of_a_chain(spark):
 def test_propagation_takes_a_damping_below_one(spark):
     with pytest.raises(ValueError):
         linkgraph.propagated(None, None, damping=1.0)
+
+
+def test_rules_on_very_long_pages(spark):
+    """Megabytes of url or html, and columns with the names that the operator uses itself."""
+    long_html = "".join(f'<a href="http://h{i % 50}.example.net/{i}">x</a>' for i in range(60_000)) + "<a href=http://a.net/>"
+    pages = [(1, "http://a.net/" + "p" * 2_000_000, ""), (2, "http://b.com/x", long_html), (3, "http://" + "h" * 1_000_000 + ".org/fr/", None),
+             (4, None, "<a href=//b.com/>"), (None, "no host", "x"), (2, "http://b.com/x", long_html)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    frame = frame.withColumns({c: F.lit("x") for c in ("host", "path", "found", "src", "dst", "n", "trust", "distrust", "rule", "verdict")})
+    got = {x.page_id: x for x in linkgraph.judged(frame).collect()}
+    assert len(got) == 5 and len(got[1].path) == 2_000_001 and (got[1].rule, got[1].verdict) == ("net/", "block")
+    assert (got[2].host, got[2].rule, got[2].verdict) == ("b.com", None, "block")  # its last link leads to a blocked host
+    assert got[3].rule == "org/fr/" and got[4].host == got[None].host == "" and got[None].verdict == "allow"
+
+
+def test_packing_without_the_encoder_of_pieces(monkeypatch):
+    """The rank encoder's inner function may go; the ids stay."""
+    import tiktoken
+
+    texts = ["plain words, and marks!", "x  y\n\nz", "word " * 300, "caf\u00e9 1234 $$$"]
+    want = [packing.Ids(*packing.default_vocabulary()).text(t) for t in texts]
+    monkeypatch.delattr(tiktoken.Encoding, "_encode_single_piece")
+    bare = packing.Ids(*packing.default_vocabulary())
+    assert bare._piece is None and [bare.text(t) for t in texts] == want
+
+
+STAGED = {"op1": lambda d, t: sentencepieces.digest(d), "op2": lambda d, t: d.select("doc_id", quality.scored(F.col("text"), quality.learn(d, t))),
+          "op3": lambda d, t: d.select("doc_id", toxicity.scored(F.col("text"), toxicity.learn(d, t))), "op4": lambda d, t: outliers.judged(d),
+          "op7": lambda d, t: substring.digest(d), "op8": lambda d, t: simhash.classes(d), "op9": lambda d, t: lines.digest(d),
+          "op10": lambda d, t: packing.pack_documents(d)}
+
+
+def scratch_of(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "faretrail"
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+@pytest.mark.parametrize("op", STAGED)
+def test_operators_leave_what_their_result_reads(spark, odd_docs, tmp_path, op):
+    labels = spark.createDataFrame([(5, 1, 1), (6, 0, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    before = scratch_of(spark)
+    with staging():
+        out = STAGED[op](odd_docs, labels)
+        reads = {Path(f.removeprefix("file:")).parent.name for f in out.inputFiles()}
+        assert scratch_of(spark) - before == {f for f in reads if f.startswith("llm-")}
+        out.write.parquet(str(tmp_path / "out"))
+    assert scratch_of(spark) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() >= odd_docs.count()
+
+
+def test_staging_after_an_error(spark):
+    before = scratch_of(spark)
+    with staging() as outer:
+        with pytest.raises(ZeroDivisionError), staging() as keep:
+            keep(written(spark.range(3), "a"))
+            1 / 0
+        assert scratch_of(spark) == before
+        with staging() as keep:
+            kept, gone = written(spark.range(3), "b"), written(spark.range(3), "c")
+            keep(kept)
+        assert kept.count() == 3 and scratch_of(spark) - before == {Path(kept._ft_path).name}
+        outer()
+    assert scratch_of(spark) == before and gone is not None
