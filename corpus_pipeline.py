@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.llm import lines, packing, simhash, substring, toxicity
-from faretrail.llm.common import written
+from faretrail.llm.common import drop_written, staging, written
 from faretrail.llm.queries import TOXIC_FROM, table, toxic_lexicon
 
 
@@ -62,8 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    """All stages over the documents of ``sf_dir``.  Of what is staged, the last stage's table
+    stays; that of each other goes when the next is written, all if one fails."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    with staging() as keep:
+        for name, stage in STAGES:
+            with staging() as own:
+                docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+                own(docs)
+            if before is not None:
+                drop_written(before)
+            before = docs
+        keep(docs)
     return docs
