@@ -23,6 +23,8 @@ from faretrail.llm.common import (ID, TEXT, TH, chunks, drop_written, keyed, ori
 
 SPAN = 20
 SEED = 6
+#: Characters whose words are hashed together: about twenty 64-bit numbers stand by for each word.
+TOGETHER = 1 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _KEYS = f"{ID} long, {TH} long"
 
@@ -100,7 +102,7 @@ def seeds(rows: DataFrame, span: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = list(b[TEXT])
-            for lo, hi in chunks(texts):
+            for lo, hi in chunks(texts, TOGETHER):
                 h, starts = hashed(texts[lo:hi])
                 r = runs(h, starts, span, seed)
                 at = r["text"] + lo
