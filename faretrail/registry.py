@@ -501,23 +501,29 @@ def scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_from_landing(src_files.read_trips_parquet(spark, landing))
 
 
+#: Splits of a small reading at most: each is a task and a staged file.
+SMALL_SPLITS = 2048
+
+
 @register("surrogate_key_files", f"""
 WITH {LENS_CTE}, keyed AS (SELECT CAST(row_number() OVER (ORDER BY {NK_ORDER}) AS BIGINT) AS trip_id, * FROM lens)
 SELECT reading, trip_id, {', '.join(lens.NATURAL_KEY)} FROM keyed, (VALUES ('small splits'), ('large splits')) r(reading)
 """)
 def surrogate_key_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids by file and place in it, of one landing read in splits of 32 kB and of 128 MB.
+    """Ids by file and place in it, of one landing read in splits of 32 kB and of 128 MB; a landing
+    of more than ``SMALL_SPLITS`` splits of 32 kB is read in so many of more.
 
     The landing's files follow each other in the order of the natural key, so the ids must be
     its ranks, both times."""
     landing = scratch_path(spark, "landing-ordered")
-    raw = lens.raw_trip_lens(spark, sf_dir)
-    raw.repartitionByRange(5, *[F.col(c).asc_nulls_last() for c in lens.NATURAL_KEY]).sortWithinPartitions(
-        *[F.col(c).asc_nulls_last() for c in lens.NATURAL_KEY]).write.option("header", True).csv(landing)
+    order = [F.col(c).asc_nulls_last() for c in lens.NATURAL_KEY]
+    # typed rows are dealt and sorted, text is made behind; as many files as the rows need
+    ordered = lens.trip_lens(spark, sf_dir).repartitionByRange(*order).sortWithinPartitions(*order)
+    lens.as_landing_text(ordered).write.option("header", True).csv(landing)
     found = []
-    for reading, size in (("small splits", "32k"), ("large splits", "128m")):
+    for reading, size in (("small splits", src_files.split_bytes(spark, landing, ".csv", 32 << 10, SMALL_SPLITS)), ("large splits", 128 << 20)):
         own = spark.newSession()  # the caller's settings stay
-        own.conf.set("spark.sql.files.maxPartitionBytes", size)
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
         own.conf.set("spark.sql.files.openCostInBytes", "4k")
         trips = star.key_trips(src_files.read_trips_csv(own, landing, extra_types=lens.NATURAL_KEY_TYPES), key="files")
         path = scratch_path(spark, "ids")

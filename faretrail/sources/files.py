@@ -35,6 +35,13 @@ def read_trips_csv(spark: SparkSession, path: str | list[str],
     return df
 
 
+def split_bytes(spark: SparkSession, path: str, suffix: str, least: int, most_splits: int) -> int:
+    """Size of the splits in which to read the files under ``path``: ``least`` bytes, or more where
+    that would make over ``most_splits`` of them, as every split is a task."""
+    held = storage.listing(spark, path, suffix).agg(F.sum("length")).first()[0] or 0
+    return max(least, -(-held // most_splits))
+
+
 def read_csv_by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame | None:
     """Rows of header CSV files whose headers may differ, in the columns of ``schema``.
 

@@ -16,7 +16,7 @@ from faretrail.sinks import compaction
 from faretrail.sinks import files as sink_files
 from faretrail.sources import lens, literals
 from faretrail.sources.bookmarks import BookmarkedScan
-from faretrail.sources.files import read_csv_by_header, register_partitioned_table
+from faretrail.sources.files import read_csv_by_header, register_partitioned_table, split_bytes
 from faretrail.streaming.incremental import IncrementalStarLoader
 from tests.conftest import SF_SMALL
 from tests.test_plans import plan
@@ -312,3 +312,15 @@ def test_a_landing_adds_to_the_analyses_from_itself_alone(spark, tmp_path, monke
     assert loader.table("analysis").exceptAll(whole).count() == 0 and whole.exceptAll(loader.table("analysis")).count() == 0
     scanned = plan(loader.vendor_trip_counts(vendors))
     assert "/vendor_counts" in scanned and "/trips" not in scanned
+
+
+# ---------------------------------------------------------------- growth
+
+def test_splits_of_a_small_reading_are_bounded(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(0, 20_000, 1, 4).write.option("header", True).csv(path)
+    held = sum(os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.endswith(".csv"))
+    assert split_bytes(spark, path, ".csv", 1 << 10, 1_000) == 1 << 10
+    size = split_bytes(spark, path, ".csv", 1 << 10, 10)
+    assert held <= 10 * size < held + 10
+    assert split_bytes(spark, str(tmp_path / "none"), ".csv", 1 << 10, 10) == 1 << 10
