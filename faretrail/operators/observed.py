@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from faretrail.functions.coerce import coerce_column
+from faretrail.functions.coerce import coerce_column, type_trips
 from faretrail.schemas import TRIP_COLUMNS, resolve_column
 
 
 class LandingCounts:
     """Landing rows, and of every contract column the values that its type turns to NULL.
 
-    The counts are those of the first action over :meth:`over`'s frame, which has to be a pass
+    The counts are those of the first action over the frame of :meth:`over` or :meth:`typed`, which has to be a pass
     over all rows (the write of the staging)."""
 
     def __init__(self, columns: dict[str, str] = TRIP_COLUMNS):
         self.columns = columns
         self._seen = Observation()
+        self._left: Observation | None = None
 
     def over(self, raw: DataFrame) -> DataFrame:
         """``raw`` itself, with the counts taken as its rows pass."""
@@ -30,6 +31,22 @@ class LandingCounts:
                 nulled.append(F.count_if(lost).alias(name))
         return raw.observe(self._seen, F.count(F.lit(1)).alias("landing"), *nulled)
 
+    def typed(self, raw: DataFrame) -> DataFrame:
+        """``raw`` in the types of the contract, with the same counts.
+
+        A NULL stays NULL, so what a type has cost a column is its values before less those after:
+        every value is coerced once, and counting takes no coercion of its own."""
+        types = {f.name: f.dataType for f in raw.schema.fields}
+        own = {name: resolve_column(raw.columns, name) for name in self.columns}
+        own = {name: column for name, column in own.items() if column in types}
+        before = raw.observe(self._seen, F.count(F.lit(1)).alias("landing"), *[F.count(F.col(c)).alias(n) for n, c in own.items()])
+        self._left = Observation()
+        return type_trips(before, self.columns).observe(self._left, F.count(F.lit(1)).alias("landing"), *[F.count(F.col(n)).alias(n) for n in own])
+
     def get(self) -> dict[str, int]:
         """``landing``, then column -> values lost; waits for the pass."""
-        return {k: int(v) for k, v in self._seen.get.items()}
+        seen = {k: int(v) for k, v in self._seen.get.items()}
+        if self._left is not None:
+            left = self._left.get
+            seen = {k: v if k == "landing" else v - int(left.get(k, 0)) for k, v in seen.items()}
+        return seen

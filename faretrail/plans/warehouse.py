@@ -60,7 +60,7 @@ def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None
     """Type and key ``raw`` once, then derive the seven tables lazily."""
     stages: list[RankedStage] = []
     landing = LandingCounts()
-    trips = star.key_trips(landing.over(raw), order_cols=order_cols, key=key, stages=stages)
+    trips = star.key_trips(landing.typed(raw), order_cols=order_cols, key=key, stages=stages)
     dates = {"single": star.date_dim, "prededup": star.date_dim_prededup,
              "dedup_rows": star.date_dim_dedup_rows}[date_dim_form](trips)
     tables = {

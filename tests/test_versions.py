@@ -182,3 +182,17 @@ def test_lost_values_are_counted_by_column(spark):
     assert passing.columns == raw.columns
     passing.write.format("noop").mode("overwrite").save()
     assert seen.get() == {"landing": 4, "VendorID": 1, "trip_distance": 2, "tpep_pickup_datetime": 1}
+
+
+def test_a_load_coerces_and_counts_in_one_typing(spark):
+    rows = [("1", "2.5", "2020-01-01 00:00:00", "x"), ("one", None, "no day", "3"), (None, "n/a", None, "4"), ("7", "", "2020-01-02", "5")]
+    raw = spark.createDataFrame(rows, "vendorid string, trip_distance string, tpep_pickup_datetime string, note string")
+    from faretrail.functions.coerce import type_trips
+    from faretrail.operators.observed import LandingCounts
+    from tests.test_plans import plan
+    seen = LandingCounts()
+    typed = seen.typed(raw)
+    assert typed.schema == type_trips(raw).schema
+    assert "try_cast" not in "".join(n for n in plan(typed).splitlines() if "CollectMetrics" in n).lower()
+    typed.write.format("noop").mode("overwrite").save()
+    assert seen.get() == {"landing": 4, "VendorID": 1, "trip_distance": 2, "tpep_pickup_datetime": 1}
