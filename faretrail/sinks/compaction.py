@@ -1,7 +1,7 @@
 """Small files to a few of a target size, in place.
 
-The files of each folder are dealt to groups of about the target size, in one job for all
-folders.  What is packed is written to a hidden folder first; a journal, written in one step,
+The files of each folder are dealt to groups of about the target size.  Each group is read and
+written by one task, so no row is shuffled or sorted, and many groups go at a time.  What is packed is written to a hidden folder first; a journal, written in one step,
 then decides: before it the folder is as it was, after it the change is carried through, by the
 next call if need be.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ from faretrail import storage
 
 TARGET_BYTES = 128 << 20
 _HIDDEN = "_packing-"
-_FOLDER, _GROUP, _PATH = "_ft_folder", "_ft_group", "_ft_path"
+_GROUP = "_ft_group"
+#: Groups that are submitted together; their tasks run as the cluster has cores.
+PACKED_AT_ONCE = 64
 
 
 def groups(files: DataFrame, target_bytes: int) -> DataFrame:
@@ -69,22 +72,28 @@ def compact(spark: SparkSession, folder: str, target_bytes: int = TARGET_BYTES)
     plan = f"{folder}/{hidden}/plan"
     packed.write.parquet(plan)  # a row a file; the group numbers are fixed from here on
     packed = spark.read.parquet(plan)
-    count = packed.agg(F.max("group")).first()[0]
-    if count is None:
+    if packed.isEmpty():
         storage.delete(spark, f"{folder}/{hidden}")
         return 0, 0
-    old = [r["path"] for r in packed.select("path").orderBy("path").collect()]
+    members: dict[int, list[str]] = {}
+    where: dict[int, str] = {}
+    for r in packed.orderBy("path").collect():  # names, as the journal lists them
+        members.setdefault(r["group"], []).append(r["path"])
+        where[r["group"]] = r["folder"]
+    old = sorted(path for paths in members.values() for path in paths)
     rows = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*[storage.literal(p) for p in old])
-    # the scan's file paths are written as URLs
-    known = packed.select(F.col("group").alias(_GROUP), F.col("path").alias(_PATH))
-    tagged = rows.select("*", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias(_PATH))
-    out = f"{folder}/{hidden}/files"
-    (tagged.join(known, _PATH).drop(_PATH).repartitionById(count + 1, F.col(_GROUP))
-     .write.partitionBy(_GROUP).parquet(out))
+    out, schema = f"{folder}/{hidden}/files", rows.schema
+
+    def pack(group: int) -> None:
+        """The files of a group, of about the target together, read by one task, which writes them as one."""
+        own = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*[storage.literal(p) for p in members[group]])
+        own.coalesce(1).write.parquet(f"{out}/{_GROUP}={group}")
+
+    with ThreadPoolExecutor(PACKED_AT_ONCE) as pool:
+        list(pool.map(pack, sorted(members)))
     if spark.read.parquet(out).count() != rows.count():  # both from the footers
         storage.delete(spark, f"{folder}/{hidden}")
         raise RuntimeError(f"packing {folder} would have changed the number of rows")
-    where = {r["group"]: r["folder"] for r in packed.select("group", "folder").distinct().collect()}
     moves = []
     for r in storage.listing(spark, out, ".parquet", recursive=True).select("path").orderBy("path").collect():
         group = int(r["path"].split(f"/{_GROUP}=")[1].split("/")[0])

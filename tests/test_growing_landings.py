@@ -4,9 +4,10 @@ import hashlib
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from faretrail import storage
+from faretrail import registry, storage
 from faretrail.functions import keys
 from faretrail.operators import aggregates, joins, preview, star
 from faretrail.plans import analysis
@@ -324,3 +325,46 @@ def test_splits_of_a_small_reading_are_bounded(spark, tmp_path):
     size = split_bytes(spark, path, ".csv", 1 << 10, 10)
     assert held <= 10 * size < held + 10
     assert split_bytes(spark, str(tmp_path / "none"), ".csv", 1 << 10, 10) == 1 << 10
+
+
+def test_packing_shuffles_no_row(spark, tmp_path, monkeypatch):
+    folder, seen = str(tmp_path / "landing"), []
+    spark.range(10_000).repartition(40).write.parquet(folder)
+    real = DataFrameWriter.parquet
+
+    def write(self, path, *args, **kwargs):
+        seen.append((path, plan(self._df)))
+        real(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    assert compaction.compact(spark, folder)[0] == 40
+    files = [p for path, p in seen if "/files" in path]
+    assert files and not any("Exchange" in p or "Sort" in p for p in files)
+    assert sorted(r.id for r in spark.read.parquet(folder).collect()) == list(range(10_000))
+
+
+def test_rows_are_finished_behind_their_shuffle(spark, tmp_path):
+    rows, seen = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("k")), []
+
+    def finish(df):
+        seen.append(plan(df, "extended"))
+        return df.withColumn("id", F.col("id").cast("string"))
+
+    sink_files.write_partitioned(rows, str(tmp_path / "out"), ("k",), fmt="csv", finish=finish)
+    assert "rebalance" in seen[0].lower()
+    assert sorted(int(r.id) for r in spark.read.option("header", True).csv(str(tmp_path / "out")).collect()) == list(range(100))
+
+
+def test_renamed_locations_join_on_one_distribution(spark):
+    trips = star.key_trips(lens.trip_lens(spark, SF_SMALL), order_cols=lens.NATURAL_KEY)
+    parts = star.fact_trips(trips), star.pickup_location_dim(trips), star.dropoff_location_dim(trips)
+    plain = analysis.trip_locations_renamed(*parts, strategy="merge")
+    one = analysis.trip_locations_renamed(*parts, strategy="merge", copied_ids=True)
+    assert plan(one).count("hashpartitioning") == 3 and plan(plain).count("hashpartitioning") == 4
+    assert one.columns == plain.columns and one.exceptAll(plain).count() == 0 and plain.exceptAll(one).count() == 0
+
+
+def test_the_landings_of_a_query_are_joined_once(spark):
+    parts = registry._landings(spark, SF_SMALL)
+    assert not any("Join" in plan(p) for p in parts)
+    assert sum(p.count() for p in parts) == lens.trip_lens(spark, SF_SMALL).count()
