@@ -39,6 +39,8 @@ LANDING_POS = "_landing_pos"
 FILE = "_key_file"
 START = "_key_start"
 BLOCK = "_key_block"
+#: Codec of what is staged: written once, read a few times, then removed.
+STAGED = "zstd"
 
 
 def _order(cols: list[str | Column]) -> list[Column]:
@@ -73,7 +75,7 @@ def stage_ranked(df: DataFrame, order_cols: list[str | Column],
     """
     spark = df.sparkSession
     input_path = scratch_path(spark, label + "-input")
-    df.write.mode("errorifexists").parquet(input_path)
+    df.write.mode("errorifexists").option("compression", STAGED).parquet(input_path)
     staged = _staged(spark.read.parquet(input_path).orderBy(*_order(order_cols)), label)
     drop_scratch(spark, input_path)
     return staged
@@ -97,7 +99,7 @@ def stage_file_positions(df: DataFrame, label: str = "file-positions") -> Ranked
     tagged = (df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(START))
               .withColumns({PART: F.spark_partition_id(), POS: F.monotonically_increasing_id(), BLOCK: F.xxhash64(FILE, START)}))
     path = scratch_path(spark, label)
-    tagged.write.mode("errorifexists").parquet(path)
+    tagged.write.mode("errorifexists").option("compression", STAGED).parquet(path)
     rows = spark.read.parquet(path)
     splits = rows.groupBy(PART, BLOCK, FILE, START).agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias(FIRST))
     running = Window.orderBy(FILE, START).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -111,7 +113,7 @@ def _staged(df: DataFrame, label: str) -> RankedStage:
     tagged = (df.withColumn(PART, F.spark_partition_id())
               .withColumn(POS, F.monotonically_increasing_id()))
     path = scratch_path(spark, label)
-    tagged.write.mode("errorifexists").parquet(path)
+    tagged.write.mode("errorifexists").option("compression", STAGED).parquet(path)
     rows = spark.read.parquet(path)
     counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias(FIRST))
     # One row per sort partition: a single-partition running sum is cheap here.

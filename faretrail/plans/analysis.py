@@ -71,14 +71,15 @@ def trip_locations(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
 
 
 def trip_locations_renamed(fact: DataFrame, pickup: DataFrame, dropoff: DataFrame,
-                           strategy: str = "auto") -> DataFrame:
+                           strategy: str = "auto", copied_ids: bool = False) -> DataFrame:
     """Same analysis rows via renamed dimension keys and path-list joins:
     ``pickup_location_id2`` / ``dropff_location_id2`` joined to the fact's
-    ids, then the 11 fields selected by name."""
+    ids, then the 11 fields selected by name.  ``copied_ids`` as in :func:`trip_locations`."""
     p2 = pickup.withColumnRenamed("pickup_location_id", "pickup_location_id2")
     d2 = dropoff.withColumnRenamed("dropff_location_id", "dropff_location_id2")
-    j1 = join_on(fact, p2, ["pickup_location_id"], ["pickup_location_id2"], strategy=strategy)
-    j2 = join_on(j1, d2, ["dropff_location_id"], ["dropff_location_id2"], strategy=strategy)
+    own = [[TRIP_ID], [TRIP_ID]] if copied_ids else [[PICKUP_ID], [DROPOFF_ID]]
+    j1 = join_on(fact, p2, own[0], ["pickup_location_id2"], strategy=strategy)
+    j2 = join_on(j1, d2, own[1], ["dropff_location_id2"], strategy=strategy)
     return j2.select(*[F.col(resolve_column(j2.columns, c)).alias(c) for c in ANALYSIS_FIELD_PATHS])
 
 

@@ -24,7 +24,7 @@ from faretrail.schemas import TRIP_COLUMNS
 from faretrail.session import scratch_path, unique_name
 from faretrail.sinks import files as sink_files
 from faretrail.sinks.compaction import compact
-from faretrail.sinks.tables import truncate_load
+from faretrail.sinks.tables import stage, truncate_load
 from faretrail.sources import files as src_files
 from faretrail.sources import lens, literals
 from faretrail.streaming.incremental import IncrementalStarLoader
@@ -253,14 +253,14 @@ def trip_vendor_broadcast_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _warehouse_trips(spark, sf_dir)
     return analysis.trip_locations(star.fact_trips(trips), star.pickup_location_dim(trips),
-                                   star.dropoff_location_dim(trips))
+                                   star.dropoff_location_dim(trips), copied_ids=True)
 
 
 @register("trip_locations_renamed", f"WITH {KEYED_CTE} SELECT {ANALYSIS_SQL} FROM keyed")
 def trip_locations_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _warehouse_trips(spark, sf_dir)
     return analysis.trip_locations_renamed(star.fact_trips(trips), star.pickup_location_dim(trips),
-                                           star.dropoff_location_dim(trips))
+                                           star.dropoff_location_dim(trips), copied_ids=True)
 
 
 @register("rate_code_counts", f"""
@@ -342,9 +342,9 @@ WITH {LENS_CTE} SELECT * FROM lens WHERE year(tpep_pickup_datetime) IN (1996, 19
 """)
 def scan_csv_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing-csv-years")
-    raw = lens.raw_trip_lens(spark, sf_dir)
-    by_year = raw.withColumn("pickup_year", F.year(F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")))
-    sink_files.write_partitioned(sink_files.landing_order(by_year), landing, ("pickup_year",), fmt="csv")
+    by_year = lens.trip_lens(spark, sf_dir).withColumn("pickup_year", F.year(F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")))
+    sink_files.write_partitioned(sink_files.landing_order(by_year), landing, ("pickup_year",), fmt="csv",
+                                 finish=lens.as_landing_text)
     picked = src_files.read_trips_csv(spark, f"{landing}/pickup_year=199[67]/*.csv",
                                       extra_types=lens.NATURAL_KEY_TYPES)
     return _typed_from_landing(picked)
@@ -397,7 +397,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing-stream")
     loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
                                    order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
-    trips = lens.trip_lens(spark, sf_dir)
+    trips = stage(lens.trip_lens(spark, sf_dir), "landings")  # joined once for both
     later = F.coalesce(F.year("tpep_pickup_datetime") > 1997, F.lit(False))
     sink_files.land_csv(lens.as_landing_text(trips.where(~later)), landing)
     loader.run_available()
@@ -414,7 +414,7 @@ _LANDED_CTE = (LENS_CTE + ", keyed AS (SELECT CAST(row_number() OVER (ORDER BY "
 
 
 def _landings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    trips = lens.trip_lens(spark, sf_dir)
+    trips = stage(lens.trip_lens(spark, sf_dir), "landings")  # joined once for the three
     return [lens.as_landing_text(trips.where(F.expr(_LANDING_SQL) == k)) for k in range(3)]
 
 
@@ -496,7 +496,8 @@ def sink_partitioned_again(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing folder of 120 small files, packed into a few, read back."""
     landing = scratch_path(spark, "landing-small")
-    lens.raw_trip_lens(spark, sf_dir).repartition(120).write.parquet(landing)
+    dealt = lens.trip_lens(spark, sf_dir).repartition(120, *lens.NATURAL_KEY)  # typed rows are narrower than text
+    lens.as_landing_text(dealt).write.parquet(landing)
     compact(spark, landing)
     return _typed_from_landing(src_files.read_trips_parquet(spark, landing))
 
@@ -548,7 +549,7 @@ def sink_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analysis_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _warehouse_trips(spark, sf_dir)
     result = analysis.trip_locations(star.fact_trips(trips), star.pickup_location_dim(trips),
-                                     star.dropoff_location_dim(trips))
+                                     star.dropoff_location_dim(trips), copied_ids=True)
     name = unique_name("analysis_table")
     truncate_load(result, name, scratch_path(spark, "warehouse") + "/" + name)
     return spark.table(name)
@@ -575,15 +576,19 @@ def star_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of one set, the second of some trips only: fact and pickup dimension of the last
     version, joined; the version before stays whole beside it."""
     raw, root, suffix = lens.raw_trip_lens(spark, sf_dir), scratch_path(spark, "warehouse"), "_" + unique_name("run")
-    first = warehouse.build_and_load(spark, raw, suffix, root, order_cols=lens.NATURAL_KEY)
-    whole = lens.NATURAL_KEY  # the second load keeps the first one's order of ids
-    kept = spark.table(first["FactTable"]).where("VendorID = 1").select("trip_id")
-    trips = dense_key(raw, whole).join(kept, "trip_id", "left_semi")
-    tables = warehouse.star_set(spark, suffix, root)
-    typed = star.with_location_ids(type_trips(trips))
-    old = tables.names()
-    version = tables.load({n: {"FactTable": star.fact_trips(typed), "PickupLocationsDim": star.pickup_location_dim(typed)}.get(n, spark.table(t))
-                           for n, t in old.items()})
+    built = warehouse.build_star(spark, raw, order_cols=lens.NATURAL_KEY)
+    try:
+        first = warehouse.load_star(built, suffix, root)
+        kept = spark.table(first["FactTable"]).where("VendorID = 1").select("trip_id")
+        # the second load keeps the first one's ids: its trips come from the same ranking, joined once for both tables
+        whole = built.trips.select(*dict.fromkeys(star.FACT_COLUMNS + star.PICKUP_DIM_COLUMNS)).drop(star.PICKUP_ID, star.DROPOFF_ID)
+        trips = star.with_location_ids(stage(whole.join(kept, "trip_id", "left_semi"), "switch"))
+        tables = warehouse.star_set(spark, suffix, root)
+        old = tables.names()
+        version = tables.load({n: {"FactTable": star.fact_trips(trips), "PickupLocationsDim": star.pickup_location_dim(trips)}.get(n, spark.table(t))
+                               for n, t in old.items()})
+    finally:
+        built.release()
     now = tables.names(version)
     return spark.table(now["FactTable"]).join(spark.table(now["PickupLocationsDim"]).drop("pickup_latitude"), "pickup_location_id").select(
         *star.FACT_COLUMNS, "pickup_longitude")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -28,11 +29,13 @@ def with_day_partitions(df: DataFrame, ts_col: str = "tpep_pickup_datetime",
 
 def write_partitioned(df: DataFrame, path: str,
                       partition_cols: tuple[str, ...] = ("year", "month", "date"),
-                      mode: str = "errorifexists", fmt: str = "parquet") -> None:
+                      mode: str = "errorifexists", fmt: str = "parquet",
+                      finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write a ``col=value/...`` layout.
 
     ``mode='replace_partitions'`` replaces the folders that ``df`` has rows for and leaves all
-    others as they are, so a day that is landed again replaces itself alone.
+    others as they are, so a day that is landed again replaces itself alone.  ``finish`` makes the
+    rows' final form, row by row, behind the shuffle, which then moves the narrower one.
 
     ``rebalance`` on the partition columns gathers each folder's rows into few
     tasks (few files per folder instead of one per task and folder), and AQE
@@ -46,7 +49,7 @@ def write_partitioned(df: DataFrame, path: str,
     else:  # the hint needs AQE; a few salts per folder split a hot one all the same
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(FOLDER_SALTS))
         dealt = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *cols, salt)
-    writer = dealt.write.partitionBy(*cols).format(fmt).option("header", True)
+    writer = (finish(dealt) if finish else dealt).write.partitionBy(*cols).format(fmt).option("header", True)
     if mode == "replace_partitions":
         writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
     writer.mode(mode).save(path)
