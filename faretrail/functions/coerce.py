@@ -74,6 +74,12 @@ def coerce_column(name: str, source_type: T.DataType, target: str) -> Column:
     return F.col(name).try_cast(want).alias(name)
 
 
+def is_typed(df: DataFrame, columns: dict[str, str] = TRIP_COLUMNS) -> bool:
+    """Whether every contract column of ``df`` has its type, so that :func:`type_trips` coerces nothing."""
+    lowered = {k.lower(): spark_type(v) for k, v in columns.items()}
+    return all(f.dataType == lowered.get(f.name.lower(), f.dataType) for f in df.schema.fields)
+
+
 def type_trips(df: DataFrame, columns: dict[str, str] = TRIP_COLUMNS) -> DataFrame:
     """Replace every contract column by its typed form in one projection.
 

@@ -66,21 +66,30 @@ class RankedStage:
         return int(r or 0)
 
 
-def stage_ranked(df: DataFrame, order_cols: list[str | Column],
-                 label: str = "ranked") -> RankedStage:
+def stage_ranked(df: DataFrame, order_cols: list[str | Column], label: str = "ranked",
+                 copy: bool = True, keep: list[str] | None = None) -> RankedStage:
     """Sort globally, tag partition and position, write once, read back.
 
     The input is written before: a range sort reads it twice (bounds, rows), which would
-    parse or join twice.  That first copy is removed at once.
+    run it twice.  That first copy is removed at once.  ``copy=False`` is for input that is cheaper
+    to run again behind its last shuffle or scan than to write, and that observes nothing.
+    ``keep``: the columns to stage, where those of the order alone aren't needed behind it.
     """
     spark = df.sparkSession
+    if not copy:
+        return _staged(_ranked(df, order_cols, keep), label)
     input_path = scratch_path(spark, label + "-input")
     df.write.mode("errorifexists").option("compression", STAGED).parquet(input_path)
-    staged = _staged(spark.read.parquet(input_path).orderBy(*_order(order_cols)), label)
+    staged = _staged(_ranked(spark.read.parquet(input_path), order_cols, keep), label)
     drop_scratch(spark, input_path)
     return staged
 
 
+def _ranked(df: DataFrame, order_cols: list[str | Column], keep: list[str] | None) -> DataFrame:
+    rows = df.orderBy(*_order(order_cols))
+    return rows.select(*keep) if keep else rows
+
+
 def stage_positions(df: DataFrame, label: str = "positions") -> RankedStage:
     """Tag partition and position in the scan, write once, read back: an order without a
     shuffle, for rows that have no natural key.  Which id a row gets depends on the splits."""

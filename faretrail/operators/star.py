@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faretrail.functions.coerce import type_trips
+from faretrail.functions.coerce import is_typed, type_trips
 from faretrail.functions.dates import date_labels
 from faretrail.functions.keys import (RankedStage, attach_dense_id, monotonic_key, stage_file_positions, stage_positions,
                                       stage_ranked)
@@ -29,7 +29,8 @@ def with_location_ids(keyed: DataFrame) -> DataFrame:
 
 def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
               key: str = "dense", start: int = 1,
-              stages: list[RankedStage] | None = None) -> DataFrame:
+              stages: list[RankedStage] | None = None, keep: list[str] | None = None,
+              copy: bool | None = None) -> DataFrame:
     """Typed trips with ``trip_id``, ``pickup_location_id``, ``dropff_location_id``.
 
     ``key='dense'``: deterministic 1-based rank over ``order_cols``.  Without a
@@ -38,9 +39,16 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
     shuffle and independent of the splits, for rows that are read straight from files.
     ``key='monotonic'``: the sparse split-dependent id.
 
-    ``stages`` collects what was staged; its owner releases it after the load.
+    ``stages`` collects what was staged; its owner releases it after the load.  ``keep``: the
+    columns that the keyed trips have besides their ids (all of them by default); with a natural
+    key no others are staged.
+
+    ``copy``: whether the trips are written before they are ranked (see ``stage_ranked``); by
+    default where there is text to coerce, which would be coerced twice.
     """
     typed = type_trips(raw)
+    if keep and (key != "dense" or order_cols is None):
+        typed = typed.select(*keep)
     if key == "monotonic":
         # staged once, so every derived table sees the same split-dependent ids
         path = scratch_path(raw.sparkSession, "trips-monotonic")
@@ -53,7 +61,7 @@ def key_trips(raw: DataFrame, order_cols: list[str] | None = None,
             stage = stage_file_positions(typed, "trips")
         else:
             stage = (stage_positions(typed, "trips") if order_cols is None
-                     else stage_ranked(typed, order_cols, "trips"))
+                     else stage_ranked(typed, order_cols, "trips", copy=not is_typed(raw) if copy is None else copy, keep=keep))
         if stages is not None:
             stages.append(stage)
         keyed = attach_dense_id(stage, start=start)

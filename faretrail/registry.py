@@ -87,7 +87,7 @@ def _keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _warehouse_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed trips from typed input (what the warehouse holds after a load)."""
-    return star.key_trips(lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY)
+    return star.key_trips(lens.trip_lens(spark, sf_dir), order_cols=lens.NATURAL_KEY, keep=list(TRIP_COLUMNS))
 
 
 def _typed_from_landing(df: DataFrame) -> DataFrame:
