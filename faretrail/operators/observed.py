@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ class LandingCounts:
         self.columns = columns
         self._seen = Observation()
         self._left: Observation | None = None
+        self._rows: Callable[[], int] | None = None
+        self._known: dict[str, int] | None = None
 
     def over(self, raw: DataFrame) -> DataFrame:
         """``raw`` itself, with the counts taken as its rows pass."""
@@ -43,8 +47,15 @@ class LandingCounts:
         self._left = Observation()
         return type_trips(before, self.columns).observe(self._left, F.count(F.lit(1)).alias("landing"), *[F.count(F.col(n)).alias(n) for n in own])
 
+    def lossless(self, typed: DataFrame, rows: Callable[[], int]) -> None:
+        """The counts of rows that have their types already: ``rows()`` in all, no value lost."""
+        own = {name: resolve_column(typed.columns, name) for name in self.columns}
+        self._rows, self._known = rows, {name: 0 for name, c in own.items() if c in typed.columns}
+
     def get(self) -> dict[str, int]:
         """``landing``, then column -> values lost; waits for the pass."""
+        if self._known is not None:
+            return {"landing": self._rows()} | self._known
         seen = {k: int(v) for k, v in self._seen.get.items()}
         if self._left is not None:
             left = self._left.get

@@ -14,10 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faretrail.functions.coerce import is_typed
 from faretrail.functions.keys import RankedStage
 from faretrail.operators import star
 from faretrail.operators.observed import LandingCounts
 from faretrail.plans.analysis import trip_locations, vendor_trip_counts
+from faretrail.schemas import DROPOFF_ID, PICKUP_ID, TRIP_COLUMNS
 from faretrail.sinks.versions import TableSet, Version, set_of_view
 from faretrail.sources import literals
 
@@ -40,6 +42,7 @@ BUCKET_KEYS = {
     "PickupLocationsDim": "pickup_location_id",
     "DropOffLocationsDim": "dropff_location_id",
 }
+ID_COPIES = {"FactTable": (PICKUP_ID, DROPOFF_ID)}
 
 
 @dataclass
@@ -56,11 +59,18 @@ class StarTables:
 
 
 def build_star(spark: SparkSession, raw: DataFrame, order_cols: list[str] | None = None,
-               key: str = "dense", date_dim_form: str = "single") -> StarTables:
-    """Type and key ``raw`` once, then derive the seven tables lazily."""
+               key: str = "dense", date_dim_form: str = "single", keep: list[str] | None = None) -> StarTables:
+    """Type and key ``raw`` once, then derive the seven tables lazily.  ``keep``: the columns
+    that ``trips`` has besides its ids, all of them by default; the tables need the contract's."""
     stages: list[RankedStage] = []
     landing = LandingCounts()
-    trips = star.key_trips(landing.typed(raw), order_cols=order_cols, key=key, stages=stages)
+    ranked = key == "dense" and order_cols is not None and is_typed(raw)
+    # typed rows are ranked without a copy, so what observes them would see them twice: they lose
+    # no value to their types, and their number is that of the ranking
+    trips = star.key_trips(raw if ranked else landing.typed(raw), order_cols=order_cols, key=key, stages=stages, keep=keep,
+                           copy=not ranked)
+    if ranked:
+        landing.lossless(raw, stages[0].row_count)
     dates = {"single": star.date_dim, "prededup": star.date_dim_prededup,
              "dedup_rows": star.date_dim_dedup_rows}[date_dim_form](trips)
     tables = {
@@ -108,7 +118,7 @@ def _switched(built: StarTables, suffix: str, location_root: str | None,
               buckets: int | None = None) -> tuple[TableSet, Version]:
     tables = star_set(built.trips.sparkSession, suffix, location_root)
     keys = {name: (key, buckets) for name, key in BUCKET_KEYS.items()} if buckets else None
-    version = tables.load({name: built.tables[name] for name in TABLE_NAMES}, keys)
+    version = tables.load({name: built.tables[name] for name in TABLE_NAMES}, keys, copies=ID_COPIES)
     tables.publish({name: f"{name}{suffix}" for name in TABLE_NAMES})
     return tables, version
 
@@ -117,7 +127,7 @@ def build_and_load(spark: SparkSession, raw: DataFrame, suffix: str = "", locati
                    order_cols: list[str] | None = None, buckets: int | None = None,
                    key: str = "dense") -> dict[str, str]:
     """The load step as a whole: build, replace, and remove what was staged, also on failure."""
-    built = build_star(spark, raw, order_cols=order_cols, key=key)
+    built = build_star(spark, raw, order_cols=order_cols, key=key, keep=list(TRIP_COLUMNS))
     try:
         return load_star(built, suffix, location_root, buckets)
     finally:
@@ -129,7 +139,7 @@ def load_with_counts(spark: SparkSession, raw: DataFrame, suffix: str = "", loca
     """The load step, and the rows at each of its steps: ``landing``, ``typed``, every table by
     name, and ``nulled <column>``, values that the types turned to NULL.  All are counted by the
     tasks that load; nothing is scanned for them."""
-    built = build_star(spark, raw, order_cols=order_cols, key=key)
+    built = build_star(spark, raw, order_cols=order_cols, key=key, keep=list(TRIP_COLUMNS))
     try:
         tables, version = _switched(built, suffix, location_root)
         seen = built.landing.get()

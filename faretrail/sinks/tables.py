@@ -16,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from faretrail.functions.keys import STAGED
 from faretrail.session import scratch_path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (cuts lineage)."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", STAGED).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -37,9 +38,10 @@ def ensure_table(df: DataFrame, table: str, location: str | None = None,
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         where = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet "
-                  f"CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {buckets} BUCKETS{where}")
+                  f"OPTIONS ('compression' = '{STAGED}') CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {buckets} BUCKETS{where}")
         return
     kwargs = {"path": location} if location else {}
+    kwargs["compression"] = STAGED
     spark.catalog.createTable(table, source="parquet", schema=df.schema, **kwargs)
 
 
@@ -53,7 +55,8 @@ def bucket_spec(spark, table: str) -> tuple[str, int] | None:
 
 def truncate_load(df: DataFrame, table: str, location: str | None = None,
                   stage_first: bool = False, bucket_by: str | None = None,
-                  buckets: int | None = None, observe: Observation | None = None) -> str:
+                  buckets: int | None = None, observe: Observation | None = None,
+                  copies: tuple[str, ...] = ()) -> str:
     """Replace every row of ``table`` with ``df`` (columns matched by name).
 
     ``observe`` gets the number of ``rows``, counted by the writing tasks themselves.
@@ -61,7 +64,8 @@ def truncate_load(df: DataFrame, table: str, location: str | None = None,
     With ``bucket_by``, the table is bucketed on that column: the rows are
     hash-partitioned into exactly ``buckets`` tasks first (the same hash the
     bucketing uses), so each bucket is written as one file, and later joins on
-    the column read the buckets in place instead of shuffling the table.
+    the column read the buckets in place instead of shuffling the table.  ``copies``: columns
+    that equal ``bucket_by`` in every row; they are made again behind the shuffle, not moved by it.
     """
     spark = df.sparkSession
     if bucket_by and not buckets:
@@ -78,7 +82,9 @@ def truncate_load(df: DataFrame, table: str, location: str | None = None,
         raise ValueError(f"frame lacks columns {missing} of {table}")
     out = src.select(*[by_name[c.lower()] for c in target_cols])
     if spec:  # also where the caller names no buckets: one file each, not one per task and bucket
-        out = out.repartition(spec[1], by_name[spec[0].lower()])
+        key = by_name[spec[0].lower()]
+        copied = {c: F.col(key) for c in out.columns if bucket_by and c in copies}
+        out = out.drop(*copied).repartition(spec[1], key).withColumns(copied).select(*out.columns)
     if observe is not None:
         out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
     out.write.insertInto(table, overwrite=True)

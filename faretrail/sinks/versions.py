@@ -77,9 +77,10 @@ class TableSet:
         return None if number not in numbers else Version.from_json(storage.read_text(self.spark, self._record(number)))
 
     def load(self, frames: dict[str, DataFrame], buckets: dict[str, tuple[str, int]] | None = None,
-             keep: int = 2) -> Version:
+             keep: int = 2, copies: dict[str, tuple[str, ...]] | None = None) -> Version:
         """Replace all tables by ``frames`` in one step; the last ``keep`` versions stay for
-        readers that have begun.  ``buckets``: (column, count) of the tables to bucket.
+        readers that have begun.  ``buckets``: (column, count) of the tables to bucket; ``copies``:
+        their columns that equal the bucket column (see :func:`faretrail.sinks.tables.truncate_load`).
 
         A load that fails removes what it wrote and leaves the tables as they were.  Of two loads
         at a time one is committed; the other fails."""
@@ -93,7 +94,8 @@ class TableSet:
                 bucket_by, count = (buckets or {}).get(name, (None, None))
                 made.append(table)
                 seen = Observation()
-                truncate_load(frame, table, path, bucket_by=bucket_by, buckets=count, observe=seen)
+                truncate_load(frame, table, path, bucket_by=bucket_by, buckets=count, observe=seen,
+                              copies=(copies or {}).get(name, ()))
                 entries[name] = Entry(table, path, int(seen.get.get("rows", 0)), self.spark.table(table).schema.json(), bucket_by, count)
             version = Version(number, attempt, entries)
             if not storage.write_once(self.spark, self._record(number), version.to_json()):

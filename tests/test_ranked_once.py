@@ -57,3 +57,32 @@ def test_a_ranking_without_a_copy_keeps_ties_nulls_and_columns(spark):
         got = star.attach_dense_id(stage).orderBy("trip_id").collect()
         assert [(r.trip_id, r.t) for r in got] == [(1, "c"), (2, "b"), (3, "b"), (4, "a"), (5, "d")]
         stage.release()
+
+
+def test_a_bucketed_load_makes_copies_of_its_key_behind_the_shuffle(spark, monkeypatch):
+    plans = []
+    real = DataFrameWriter.insertInto
+
+    def insert(self, *args, **kwargs):
+        plans.append(plan(self._df))
+        real(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", insert)
+    rows = spark.range(50).select("id", F.col("id").alias("same"), (F.col("id") * 2).alias("v"), F.col("id").alias("also"))
+    table = unique_name("copied")
+    truncate_load(rows, table, scratch_path(spark, "wh"), bucket_by="id", buckets=4, copies=("same", "also"))
+    moved = re.search(r"Exchange\nInput \[\d+\]: \[(.*)\]", plans[0]).group(1)
+    assert "same" not in moved and "also" not in moved and "v#" in moved
+    assert spark.table(table).columns == ["id", "same", "v", "also"]
+    assert sorted(map(tuple, spark.table(table).collect())) == [(i, i, 2 * i, i) for i in range(50)]
+
+
+def test_a_load_of_typed_rows_counts_them_once(spark, written):
+    typed = lens.trip_lens(spark, SF_SMALL).withColumn("tip_amount", F.when(F.col("l_linenumber") > 2, F.col("tip_amount")))
+    n = typed.count()
+    loaded, counts = warehouse.load_with_counts(spark, typed, "_" + unique_name("typed"), scratch_path(spark, "wh"), order_cols=lens.NATURAL_KEY)
+    assert counts["landing"] == counts["typed"] == counts["FactTable"] == n == spark.table(loaded["FactTable"]).count()
+    assert {k: v for k, v in counts.items() if k.startswith("nulled")} == {f"nulled {c}": 0 for c in TRIP_COLUMNS}
+    assert not any("-input" in path for path, _ in written)
+    text = warehouse.load_with_counts(spark, lens.as_landing_text(typed), "_" + unique_name("text"), scratch_path(spark, "wh"), order_cols=lens.NATURAL_KEY)
+    assert text[1] == counts
