@@ -399,10 +399,10 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
     trips = stage(lens.trip_lens(spark, sf_dir), "landings")  # joined once for both
     later = F.coalesce(F.year("tpep_pickup_datetime") > 1997, F.lit(False))
-    sink_files.land_csv(lens.as_landing_text(trips.where(~later)), landing)
+    sink_files.land_csv(lens.as_landing_text(trips.where(~later)), landing, compression="gzip")
     loader.run_available()
     loader.run_available()  # nothing new: reads no file, loads nothing
-    sink_files.land_csv(lens.as_landing_text(trips.where(later)), landing)
+    sink_files.land_csv(lens.as_landing_text(trips.where(later)), landing, compression="gzip")
     loader.run_available()
     return loader.table("fact")
 
@@ -423,7 +423,7 @@ def _loaded_in_three(spark: SparkSession, sf_dir: str) -> IncrementalStarLoader:
     loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
                                    order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
     for part in _landings(spark, sf_dir):
-        sink_files.land_csv(part, landing)
+        sink_files.land_csv(part, landing, compression="gzip")
         loader.run_available()
     return loader
 

@@ -13,6 +13,8 @@ from faretrail.schemas import TRIP_COLUMNS
 
 #: Tasks that share a folder's rows when AQE is off.
 FOLDER_SALTS = 4
+#: Rows of a compressed file, which can't be split for reading.
+PACKED_ROWS = 500_000
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -61,10 +63,17 @@ def landing_order(df: DataFrame) -> DataFrame:
     return df.select(*first, *[c for c in df.columns if c not in TRIP_COLUMNS])
 
 
-def land_csv(df: DataFrame, path: str, mode: str = "append") -> None:
+def land_csv(df: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
     """Append header CSV files to a landing folder (new files, unique names),
-    columns in landing order so a fixed streaming schema lines up."""
-    landing_order(df).write.mode(mode).option("header", True).csv(path)
+    columns in landing order so a fixed streaming schema lines up.
+
+    ``compression='gzip'`` writes a quarter of the bytes or less, lightly compressed.  Such a file is read by one task, so
+    none has more than :data:`PACKED_ROWS` rows."""
+    writer = landing_order(df).write.mode(mode).option("header", True)
+    if compression:
+        writer = (writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+                  .option("maxRecordsPerFile", PACKED_ROWS))
+    writer.csv(path)
 
 
 def stamped_name(at: datetime, prefix: str = "trips") -> str:

@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretrail.functions.coerce import type_trips
-from faretrail.functions.keys import attach_dense_id, stage_positions, stage_ranked
+from faretrail.functions.keys import STAGED, attach_dense_id, stage_positions, stage_ranked
 from faretrail.operators import star
 from faretrail.operators.aggregates import grouped_count
 from faretrail.schemas import (ANALYSIS_COLUMNS, DROPOFF_DIM_COLUMNS, FACT_COLUMNS, PICKUP_DIM_COLUMNS,
-                               raw_schema, resolve_column, spark_type)
+                               TRIP_COLUMNS, raw_schema, resolve_column, spark_type)
 from faretrail.session import path_exists
 from faretrail.sources.bookmarks import BookmarkedScan
 from faretrail.sources.files import read_csv_by_header
@@ -175,7 +175,7 @@ class IncrementalStarLoader:
                 .select(counts["vendorid"].alias("vendorid"), "count", vendors["VendorName"].alias("vendorname")))
 
     def _write(self, df: DataFrame, name: str, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/{EPOCH}={epoch}")
+        df.write.mode("overwrite").option("compression", STAGED).parquet(f"{self.path(name)}/{EPOCH}={epoch}")
 
     def _load_batch(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession  # the micro-batch's own session
@@ -185,7 +185,7 @@ class IncrementalStarLoader:
             last_id = marks.agg(F.max("last_trip_id")).first()[0] or 0
         typed = type_trips(batch)
         stage = (stage_positions(typed, "trips-batch") if self.order_cols is None
-                 else stage_ranked(typed, self.order_cols, "trips-batch"))
+                 else stage_ranked(typed, self.order_cols, "trips-batch", copy=False, keep=list(TRIP_COLUMNS)))
         try:
             if stage.row_count():
                 self._load_staged(stage, spark, epoch, last_id)

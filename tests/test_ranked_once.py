@@ -59,6 +59,33 @@ def test_a_ranking_without_a_copy_keeps_ties_nulls_and_columns(spark):
         stage.release()
 
 
+def test_landings_are_packed_and_loaded_without_a_copy(spark, written):
+    loader = registry._loaded_in_three(spark, SF_SMALL)
+    landed = [n for n in os.listdir(loader.landing_dir.replace("file:", "")) if ".csv" in n and not n.startswith(".")]
+    assert landed and all(n.endswith(".csv.gz") for n in landed)
+    assert not any("-input" in path for path, _ in written)
+    assert not any(set(lens.NATURAL_KEY) & set(columns) for path, columns in written if "trips-batch" in path)
+    plain = IncrementalStarLoader(spark, scratch_path(spark, "landing"), scratch_path(spark, "wh"),
+                                  order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES)
+    for part in registry._landings(spark, SF_SMALL):
+        sink_files.land_csv(part, plain.landing_dir)
+        plain.run_available()
+    for name in ("fact", "pickup", "dropoff", "date", "analysis"):
+        assert same_rows(loader.table(name), plain.table(name)), name
+
+
+def test_a_packed_landing_is_cut_by_rows_and_reads_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink_files, "PACKED_ROWS", 1_000)
+    rows = lens.raw_trip_lens(spark, SF_SMALL).coalesce(1).withColumn("VendorID", F.when(F.col("l_linenumber") == 1, 'a, "b"').otherwise(F.col("VendorID")))
+    sink_files.land_csv(rows, str(tmp_path / "plain"))
+    sink_files.land_csv(rows, str(tmp_path / "packed"), compression="gzip")
+    sizes = [{n: os.path.getsize(tmp_path / d / n) for n in os.listdir(tmp_path / d) if n.startswith("part")} for d in ("plain", "packed")]
+    assert len(sizes[1]) == -(-rows.count() // 1_000) and 3 * sum(sizes[1].values()) < sum(sizes[0].values())
+    read = [spark.read.schema(raw_schema(lens.NATURAL_KEY_TYPES)).option("header", True).option("enforceSchema", False).csv(str(tmp_path / d))
+            for d in ("plain", "packed")]
+    assert same_rows(*read)
+
+
 def test_a_bucketed_load_makes_copies_of_its_key_behind_the_shuffle(spark, monkeypatch):
     plans = []
     real = DataFrameWriter.insertInto
