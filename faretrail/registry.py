@@ -21,7 +21,7 @@ from faretrail.operators import aggregates, star
 from faretrail.operators import preview as preview_ops
 from faretrail.plans import analysis, warehouse
 from faretrail.schemas import TRIP_COLUMNS
-from faretrail.session import scratch_path, unique_name
+from faretrail.session import drop_scratch, scratch_path, shuffles_dropped, unique_name
 from faretrail.sinks import files as sink_files
 from faretrail.sinks.compaction import compact
 from faretrail.sinks.tables import stage, truncate_load
@@ -413,8 +413,9 @@ _LANDED_CTE = (LENS_CTE + ", keyed AS (SELECT CAST(row_number() OVER (ORDER BY "
                + ") AS BIGINT) AS trip_id, * FROM lens)")
 
 
-def _landings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    trips = stage(lens.trip_lens(spark, sf_dir), "landings")  # joined once for the three
+def _landings(spark: SparkSession, sf_dir: str, paths: list[str] | None = None) -> list[DataFrame]:
+    with shuffles_dropped(spark):
+        trips = stage(lens.trip_lens(spark, sf_dir), "landings", paths)  # joined once for the three
     return [lens.as_landing_text(trips.where(F.expr(_LANDING_SQL) == k)) for k in range(3)]
 
 
@@ -444,12 +445,14 @@ def incremental_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landing of files with three headers: the contract's, another order, and other letter
     cases with one more column."""
-    landing = scratch_path(spark, "landing-headers")
-    first, second, third = _landings(spark, sf_dir)
-    sink_files.land_csv(first, landing)
-    second.select(*reversed(second.columns)).write.mode("append").option("header", True).csv(landing)
+    landing, staged = scratch_path(spark, "landing-headers"), []
+    first, second, third = _landings(spark, sf_dir, staged)
+    sink_files.land_csv(first, landing, compression="gzip")
+    sink_files.land_csv(second.select(*reversed(second.columns)), landing, compression="gzip", own_order=True)
     other = third.select(F.lit("x, y").alias("note"), *[F.col(c).alias(c.upper()) for c in sorted(third.columns)])
-    other.write.mode("append").option("header", True).csv(landing)
+    sink_files.land_csv(other, landing, compression="gzip", own_order=True)
+    for path in staged:  # all trips have landed
+        drop_scratch(spark, path)
     loader = IncrementalStarLoader(spark, landing, scratch_path(spark, "warehouse-incremental"),
                                    order_cols=lens.NATURAL_KEY, extra_types=lens.NATURAL_KEY_TYPES, by_header=True)
     loader.run_available()

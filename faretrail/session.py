@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Whether a query's shuffle files go when it ends (from Spark 4.1 on; unknown before, then without effect).
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "faretrail") -> SparkSession:
@@ -87,5 +92,20 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of each query of ``spark`` go when the query ends; else they stay
+    until the driver collects its garbage, beside all that is written meanwhile."""
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, was)
+
+
 def unique_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:10]}"

@@ -63,13 +63,14 @@ def landing_order(df: DataFrame) -> DataFrame:
     return df.select(*first, *[c for c in df.columns if c not in TRIP_COLUMNS])
 
 
-def land_csv(df: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
+def land_csv(df: DataFrame, path: str, mode: str = "append", compression: str | None = None, own_order: bool = False) -> None:
     """Append header CSV files to a landing folder (new files, unique names),
-    columns in landing order so a fixed streaming schema lines up.
+    columns in landing order so a fixed streaming schema lines up; ``own_order`` leaves them as they
+    are, for a reading by header.
 
     ``compression='gzip'`` writes a quarter of the bytes or less, lightly compressed.  Such a file is read by one task, so
     none has more than :data:`PACKED_ROWS` rows."""
-    writer = landing_order(df).write.mode(mode).option("header", True)
+    writer = (df if own_order else landing_order(df)).write.mode(mode).option("header", True)
     if compression:
         writer = (writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
                   .option("maxRecordsPerFile", PACKED_ROWS))

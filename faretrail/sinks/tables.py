@@ -20,9 +20,12 @@ from faretrail.functions.keys import STAGED
 from faretrail.session import scratch_path
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (cuts lineage)."""
+def stage(df: DataFrame, label: str = "stage", paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts lineage).  ``paths`` collects
+    where; its owner removes that once no frame built on it is read again."""
     path = scratch_path(df.sparkSession, label)
+    if paths is not None:
+        paths.append(path)
     df.write.option("compression", STAGED).parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -41,14 +41,21 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file, read alone; empty for an empty file."""
+    """The first line of a text file, read alone and unpacked by the ending of its name, as Spark's
+    readers do; empty for an empty file."""
     p, fs = _at(spark, path)
     jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None and fs.getFileStatus(p).getLen() == 0:  # no codec takes a file without a byte
+        return ""
+    stream = fs.open(p)
     try:
-        return (reader.readLine() or "").removeprefix("﻿")
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
     finally:
-        reader.close()
+        stream.close()
 
 
 def move(spark: SparkSession, src: str, dst: str) -> bool:

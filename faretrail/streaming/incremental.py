@@ -40,7 +40,7 @@ from faretrail.operators import star
 from faretrail.operators.aggregates import grouped_count
 from faretrail.schemas import (ANALYSIS_COLUMNS, DROPOFF_DIM_COLUMNS, FACT_COLUMNS, PICKUP_DIM_COLUMNS,
                                TRIP_COLUMNS, raw_schema, resolve_column, spark_type)
-from faretrail.session import path_exists
+from faretrail.session import path_exists, shuffles_dropped
 from faretrail.sources.bookmarks import BookmarkedScan
 from faretrail.sources.files import read_csv_by_header
 
@@ -51,6 +51,8 @@ BOOKMARKS = "_bookmarks"
 VENDOR_COUNTS, ANALYSIS = "vendor_counts", "analysis"
 #: Files of a landing stream, by name alone.
 FILE_STREAM = "path string, modificationTime timestamp, length long, content binary"
+#: Names of those read by header: CSV, plain or packed.
+LANDED_CSV = "*.csv{,.gz,.bz2,.deflate}"
 KEYED_COLUMNS = FACT_COLUMNS + [c for c in PICKUP_DIM_COLUMNS + DROPOFF_DIM_COLUMNS
                                 if c not in FACT_COLUMNS]
 # table name -> (stored table, columns)
@@ -69,6 +71,9 @@ class IncrementalStarLoader:
     (contract columns first, then ``extra_types`` columns in that order).
     With ``by_header`` the stream is one of file names, and each file is read by
     its own header: other orders, more or fewer columns (missing ones are NULL).
+
+    A batch's shuffle files go with the query that wrote them, so that they don't lie beside what
+    its later queries write.
     """
 
     def __init__(self, spark: SparkSession, landing_dir: str, warehouse_dir: str,
@@ -122,7 +127,7 @@ class IncrementalStarLoader:
                                "number batches from 0 and replace them")
         reader = self.spark.readStream
         if self.by_header:
-            reader = reader.format("binaryFile").schema(FILE_STREAM).option("pathGlobFilter", "*.csv")
+            reader = reader.format("binaryFile").schema(FILE_STREAM).option("pathGlobFilter", LANDED_CSV)
         else:  # a header that differs from the schema fails the batch; columns are never shifted
             reader = (reader.format("csv").schema(raw_schema(self.extra_types))
                       .option("header", True).option("enforceSchema", False))
@@ -179,6 +184,10 @@ class IncrementalStarLoader:
 
     def _load_batch(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession  # the micro-batch's own session
+        with shuffles_dropped(spark):
+            self._load_rows(batch, spark, epoch)
+
+    def _load_rows(self, batch: DataFrame, spark: SparkSession, epoch: int) -> None:
         marks = self.table(HIGH_WATER, before_epoch=epoch, spark=spark)
         last_id = 0
         if marks is not None:
